@@ -1,0 +1 @@
+"""Incremental processing of landed files (available-now file streams)."""
