@@ -167,13 +167,13 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratios = ratio_docs(spark, sf_dir).select(F.lit("ratios").alias("source"), "dt", "symbol", "body")
     syms = bars(spark, sf_dir).select("symbol").distinct()
     errors = syms.select(
-        F.lit("prices").alias("source"), F.lit("2001-12").alias("dt"), "symbol",
+        F.lit("prices").alias("source"), F.lit("2002-12").alias("dt"), "symbol",
         F.lit('{"status": "error", "message": "rate limit"}').alias("body"),
     ).unionByName(syms.select(
-        F.lit("ratios").alias("source"), F.lit("2002").alias("dt"), "symbol",
+        F.lit("ratios").alias("source"), F.lit("2004").alias("dt"), "symbol",
         F.lit('{"Error Message": "Limit Reach"}').alias("body"),
     )).unionByName(syms.select(
-        F.lit("ratios").alias("source"), F.lit("2003").alias("dt"), "symbol", F.lit("[]").alias("body"),
+        F.lit("ratios").alias("source"), F.lit("2005").alias("dt"), "symbol", F.lit("[]").alias("body"),
     ))
     return docs.unionByName(ratios).unionByName(errors)
 

@@ -134,3 +134,180 @@ oracle("summary_signal", metrics_sql([
 oracle("summary_ranking", metrics_sql([
     "symbol", "total_strategy_return_rank", "total_market_return", "alpha_rank",
     "sharpe_ratio_rank", "sharpe_ratio_market", "max_drawdown_rank"]), "metrics")
+
+
+# ------------------------------------------------------------------ quality / flatten / scans
+from sparkfolio.plans.oracle import cte  # noqa: E402
+
+PX = f'symbol, trade_date, {rcols(["open", "high", "low", "close"])}, volume'
+LINEAGE = "'twelvedata' AS source_api, DATE '2002-02-01' AS ingestion_date"
+
+oracle("price_flatten", f"SELECT {PX}, {LINEAGE} FROM flat", "flat")
+oracle("dq_validate", f"SELECT {PX}, is_valid FROM checked", "checked")
+oracle("dq_counts", """
+SELECT symbol, count(*) FILTER (WHERE is_valid) AS valid_rows, count(*) FILTER (WHERE NOT is_valid) AS invalid_rows
+FROM checked GROUP BY symbol""", "checked")
+oracle("dq_invalid_sample", f"""
+SELECT {PX} FROM checked WHERE NOT is_valid
+ORDER BY symbol, trade_date NULLS LAST, "open" NULLS LAST, high NULLS LAST, low NULLS LAST,
+         "close" NULLS LAST, volume NULLS LAST
+LIMIT 10""", "checked")
+oracle("silver_prices", f"SELECT {PX}, {LINEAGE} FROM checked WHERE is_valid", "checked")
+oracle("null_report", """
+SELECT count(*) FILTER (WHERE trade_date IS NULL) AS nb_null_trade_date,
+       count(*) FILTER (WHERE "open" IS NULL) AS nb_null_open,
+       count(*) FILTER (WHERE high IS NULL) AS nb_null_high,
+       count(*) FILTER (WHERE low IS NULL) AS nb_null_low,
+       count(*) FILTER (WHERE "close" IS NULL) AS nb_null_close,
+       count(*) FILTER (WHERE volume IS NULL) AS nb_null_volume
+FROM flat""", "flat")
+oracle("drop_missing", f"""
+SELECT {PX} FROM flat WHERE trade_date IS NOT NULL AND "close" IS NOT NULL AND volume IS NOT NULL""", "flat")
+oracle("fill_missing", f"""
+SELECT symbol, trade_date, {R('coalesce("open", 0)', '"open"')}, {rcols(["high", "low"])},
+       {R('coalesce("close", 0)', '"close"')}, coalesce(volume, 0) AS volume
+FROM flat""", "flat")
+oracle("empty_like", f"SELECT {PX} FROM bars WHERE FALSE", "bars")
+oracle("row_counts", """
+SELECT (SELECT count(*) FROM bars) AS bars_rows, (SELECT count(*) FROM fund) AS fund_rows,
+       (SELECT count(*) FROM pred) AS pred_rows, (SELECT count(*) FROM flat) AS raw_price_rows""",
+       "bars", "fund", "pred", "flat")
+oracle("scan_json_nested", f"SELECT {PX} FROM flat", "flat")
+oracle("scan_partition_pruned", f"SELECT {PX} FROM flat WHERE dt BETWEEN '1998-01' AND '1998-12'", "flat")
+oracle("scan_json_array", f"""
+SELECT symbol, strftime(report_date, '%Y-%m-%d') AS "date",
+       {R('pe_ratio', '"priceToEarningsRatio"')}, {R('debt_to_equity', '"debtToEquityRatio"')}
+FROM fund_in""", "fund_in")
+STD = f"symbol, report_date, {rcols(['pe_ratio', 'debt_to_equity'])}, effective_date, source_api"
+oracle("fund_standardize", f"SELECT {STD} FROM fund_in", "fund_in")
+oracle("ensure_columns", f"""
+SELECT symbol, report_date, {R('pe_ratio', 'pe_ratio')}, CAST(NULL AS DOUBLE) AS debt_to_equity,
+       effective_date, source_api FROM fund_in""", "fund_in")
+oracle("scan_parquet", f"SELECT {PX} FROM bars", "bars")
+
+cte("batch2", """
+SELECT symbol, trade_date, "close", 'rerun' AS source_api FROM bars
+WHERE year(trade_date) = 2001 AND symbol <> (SELECT min(symbol) FROM bars)""", ["bars"])
+oracle("sink_dynamic_overwrite", f"""
+SELECT symbol, trade_date, {R('"close"', '"close"')}, source_api FROM (
+  SELECT symbol, trade_date, "close", 'twelvedata' AS source_api FROM bars
+  WHERE trade_date NOT IN (SELECT trade_date FROM batch2)
+  UNION ALL SELECT * FROM batch2)""", "bars", "batch2")
+oracle("sink_replace", f"""
+SELECT symbol, trade_date, {R('"close"', '"close"')}, volume FROM bars WHERE trade_date >= DATE '2000-01-01'""",
+       "bars")
+
+# ------------------------------------------------------------------ landing
+cte("payload_keys", """
+SELECT 'prices' AS source, dt, symbol, '{"meta": {"symbol": "' || symbol || '"}, "values": []}' AS body
+FROM (SELECT DISTINCT dt, symbol FROM raw_bars)
+UNION ALL
+SELECT 'ratios', strftime(report_date, '%Y'), symbol, '[{"symbol": "' || symbol || '"}]'
+FROM (SELECT DISTINCT report_date, symbol FROM fund_in) GROUP BY 2, 3
+UNION ALL SELECT 'prices', '2002-12', symbol, '{"status": "error", "message": "rate limit"}'
+FROM (SELECT DISTINCT symbol FROM bars)
+UNION ALL SELECT 'ratios', '2004', symbol, '{"Error Message": "Limit Reach"}' FROM (SELECT DISTINCT symbol FROM bars)
+UNION ALL SELECT 'ratios', '2005', symbol, '[]' FROM (SELECT DISTINCT symbol FROM bars)""",
+    ["raw_bars", "fund_in", "bars"])
+cte("payload_cls", """
+SELECT source, dt, symbol,
+  CASE WHEN body IS NULL OR trim(body) IN ('', '[]', '{}') THEN 'empty'
+       WHEN json_extract_string(body, '$.status') = 'error'
+            OR json_extract(body, '$."Error Message"') IS NOT NULL THEN 'error'
+       ELSE 'ok' END AS outcome
+FROM payload_keys""", ["payload_keys"])
+cte("pre_landed", """
+SELECT source, dt, symbol FROM payload_cls WHERE outcome = 'ok' AND dt < '1998'""", ["payload_cls"])
+oracle("landing_error_split", "SELECT source, dt, symbol, outcome FROM payload_cls", "payload_cls")
+oracle("landing_new_only", """
+SELECT source, dt, symbol, CAST(count(*) AS BIGINT) AS n_payloads FROM payload_cls WHERE outcome = 'ok'
+GROUP BY source, dt, symbol""", "payload_cls")
+oracle("landing_summary", """
+SELECT c.source,
+       CASE WHEN l.symbol IS NOT NULL THEN 'skipped' WHEN c.outcome <> 'ok' THEN 'failed' ELSE 'fetched' END
+         AS outcome,
+       count(*) AS n
+FROM payload_cls c LEFT JOIN pre_landed l ON c.source = l.source AND c.dt = l.dt AND c.symbol = l.symbol
+GROUP BY 1, 2""", "payload_cls", "pre_landed")
+
+# ------------------------------------------------------------------ SCD2
+HIST = f"symbol, report_date, {rcols(['pe_ratio', 'debt_to_equity'])}, effective_date, source_api, " \
+       "is_current, expiration_date"
+KEYJ = "o.symbol = n.symbol AND o.report_date = n.report_date"
+cte("chg_safe", f"""
+SELECT o.* FROM fund_old o JOIN fund_in n ON {KEYJ}
+WHERE o.pe_ratio IS DISTINCT FROM n.pe_ratio OR o.debt_to_equity IS DISTINCT FROM n.debt_to_equity""",
+    ["fund_old", "fund_in"])
+cte("chg_unsafe", f"""
+SELECT o.* FROM fund_old o JOIN fund_in n ON {KEYJ}
+WHERE o.pe_ratio <> n.pe_ratio OR o.debt_to_equity <> n.debt_to_equity""", ["fund_old", "fund_in"])
+cte("merged", f"""
+SELECT symbol, report_date, pe_ratio, debt_to_equity, effective_date, source_api,
+       FALSE AS is_current, DATE '2002-02-01' AS expiration_date FROM chg_safe
+UNION ALL
+SELECT o.* EXCLUDE (ingestion_ts) FROM fund_old o
+WHERE NOT EXISTS (SELECT 1 FROM chg_safe c WHERE c.symbol = o.symbol AND c.report_date = o.report_date)
+UNION ALL
+SELECT n.* EXCLUDE (ingestion_ts) FROM fund n
+WHERE EXISTS (SELECT 1 FROM chg_safe c WHERE c.symbol = n.symbol AND c.report_date = n.report_date)
+   OR NOT EXISTS (SELECT 1 FROM fund_old o WHERE {KEYJ})""", ["chg_safe", "fund_old", "fund"])
+cte("merged_ref", """
+SELECT o.* EXCLUDE (ingestion_ts) FROM fund_old o
+WHERE NOT EXISTS (SELECT 1 FROM chg_unsafe c WHERE c.symbol = o.symbol AND c.report_date = o.report_date
+                  AND c.effective_date = o.effective_date)
+UNION ALL
+SELECT symbol, report_date, pe_ratio, debt_to_equity, effective_date, source_api,
+       FALSE, DATE '2002-02-01' FROM chg_unsafe
+UNION ALL SELECT * EXCLUDE (ingestion_ts) FROM fund""", ["fund_old", "chg_unsafe", "fund"])
+
+oracle("scd2_init", f"SELECT {HIST} FROM fund", "fund")
+oracle("scd2_schema_upgrade", f"SELECT {HIST} FROM fund_old", "fund_old")
+CHG = f"symbol, report_date, {rcols(['pe_ratio', 'debt_to_equity'])}, effective_date"
+oracle("scd2_changes", f"SELECT {CHG} FROM chg_safe", "chg_safe")
+oracle("scd2_changes_nullunsafe", f"SELECT {CHG} FROM chg_unsafe", "chg_unsafe")
+oracle("scd2_new_keys", f"""
+SELECT symbol, report_date, {rcols(['pe_ratio', 'debt_to_equity'])} FROM fund_in n
+WHERE NOT EXISTS (SELECT 1 FROM fund_old o WHERE {KEYJ})""", "fund_in", "fund_old")
+oracle("scd2_unchanged", f"""
+SELECT {HIST} FROM fund_old o
+WHERE NOT EXISTS (SELECT 1 FROM chg_unsafe c WHERE c.symbol = o.symbol AND c.report_date = o.report_date
+                  AND c.effective_date = o.effective_date)""", "fund_old", "chg_unsafe")
+oracle("scd2_expired", f"SELECT {HIST} FROM merged WHERE NOT is_current", "merged")
+oracle("scd2_merge", f"SELECT {HIST} FROM merged", "merged")
+oracle("sink_self_overwrite", f"SELECT {HIST} FROM merged", "merged")
+oracle("scd2_merge_reference", f"SELECT {HIST} FROM merged_ref", "merged_ref")
+oracle("scd2_metrics", """
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE is_current) AS current_rows,
+       count(*) FILTER (WHERE NOT is_current) AS expired_rows FROM merged""", "merged")
+oracle("scd2_change_counts", f"""
+SELECT (SELECT count(*) FROM fund_in) AS incoming_rows,
+       (SELECT count(*) FROM fund_old o JOIN fund_in n ON {KEYJ}) AS matched_rows,
+       (SELECT count(*) FROM chg_safe) AS changed_null_safe,
+       (SELECT count(*) FROM chg_unsafe) AS changed_null_unsafe,
+       (SELECT count(*) FROM fund_in n WHERE NOT EXISTS (SELECT 1 FROM fund_old o WHERE {KEYJ})) AS new_keys""",
+       "fund_in", "fund_old", "chg_safe", "chg_unsafe")
+oracle("fund_current", f"SELECT {HIST} FROM merged WHERE is_current", "merged")
+oracle("scd2_as_of", f"""
+SELECT d AS as_of, {HIST} FROM merged, (VALUES (DATE '2001-06-30'), (DATE '2002-06-30')) v(d)
+WHERE effective_date <= d AND (expiration_date IS NULL OR expiration_date > d)""", "merged")
+
+# ------------------------------------------------------------------ scoring / serving
+REC = f"""symbol, trade_date, {rcols(['close', 'prediction'])},
+  CASE WHEN prediction > 0 THEN 'BUY' ELSE 'HOLD' END AS recommendation, {R('prediction * 100', 'prediction_pct')}"""
+cte("latest", "SELECT * FROM pred WHERE trade_date = (SELECT max(trade_date) FROM pred) AND prediction IS NOT NULL",
+    ["pred"])
+oracle("recommendation", f"SELECT {REC} FROM pred", "pred")
+oracle("latest_rows", f"SELECT symbol, trade_date, {rcols(['close', 'prediction'])} FROM latest", "latest")
+oracle("serving_future", f"SELECT {REC} FROM latest", "latest")
+oracle("top_buys", f"""
+SELECT symbol, {R('"close"', '"close"')}, {R('prediction * 100', 'prediction_pct')}, 'BUY' AS recommendation
+FROM latest WHERE prediction > 0 ORDER BY prediction DESC, symbol LIMIT 5""", "latest")
+SERV_BT = ["symbol", "trade_date", "close", "target_return_next_day", "prediction", "strategy_signal",
+           "strategy_return", "market_return", "cum_strategy_return", "cum_market_return",
+           "strategy_wealth", "market_wealth", "drawdown"]
+oracle("serving_backtest", f"SELECT {_cols(SERV_BT, {'strategy_signal'})} FROM bt", "bt")
+oracle("serving_registered", f"SELECT {_cols(SERV_BT, {'strategy_signal'})} FROM bt", "bt")
+oracle("serving_metrics", metrics_sql([
+    "symbol", "total_strategy_return", "total_market_return", "alpha", "num_trading_days", "num_days_invested",
+    "avg_daily_strategy_return", "avg_daily_market_return", "stddev_strategy_return", "stddev_market_return",
+    "sharpe_ratio", "sharpe_ratio_market", "max_drawdown", "model_precision_pct"]), "metrics")

@@ -226,3 +226,333 @@ def q_summary_signal(spark, sf):
 @query("summary_ranking")
 def q_summary_ranking(spark, sf):
     return out(mt.summary_ranking(_metrics(spark, sf)))
+
+
+# ------------------------------------------------------------------ quality / flatten
+from sparkfolio.operators import quality as qa  # noqa: E402
+from sparkfolio.operators import scd2  # noqa: E402
+from sparkfolio.operators import scoring as sc  # noqa: E402
+from sparkfolio.schemas import RAW_PRICES  # noqa: E402
+from sparkfolio.session import scratch_path, unique_name  # noqa: E402
+from sparkfolio.sources import landing as ld  # noqa: E402
+from sparkfolio.sources import readers as rd  # noqa: E402
+from sparkfolio.sources import writers as wr  # noqa: E402
+
+PRICE_COLS = ("symbol", "trade_date", "open", "high", "low", "close", "volume")
+RUN_DATE = fx.FUND_EFFECTIVE
+
+
+def _flat(spark, sf) -> DataFrame:
+    return qa.flatten_prices(fx.raw_docs(spark, sf))
+
+
+@query("price_flatten")
+def q_price_flatten(spark, sf):
+    df = qa.with_lineage(_flat(spark, sf), "twelvedata", ingestion_date=RUN_DATE)
+    return out(df, *PRICE_COLS, "source_api", "ingestion_date")
+
+
+@query("dq_validate")
+def q_dq_validate(spark, sf):
+    return out(qa.add_validity(_flat(spark, sf)), *PRICE_COLS, "is_valid")
+
+
+@query("dq_counts")
+def q_dq_counts(spark, sf):
+    return out(qa.validity_counts(_flat(spark, sf)))
+
+
+@query("dq_invalid_sample")
+def q_dq_invalid_sample(spark, sf):
+    return out(qa.invalid_sample(_flat(spark, sf), 10))
+
+
+@query("silver_prices")
+def q_silver_prices(spark, sf):
+    valid, _ = qa.split_valid(_flat(spark, sf))
+    return out(qa.with_lineage(valid, "twelvedata", ingestion_date=RUN_DATE),
+               *PRICE_COLS, "source_api", "ingestion_date")
+
+
+@query("null_report")
+def q_null_report(spark, sf):
+    return out(qa.null_report(_flat(spark, sf), ["trade_date", "open", "high", "low", "close", "volume"]))
+
+
+@query("drop_missing")
+def q_drop_missing(spark, sf):
+    return out(qa.drop_missing(_flat(spark, sf), ["trade_date", "close", "volume"]))
+
+
+@query("fill_missing")
+def q_fill_missing(spark, sf):
+    return out(qa.fill_missing(_flat(spark, sf), ["open", "close", "volume"]))
+
+
+@query("empty_like")
+def q_empty_like(spark, sf):
+    return out(rd.empty_like(fx.bars(spark, sf)))
+
+
+@query("row_counts")
+def q_row_counts(spark, sf):
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return out(n(fx.bars(spark, sf), "bars_rows")
+               .crossJoin(n(fx.fund(spark, sf), "fund_rows"))
+               .crossJoin(n(fx.pred(spark, sf), "pred_rows"))
+               .crossJoin(n(_flat(spark, sf), "raw_price_rows")))
+
+
+# ------------------------------------------------------------------ scans and sinks
+def _write_raw_docs(spark, sf) -> str:
+    root = scratch_path(spark, "landing")
+    docs = fx.raw_docs(spark, sf).select(
+        F.lit("prices").alias("source"), "dt", "symbol",
+        F.to_json(F.struct("meta", "values")).alias("value"))
+    docs.write.mode("append").partitionBy("source", "dt", "symbol").text(root)
+    return root
+
+
+@query("scan_json_nested")
+def q_scan_json_nested(spark, sf):
+    root = _write_raw_docs(spark, sf)
+    return out(qa.flatten_prices(rd.read_json(spark, root, RAW_PRICES)), *PRICE_COLS)
+
+
+@query("scan_partition_pruned")
+def q_scan_partition_pruned(spark, sf):
+    root = _write_raw_docs(spark, sf)
+    raw = rd.read_json(spark, root, RAW_PRICES, where=(F.col("dt") >= "1998-01") & (F.col("dt") <= "1998-12"))
+    return out(qa.flatten_prices(raw), *PRICE_COLS)
+
+
+def _write_ratio_docs(spark, sf, drop: tuple[str, ...] = ()) -> str:
+    root = scratch_path(spark, "ratios")
+    f = fx.fund_incoming(spark, sf)
+    fields = {
+        "symbol": F.col("symbol"),
+        "date": F.date_format("report_date", "yyyy-MM-dd"),
+        "priceToEarningsRatio": F.col("pe_ratio"),
+        "debtToEquityRatio": F.col("debt_to_equity"),
+    }
+    obj = F.struct(*[c.alias(n) for n, c in fields.items() if n not in drop])
+    (f.groupBy(F.date_format("report_date", "yyyy").alias("dt"), "symbol")
+      .agg(F.to_json(F.collect_list(obj)).alias("value"))
+      .select("value", F.lit("ratios").alias("source"), "dt", "symbol")
+      .write.mode("append").partitionBy("source", "dt", "symbol").text(root))
+    return root
+
+
+@query("scan_json_array")
+def q_scan_json_array(spark, sf):
+    raw = rd.read_json(spark, _write_ratio_docs(spark, sf))
+    return out(raw, "symbol", "date", "priceToEarningsRatio", "debtToEquityRatio")
+
+
+@query("fund_standardize")
+def q_fund_standardize(spark, sf):
+    raw = rd.read_json(spark, _write_ratio_docs(spark, sf))
+    std = scd2.standardize_fundamentals(raw, RUN_DATE)
+    return out(std, "symbol", "report_date", "pe_ratio", "debt_to_equity", "effective_date", "source_api")
+
+
+@query("ensure_columns")
+def q_ensure_columns(spark, sf):
+    raw = rd.read_json(spark, _write_ratio_docs(spark, sf, drop=("debtToEquityRatio",)))
+    std = scd2.standardize_fundamentals(raw, RUN_DATE)
+    return out(std, "symbol", "report_date", "pe_ratio", "debt_to_equity", "effective_date", "source_api")
+
+
+@query("scan_parquet")
+def q_scan_parquet(spark, sf):
+    path = scratch_path(spark, "silver_prices")
+    wr.write_partitions(fx.bars(spark, sf), path, ["trade_date"])
+    return out(rd.read_table(spark, path))
+
+
+@query("sink_dynamic_overwrite")
+def q_sink_dynamic_overwrite(spark, sf):
+    """Batch 1 = all bars; batch 2 = the 2001 bars again, re-sourced and
+    without the first symbol: every 2001 date is replaced as a whole."""
+    path = scratch_path(spark, "silver_prices")
+    b = fx.bars(spark, sf).withColumn("source_api", F.lit("twelvedata"))
+    wr.write_partitions(b, path, ["trade_date"])
+    first = b.agg(F.min("symbol").alias("_first"))
+    batch2 = b.filter(F.year("trade_date") == 2001).join(F.broadcast(first), F.col("symbol") != F.col("_first")) \
+        .drop("_first").withColumn("source_api", F.lit("rerun"))
+    wr.write_partitions(batch2, path, ["trade_date"])
+    return out(rd.read_table(spark, path), "symbol", "trade_date", "close", "source_api")
+
+
+@query("sink_replace")
+def q_sink_replace(spark, sf):
+    path = scratch_path(spark, "metrics")
+    wr.replace_table(fx.bars(spark, sf), path)
+    wr.replace_table(fx.bars(spark, sf).filter(F.col("trade_date") >= F.lit(fx.SPLIT_DATE).cast("date")), path)
+    return out(rd.read_table(spark, path), "symbol", "trade_date", "close", "volume")
+
+
+@query("sink_self_overwrite")
+def q_sink_self_overwrite(spark, sf):
+    """Read a catalog table, merge into it, publish the result as a new
+    snapshot of the SAME table, read the table again."""
+    root = scratch_path(spark, "fundamentals")
+    name = unique_name("silver_fundamentals")
+    wr.publish_snapshot(spark, fx.fund_old(spark, sf), name, root)
+    merged = scd2.scd2_merge(spark.table(name), fx.fund_incoming(spark, sf), fx.FUND_EFFECTIVE)
+    wr.publish_snapshot(spark, merged, name, root)
+    return out(spark.table(name), *[c for c in scd2.HISTORY_COLUMNS if c != "ingestion_ts"])
+
+
+# ------------------------------------------------------------------ landing
+def _pre_landed(spark, sf) -> str:
+    root = scratch_path(spark, "bronze")
+    first = fx.payloads(spark, sf).filter(F.col("dt") < "1998")
+    ld.land_new(spark, first, root)
+    return root
+
+
+@query("landing_error_split")
+def q_landing_error_split(spark, sf):
+    return out(ld.classify_payloads(fx.payloads(spark, sf)), "source", "dt", "symbol", "outcome")
+
+
+@query("landing_new_only")
+def q_landing_new_only(spark, sf):
+    root = _pre_landed(spark, sf)
+    ld.land_new(spark, fx.payloads(spark, sf), root)
+    landed = ld.read_landed(spark, root)
+    return out(landed.groupBy("source", "dt", "symbol").agg(F.count(F.lit(1)).alias("n_payloads")))
+
+
+@query("landing_summary")
+def q_landing_summary(spark, sf):
+    root = _pre_landed(spark, sf)
+    return out(ld.landing_summary(fx.payloads(spark, sf), ld.landed_keys(spark, root)))
+
+
+# ------------------------------------------------------------------ SCD2
+HIST_COLS = [c for c in scd2.HISTORY_COLUMNS if c != "ingestion_ts"]
+
+
+def _merged(spark, sf, **kw) -> DataFrame:
+    return scd2.scd2_merge(fx.fund_old(spark, sf), fx.fund_incoming(spark, sf), fx.FUND_EFFECTIVE, **kw)
+
+
+@query("scd2_init")
+def q_scd2_init(spark, sf):
+    return out(scd2.scd2_init(fx.fund_incoming(spark, sf)), *HIST_COLS)
+
+
+@query("scd2_schema_upgrade")
+def q_scd2_schema_upgrade(spark, sf):
+    legacy = fx.fund_old(spark, sf).select("symbol", "report_date", "pe_ratio", "debt_to_equity", "effective_date")
+    return out(scd2.upgrade_history(legacy), *HIST_COLS)
+
+
+@query("scd2_changes")
+def q_scd2_changes(spark, sf):
+    ch = scd2.scd2_changes(scd2.current(fx.fund_old(spark, sf)), fx.fund_incoming(spark, sf), null_safe=True)
+    return out(ch, "symbol", "report_date", "pe_ratio", "debt_to_equity", "effective_date")
+
+
+@query("scd2_changes_nullunsafe")
+def q_scd2_changes_nullunsafe(spark, sf):
+    ch = scd2.scd2_changes(scd2.current(fx.fund_old(spark, sf)), fx.fund_incoming(spark, sf), null_safe=False)
+    return out(ch, "symbol", "report_date", "pe_ratio", "debt_to_equity", "effective_date")
+
+
+@query("scd2_new_keys")
+def q_scd2_new_keys(spark, sf):
+    nk = scd2.scd2_new_keys(fx.fund_incoming(spark, sf), scd2.current(fx.fund_old(spark, sf)))
+    return out(nk, "symbol", "report_date", "pe_ratio", "debt_to_equity")
+
+
+@query("scd2_unchanged")
+def q_scd2_unchanged(spark, sf):
+    hist = fx.fund_old(spark, sf)
+    ch = scd2.scd2_changes(scd2.current(hist), fx.fund_incoming(spark, sf), null_safe=False)
+    return out(scd2.scd2_unchanged(hist, ch), *HIST_COLS)
+
+
+@query("scd2_expired")
+def q_scd2_expired(spark, sf):
+    return out(_merged(spark, sf).filter(~F.col("is_current")), *HIST_COLS)
+
+
+@query("scd2_merge")
+def q_scd2_merge(spark, sf):
+    return out(_merged(spark, sf), *HIST_COLS)
+
+
+@query("scd2_merge_reference")
+def q_scd2_merge_reference(spark, sf):
+    m = scd2.scd2_merge_reference(fx.fund_old(spark, sf), fx.fund_incoming(spark, sf), fx.FUND_EFFECTIVE)
+    return out(m, *HIST_COLS)
+
+
+@query("scd2_metrics")
+def q_scd2_metrics(spark, sf):
+    return out(scd2.scd2_metrics(_merged(spark, sf)))
+
+
+@query("scd2_change_counts")
+def q_scd2_change_counts(spark, sf):
+    return out(scd2.change_counts(scd2.current(fx.fund_old(spark, sf)), fx.fund_incoming(spark, sf)))
+
+
+@query("fund_current")
+def q_fund_current(spark, sf):
+    return out(scd2.current(_merged(spark, sf)), *HIST_COLS)
+
+
+@query("scd2_as_of")
+def q_scd2_as_of(spark, sf):
+    m = _merged(spark, sf)
+    views = [scd2.as_of(m, d).withColumn("as_of", F.lit(d).cast("date")) for d in ("2001-06-30", "2002-06-30")]
+    return out(views[0].unionByName(views[1]), "as_of", *HIST_COLS)
+
+
+# ------------------------------------------------------------------ scoring / serving
+@query("recommendation")
+def q_recommendation(spark, sf):
+    return out(sc.recommendation(fx.pred(spark, sf)))
+
+
+@query("latest_rows")
+def q_latest_rows(spark, sf):
+    return out(sc.latest_rows(fx.pred(spark, sf), require=["prediction"]),
+               "symbol", "trade_date", "close", "prediction")
+
+
+@query("top_buys")
+def q_top_buys(spark, sf):
+    recs = sc.recommendation(sc.latest_rows(fx.pred(spark, sf), require=["prediction"]))
+    return out(sc.top_buys(recs, 5))
+
+
+@query("serving_backtest")
+def q_serving_backtest(spark, sf):
+    from sparkfolio.schemas import SERVING_BACKTEST
+    return out(wr.serve(_backtest(spark, sf), SERVING_BACKTEST))
+
+
+@query("serving_metrics")
+def q_serving_metrics(spark, sf):
+    from sparkfolio.schemas import SERVING_METRICS
+    return out(wr.serve(_metrics(spark, sf), SERVING_METRICS))
+
+
+@query("serving_future")
+def q_serving_future(spark, sf):
+    from sparkfolio.schemas import SERVING_FUTURE
+    recs = sc.recommendation(sc.latest_rows(fx.pred(spark, sf), require=["prediction"]))
+    return out(wr.serve(recs, SERVING_FUTURE))
+
+
+@query("serving_registered")
+def q_serving_registered(spark, sf):
+    from sparkfolio.schemas import SERVING_BACKTEST
+    path = scratch_path(spark, "backtest_results")
+    wr.write_partitions(_backtest(spark, sf), path, ["symbol"])
+    return out(wr.register_external(spark, unique_name("backtest_results"), path, SERVING_BACKTEST))
