@@ -54,9 +54,17 @@ def rmse_evaluator(label: str = LABEL, prediction: str = "prediction") -> Regres
 
 def tune(train: DataFrame, grid: Mapping[str, Sequence[int]] = DEFAULT_GRID, folds: int = DEFAULT_FOLDS,
          features: Sequence[str] = FEATURES, label: str = LABEL, seed: int = SEED,
-         parallelism: int = 1, fold_col: str | None = None) -> CrossValidatorModel:
+         parallelism: int = 1, fold_col: str | None = None,
+         checkpoint: bool = True) -> CrossValidatorModel:
     """Grid search with k-fold cross-validation; ``bestModel`` is refit on all
-    of ``train``. ``parallelism`` > 1 fits several settings at once."""
+    of ``train``. ``parallelism`` > 1 fits several settings at once.
+
+    ``checkpoint`` writes the training set to the session's (shared)
+    checkpoint folder first, so the many fits read it back instead of
+    re-running its lineage, and a lost executor does not re-run it either.
+    """
+    if checkpoint:
+        train = train.checkpoint(eager=True)
     pipeline, gbt = build_estimator(features, label, seed)
     builder = ParamGridBuilder()
     for name, values in grid.items():
@@ -71,11 +79,11 @@ def tune(train: DataFrame, grid: Mapping[str, Sequence[int]] = DEFAULT_GRID, fol
 
 def cv_report(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
     """One row per grid point: its parameters and mean CV RMSE, best flagged."""
-    best = min(model.avgMetrics)
+    best = float(min(model.avgMetrics))
     rows = []
     for pm, m in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True):
         params = {p.name: v for p, v in pm.items()}
-        rows.append((int(params.get("maxDepth", -1)), int(params.get("maxIter", -1)), float(m), m == best))
+        rows.append((int(params.get("maxDepth", -1)), int(params.get("maxIter", -1)), float(m), bool(float(m) == best)))
     return spark.createDataFrame(rows, "max_depth int, max_iter int, avg_rmse double, is_best boolean")
 
 

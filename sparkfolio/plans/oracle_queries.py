@@ -311,3 +311,17 @@ oracle("serving_metrics", metrics_sql([
     "symbol", "total_strategy_return", "total_market_return", "alpha", "num_trading_days", "num_days_invested",
     "avg_daily_strategy_return", "avg_daily_market_return", "stddev_strategy_return", "stddev_market_return",
     "sharpe_ratio", "sharpe_ratio_market", "max_drawdown", "model_precision_pct"]), "metrics")
+
+# ------------------------------------------------------------------ model (S parts)
+from sparkfolio.schemas import FEATURES, LABEL  # noqa: E402
+
+cte("ready", f"""
+SELECT * FROM gold WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [LABEL, *FEATURES])}""", ["gold"])
+oracle("train_ready", f"SELECT symbol, trade_date, {_cols([LABEL, *FEATURES], {'volume'})} FROM ready", "ready")
+oracle("time_split_counts", """
+SELECT count(*) FILTER (WHERE trade_date < DATE '2000-01-01') AS train_rows,
+       count(*) FILTER (WHERE trade_date >= DATE '2000-01-01') AS test_rows FROM ready""", "ready")
+_Z = ", ".join(R(f"CASE WHEN stddev_samp({f}) OVER () = 0 THEN 0.0 "
+                 f"ELSE ({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER () END", f"{f}_z") for f in FEATURES)
+oracle("standardize", f"SELECT symbol, trade_date, {_Z} FROM ready", "ready")
+oracle("rmse", f"SELECT {R('sqrt(avg(power(prediction - target_return_next_day, 2)))', 'rmse')} FROM pred", "pred")

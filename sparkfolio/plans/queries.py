@@ -556,3 +556,67 @@ def q_serving_registered(spark, sf):
     path = scratch_path(spark, "backtest_results")
     wr.write_partitions(_backtest(spark, sf), path, ["symbol"])
     return out(wr.register_external(spark, unique_name("backtest_results"), path, SERVING_BACKTEST))
+
+
+# ------------------------------------------------------------------ model
+from sparkfolio.operators import model as md  # noqa: E402
+from sparkfolio.schemas import FEATURES  # noqa: E402
+
+# Registered ML queries use a smaller grid than the library default
+# (md.DEFAULT_GRID, the reference's maxDepth {5,8} x maxIter {20,40}, which
+# takes minutes even at sf0.01); folds, seed and pipeline are unchanged.
+QUERY_GRID = {"maxDepth": (3, 5), "maxIter": (5, 10)}
+_MODELS: dict[tuple[str, str], object] = {}
+
+
+def _ready(spark, sf) -> DataFrame:
+    return md.train_ready(ft.gold_features(fx.bars(spark, sf), fx.fund(spark, sf)))
+
+
+def _cv_model(spark, sf):
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        train, _ = md.time_split(_ready(spark, sf), fx.SPLIT_DATE)
+        _MODELS[key] = md.tune(train, QUERY_GRID, md.DEFAULT_FOLDS, parallelism=4)
+    return _MODELS[key]
+
+
+@query("train_ready")
+def q_train_ready(spark, sf):
+    return out(_ready(spark, sf), "symbol", "trade_date", LABEL, *FEATURES)
+
+
+@query("time_split_counts")
+def q_time_split_counts(spark, sf):
+    train, test = md.time_split(_ready(spark, sf), fx.SPLIT_DATE)
+    return out(train.agg(F.count(F.lit(1)).alias("train_rows"))
+               .crossJoin(test.agg(F.count(F.lit(1)).alias("test_rows"))))
+
+
+@query("standardize")
+def q_standardize(spark, sf):
+    z = md.standardize(_ready(spark, sf))
+    return out(z, "symbol", "trade_date", *[f"{f}_z" for f in FEATURES])
+
+
+@query("rmse")
+def q_rmse(spark, sf):
+    value = md.rmse_evaluator().evaluate(fx.pred(spark, sf))
+    return out(spark.range(1).select(F.lit(value).alias("rmse")))
+
+
+@query("ml_cv_report")
+def q_ml_cv_report(spark, sf):
+    return out(md.cv_report(spark, _cv_model(spark, sf)))
+
+
+@query("ml_scored")
+def q_ml_scored(spark, sf):
+    _, test = md.time_split(_ready(spark, sf), fx.SPLIT_DATE)
+    return out(md.score(_cv_model(spark, sf), test), "symbol", "trade_date", LABEL, "prediction")
+
+
+@query("future_scored")
+def q_future_scored(spark, sf):
+    latest = sc.latest_rows(_ready(spark, sf))
+    return out(sc.recommendation(md.score(_cv_model(spark, sf), latest)))
