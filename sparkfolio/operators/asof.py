@@ -14,7 +14,8 @@ Spark-first design (no collect, no per-row Python):
 2. Each interval is exploded into the calendar years it covers, so the join
    key is ``(symbol, year)``: a long or hot symbol is spread over many keys,
    and each price row compares against the few intervals of its year only
-   (range residual), and matches at most one.
+   (range residual), and matches at most one. The interval table is bounded
+   by reports x years, independent of the number of price rows.
 3. The interval table is broadcast only after a bounded size check
    (:func:`maybe_broadcast`); beyond the bound it is a shuffle join on
    ``(symbol, year)``, which AQE can still convert or split when skewed.
@@ -33,15 +34,21 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    materialize: bool = False) -> DataFrame:
     """Hint a broadcast only when the side is proven to hold <= max_rows rows.
 
     The check reads at most ``max_rows + 1`` rows of the (already reduced)
     side; above the bound the plain DataFrame is returned and Spark plans a
     shuffle join (AQE may still demote it at runtime with real sizes).
+    ``materialize`` first writes the side to the checkpoint folder (reliable
+    checkpoint), so the check and the join read it once instead of running
+    its lineage twice.
     """
     if max_rows <= 0:
         return df
+    if materialize:
+        df = df.checkpoint(eager=True)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -82,11 +89,16 @@ def asof_join(left: DataFrame, right: DataFrame, by: str = "symbol",
     """Left rows + ``values`` of the latest right row with right_ts <= left_ts.
 
     Left rows are kept as they are (one output row per input row).
+
+    Intervals are exploded over [year(start), year(end - 1 day)]; the last,
+    open interval of a symbol up to the latest report year G. On the left
+    side the join year is min(year(left_ts), G): rows after G look up the
+    year-G intervals, where only the open ones (or ones ending later) pass the
+    range residual. G is a one-row value of the report table, so the left
+    side is never scanned twice.
     """
     iv = report_intervals(right, by, right_ts, values, tie)
-    # Upper year for the last (open) interval of each symbol: the latest left
-    # date, as a one-row table (fixed size, safe to broadcast).
-    top = left.agg(F.max(F.year(left_ts)).alias("_top_year"))
+    top = iv.agg(F.max(F.year(right_ts)).alias("_top_year"))
     keyed = iv.crossJoin(F.broadcast(top)).select(
         F.col(by).alias("_r_by"),
         F.col(right_ts).alias("_r_from"),
@@ -94,17 +106,20 @@ def asof_join(left: DataFrame, right: DataFrame, by: str = "symbol",
         *[F.col(v).alias(f"_r_{v}") for v in values],
         F.explode(F.sequence(
             F.year(right_ts),
-            F.greatest(F.year(right_ts), F.coalesce(F.year(F.date_sub("_valid_to", 1)), F.col("_top_year"))),
+            F.coalesce(F.year(F.date_sub("_valid_to", 1)), F.col("_top_year")),
         )).alias("_r_year"),
     )
-    keyed = maybe_broadcast(keyed, broadcast_rows)
+    keyed = maybe_broadcast(keyed, broadcast_rows, materialize=broadcast_rows > 0)
+    top_year = keyed.agg(F.max("_r_year").alias("_top_year"))
+    lft = left.crossJoin(F.broadcast(top_year)).withColumn(
+        "_l_year", F.least(F.year(F.col(left_ts)), F.col("_top_year")))
     cond = (
         (F.col(by) == F.col("_r_by"))
-        & (F.year(F.col(left_ts)) == F.col("_r_year"))
+        & (F.col("_l_year") == F.col("_r_year"))
         & (F.col("_r_from") <= F.col(left_ts))
         & (F.col("_r_to").isNull() | (F.col(left_ts) < F.col("_r_to")))
     )
-    joined = left.join(keyed, cond, "left")
+    joined = lft.join(keyed, cond, "left")
     return joined.select(
         *[F.col(c) for c in left.columns],
         *[F.col(f"_r_{v}").alias(v) for v in values],
