@@ -31,9 +31,38 @@ def signal_strategy(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "strategy_signal", F.when(F.col("prediction") > threshold, F.lit(1)).otherwise(F.lit(0)))
 
 
-def daily_rank(df: DataFrame, top_n: int = TOP_N, date: str = "trade_date") -> DataFrame:
-    w = Window.partitionBy(date).orderBy(F.col("prediction").desc_nulls_last(), F.col("symbol").asc())
-    return df.withColumn("prediction_rank", F.row_number().over(w)).withColumn(
+def daily_rank(df: DataFrame, top_n: int = TOP_N, date: str = "trade_date",
+               split_buckets: int | None = None) -> DataFrame:
+    """``prediction_rank`` (row number per date by prediction desc, symbol
+    asc) and ``strategy_signal_rank`` (1 for the top ``top_n``).
+
+    ``split_buckets`` evaluates the exact same ranks without sending a whole
+    date to one task (for dates holding a large share of the rows): per-date
+    approximate quantiles (a mergeable sketch, partially aggregated) cut each
+    date into ``split_buckets`` value ranges; row counts per (date, range)
+    give each range its rank offset; ranks are offset + row number inside the
+    range. Equal predictions always fall in the same range, so ranks stay exact.
+    """
+    order = [F.col("prediction").desc_nulls_last(), F.col("symbol").asc()]
+    if not split_buckets or split_buckets < 2:
+        w = Window.partitionBy(date).orderBy(*order)
+        ranked = df.withColumn("prediction_rank", F.row_number().over(w))
+    else:
+        from sparkfolio.operators.asof import maybe_broadcast
+        probs = [i / split_buckets for i in range(1, split_buckets)]
+        bounds = df.groupBy(date).agg(F.percentile_approx("prediction", probs, 10_000).alias("_bounds"))
+        x = df.join(maybe_broadcast(bounds), date)
+        pred = F.col("prediction")
+        x = x.withColumn("_b", F.when(pred.isNull(), F.lit(split_buckets)).otherwise(
+            F.size(F.filter("_bounds", lambda b: b > pred)))).drop("_bounds")
+        counts = x.groupBy(date, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(date).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(date, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        x = x.join(maybe_broadcast(offsets), [date, "_b"])
+        w = Window.partitionBy(date, "_b").orderBy(*order)
+        ranked = x.withColumn("prediction_rank", (F.col("_off") + F.row_number().over(w)).cast("int")) \
+                  .drop("_b", "_off")
+    return ranked.withColumn(
         "strategy_signal_rank", F.when(F.col("prediction_rank") <= top_n, F.lit(1)).otherwise(F.lit(0)))
 
 
@@ -71,8 +100,7 @@ def cumulative(df: DataFrame, chunk_rows: int | None = None) -> DataFrame:
         x = sequence_index(df, ["symbol"], "trade_date")
         x = chunked_running(x, sums=_CUMS, keys=["symbol"], chunk_rows=chunk_rows)
         x = chunked_running(
-            x.withColumn("_idx", F.col("_idx")),
-            sums={}, maxes={"_cmax": "cum_strategy_return", "_cmax_rank": "cum_strategy_return_rank"},
+            x, sums={}, maxes={"_cmax": "cum_strategy_return", "_cmax_rank": "cum_strategy_return_rank"},
             keys=["symbol"], chunk_rows=chunk_rows).drop("_idx")
     else:
         w = Window.partitionBy("symbol").orderBy("trade_date") \
@@ -93,12 +121,14 @@ def cumulative(df: DataFrame, chunk_rows: int | None = None) -> DataFrame:
 
 
 def backtest(predictions: DataFrame, threshold: float = THRESHOLD, top_n: int = TOP_N,
-             extra_columns: list[str] | None = None, chunk_rows: int | None = None) -> DataFrame:
+             extra_columns: list[str] | None = None, chunk_rows: int | None = None,
+             rank_buckets: int | None = None) -> DataFrame:
     """Backtest table: the 19 backtest columns (+ ``extra_columns``, e.g. the
-    11 model features, when present)."""
+    11 model features, when present). ``chunk_rows`` splits long series and
+    ``rank_buckets`` splits large daily cross-sections (both exact)."""
     from sparkfolio.schemas import BACKTEST_COLUMNS
     x = signal_strategy(predictions, threshold)
-    x = daily_rank(x, top_n)
+    x = daily_rank(x, top_n, split_buckets=rank_buckets)
     x = strategy_returns(x)
     x = cumulative(x, chunk_rows)
     extra = [c for c in (extra_columns or []) if c in x.columns and c not in BACKTEST_COLUMNS]

@@ -84,6 +84,8 @@ SELECT symbol, trade_date, {R('prediction', 'prediction')}, CAST(prediction_rank
        CAST(strategy_signal_rank AS BIGINT) AS strategy_signal_rank
 FROM bt""", "bt")
 
+ORACLE["daily_rank_split"] = ORACLE["daily_rank"]
+
 oracle("strategy_returns", f"""
 SELECT symbol, trade_date, {rcols(['strategy_return', 'strategy_return_rank', 'market_return'])} FROM bt""", "bt")
 

@@ -146,8 +146,8 @@ def q_gold_features_chunked(spark, sf):
 
 
 # ------------------------------------------------------------------ backtest / metrics
-def _backtest(spark, sf, chunk_rows=None) -> DataFrame:
-    return bt.backtest(fx.pred(spark, sf), chunk_rows=chunk_rows)
+def _backtest(spark, sf, chunk_rows=None, rank_buckets=None) -> DataFrame:
+    return bt.backtest(fx.pred(spark, sf), chunk_rows=chunk_rows, rank_buckets=rank_buckets)
 
 
 @query("signal_strategy")
@@ -161,6 +161,13 @@ def q_daily_rank(spark, sf):
                "symbol", "trade_date", "prediction", "prediction_rank", "strategy_signal_rank")
 
 
+@query("daily_rank_split")
+def q_daily_rank_split(spark, sf):
+    """daily_rank with every date split into 4 value ranges (exact ranks)."""
+    return out(bt.daily_rank(fx.pred(spark, sf), split_buckets=4),
+               "symbol", "trade_date", "prediction", "prediction_rank", "strategy_signal_rank")
+
+
 @query("strategy_returns")
 def q_strategy_returns(spark, sf):
     return out(_backtest(spark, sf), "symbol", "trade_date", "strategy_return", "strategy_return_rank",
@@ -191,7 +198,8 @@ def q_backtest(spark, sf):
 
 @query("backtest_chunked")
 def q_backtest_chunked(spark, sf):
-    return out(_backtest(spark, sf, TEST_CHUNK_ROWS), *BACKTEST_COLUMNS)
+    """backtest with long series chunked and daily cross-sections split."""
+    return out(_backtest(spark, sf, TEST_CHUNK_ROWS, rank_buckets=4), *BACKTEST_COLUMNS)
 
 
 def _metrics(spark, sf, keep_counts=False) -> DataFrame:
