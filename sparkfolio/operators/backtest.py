@@ -48,17 +48,18 @@ def daily_rank(df: DataFrame, top_n: int = TOP_N, date: str = "trade_date",
         w = Window.partitionBy(date).orderBy(*order)
         ranked = df.withColumn("prediction_rank", F.row_number().over(w))
     else:
-        from sparkfolio.operators.asof import maybe_broadcast
+        # bounds/offsets have one row per date (per range): joined without a
+        # hint, AQE broadcasts them when their measured size is small.
         probs = [i / split_buckets for i in range(1, split_buckets)]
         bounds = df.groupBy(date).agg(F.percentile_approx("prediction", probs, 10_000).alias("_bounds"))
-        x = df.join(maybe_broadcast(bounds), date)
+        x = df.join(bounds, date)
         pred = F.col("prediction")
         x = x.withColumn("_b", F.when(pred.isNull(), F.lit(split_buckets)).otherwise(
             F.size(F.filter("_bounds", lambda b: b > pred)))).drop("_bounds")
         counts = x.groupBy(date, "_b").agg(F.count(F.lit(1)).alias("_n"))
         before = Window.partitionBy(date).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select(date, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-        x = x.join(maybe_broadcast(offsets), [date, "_b"])
+        x = x.join(offsets, [date, "_b"])
         w = Window.partitionBy(date, "_b").orderBy(*order)
         ranked = x.withColumn("prediction_rank", (F.col("_off") + F.row_number().over(w)).cast("int")) \
                   .drop("_b", "_off")

@@ -6,6 +6,10 @@ series may also be intraday or one symbol may hold a large share of the rows.
 These helpers evaluate the same window code over fixed-size *chunks* of a
 series instead:
 
+Small derived tables (bucket offsets, chunk prefixes) are joined without a
+hint: adaptive execution measures their materialised size and turns the
+join into a broadcast only when they are small.
+
 1. :func:`sequence_index` gives each row its position ``_idx`` (0-based) in
    its series with a two-level prefix: row counts per (key, time bucket) ->
    running offsets per key over the small bucket table -> offset + row
@@ -28,7 +32,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkfolio.operators.asof import maybe_broadcast
 from sparkfolio.operators.indicators import MAX_LOOKAHEAD, MAX_LOOKBACK
 
 DEFAULT_BUCKET_DAYS = 366
@@ -44,7 +47,7 @@ def _bucket(df: DataFrame, order: str, bucket_days: int):
 
 
 def sequence_index(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str = "trade_date",
-                   bucket_days: int = DEFAULT_BUCKET_DAYS, broadcast_rows: int = 200_000) -> DataFrame:
+                   bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Add ``_idx``: 0-based position of each row in its series (by ``order``;
     ``(keys, order)`` is expected unique)."""
     keys = list(keys)
@@ -52,7 +55,9 @@ def sequence_index(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str
     counts = b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    b = b.join(maybe_broadcast(offsets, broadcast_rows), [*keys, "_bucket"])
+    # offsets has one row per (key, bucket); no hint: AQE measures it at
+    # runtime and broadcasts it when small, else keeps the shuffle join.
+    b = b.join(offsets, [*keys, "_bucket"])
     inner = Window.partitionBy(*keys, "_bucket").orderBy(order)
     return b.withColumn("_idx", F.col("_off") + F.row_number().over(inner) - 1).drop("_bucket", "_off", "_n")
 
@@ -79,8 +84,7 @@ def chunked_apply(df: DataFrame, fn: Callable[..., DataFrame], keys: Sequence[st
 
 
 def chunked_running(df: DataFrame, sums: dict[str, str], maxes: dict[str, str] | None = None,
-                    keys: Sequence[str] = ("symbol",), chunk_rows: int = 100_000,
-                    broadcast_rows: int = 200_000) -> DataFrame:
+                    keys: Sequence[str] = ("symbol",), chunk_rows: int = 100_000) -> DataFrame:
     """Running sums ``{out: col}`` and running maxima ``{out: col}`` over an
     indexed series (``_idx`` present) using per-chunk partials + a prefix
     over chunk totals (the chunk table is small: rows / chunk_rows)."""
@@ -101,7 +105,7 @@ def chunked_running(df: DataFrame, sums: dict[str, str], maxes: dict[str, str] |
         *[F.coalesce(F.sum(f"_t_{o}").over(prev), F.lit(0.0)).alias(f"_p_{o}") for o in sums],
         *[F.max(f"_m_{o}").over(prev).alias(f"_q_{o}") for o in maxes],
     )
-    x = x.join(maybe_broadcast(pref, broadcast_rows), [*keys, "_chunk"])
+    x = x.join(pref, [*keys, "_chunk"])       # one row per chunk; AQE broadcasts it when small
     out = x.withColumns(
         {o: F.col(f"_p_{o}") + F.col(f"_ls_{o}") for o in sums}
         | {o: F.greatest(F.col(f"_q_{o}"), F.col(f"_lm_{o}")) for o in maxes}
