@@ -1 +1,6 @@
-"""Incremental processing of landed files (available-now file streams)."""
+"""Streaming: intentionally empty.
+
+The reference has no stream source, watermark, stateful operator or late-data
+rule; its jobs are batch runs scheduled per run day (see
+``sparkfolio.plans.jobs``). Nothing is added here beyond what it does.
+"""
