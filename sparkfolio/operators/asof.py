@@ -31,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkfolio.session import checkpoint as reliable_checkpoint
+
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
@@ -48,7 +50,7 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     if max_rows <= 0:
         return df
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = reliable_checkpoint(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -20,6 +20,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfolio.session import checkpoint as reliable_checkpoint
+
 from sparkfolio.operators.quality import drop_missing
 from sparkfolio.schemas import FEATURES, LABEL
 
@@ -64,7 +66,7 @@ def tune(train: DataFrame, grid: Mapping[str, Sequence[int]] = DEFAULT_GRID, fol
     re-running its lineage, and a lost executor does not re-run it either.
     """
     if checkpoint:
-        train = train.checkpoint(eager=True)
+        train = reliable_checkpoint(train)
     pipeline, gbt = build_estimator(features, label, seed)
     builder = ParamGridBuilder()
     for name, values in grid.items():
@@ -92,8 +94,15 @@ def score(model: PipelineModel | CrossValidatorModel, df: DataFrame) -> DataFram
     return m.transform(df)
 
 
-def standardize(df: DataFrame, features: Sequence[str] = FEATURES, suffix: str = "_z") -> DataFrame:
-    """Each feature as (x - mean) / sample sd, computed by MLlib's scaler."""
+def standardize(df: DataFrame, features: Sequence[str] = FEATURES, suffix: str = "_z",
+                checkpoint: bool = True) -> DataFrame:
+    """Each feature as (x - mean) / sample sd, computed by MLlib's scaler.
+
+    The input feeds two passes (fit, then transform); ``checkpoint`` writes
+    it once to the checkpoint folder so its lineage runs once.
+    """
+    if checkpoint:
+        df = reliable_checkpoint(df)
     assembler = VectorAssembler(inputCols=list(features), outputCol="_raw")
     scaler = StandardScaler(inputCol="_raw", outputCol="_z", withMean=True, withStd=True)
     fitted = Pipeline(stages=[assembler, scaler]).fit(df)

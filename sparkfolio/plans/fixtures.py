@@ -166,15 +166,13 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct("meta", "values")).alias("body"))
     ratios = ratio_docs(spark, sf_dir).select(F.lit("ratios").alias("source"), "dt", "symbol", "body")
     syms = bars(spark, sf_dir).select("symbol").distinct()
-    errors = syms.select(
-        F.lit("prices").alias("source"), F.lit("2002-12").alias("dt"), "symbol",
-        F.lit('{"status": "error", "message": "rate limit"}').alias("body"),
-    ).unionByName(syms.select(
-        F.lit("ratios").alias("source"), F.lit("2004").alias("dt"), "symbol",
-        F.lit('{"Error Message": "Limit Reach"}').alias("body"),
-    )).unionByName(syms.select(
-        F.lit("ratios").alias("source"), F.lit("2005").alias("dt"), "symbol", F.lit("[]").alias("body"),
-    ))
+    # fixed three-row table of failure payloads, crossed with the symbols once
+    kinds = spark.createDataFrame([
+        ("prices", "2002-12", '{"status": "error", "message": "rate limit"}'),
+        ("ratios", "2004", '{"Error Message": "Limit Reach"}'),
+        ("ratios", "2005", "[]"),
+    ], "source string, dt string, body string")
+    errors = syms.crossJoin(F.broadcast(kinds)).select("source", "dt", "symbol", "body")
     return docs.unionByName(ratios).unionByName(errors)
 
 

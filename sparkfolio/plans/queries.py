@@ -313,11 +313,13 @@ def q_row_counts(spark, sf):
 
 # ------------------------------------------------------------------ scans and sinks
 def _write_raw_docs(spark, sf) -> str:
+    """Price documents as JSON lines under source=prices/dt=<month>/ (one
+    line per symbol document; the symbol is inside the document)."""
     root = scratch_path(spark, "landing")
     docs = fx.raw_docs(spark, sf).select(
-        F.lit("prices").alias("source"), "dt", "symbol",
+        F.lit("prices").alias("source"), "dt",
         F.to_json(F.struct("meta", "values")).alias("value"))
-    docs.write.mode("append").partitionBy("source", "dt", "symbol").text(root)
+    docs.write.mode("append").partitionBy("source", "dt").text(root)
     return root
 
 
@@ -373,8 +375,10 @@ def q_ensure_columns(spark, sf):
 
 @query("scan_parquet")
 def q_scan_parquet(spark, sf):
-    path = scratch_path(spark, "silver_prices")
-    wr.write_partitions(fx.bars(spark, sf), path, ["trade_date"])
+    """Write bars partitioned by symbol (the gold layout), read back: the
+    partition column is discovered from the paths."""
+    path = scratch_path(spark, "gold_layout")
+    wr.write_partitions(fx.bars(spark, sf), path, ["symbol"])
     return out(rd.read_table(spark, path))
 
 

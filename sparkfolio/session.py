@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -47,6 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (never a local one): materialise ``df`` in the
+    session's checkpoint folder and cut its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
