@@ -23,6 +23,7 @@ from sparkfolio.sources.readers import table_exists
 
 KEYS = ("source", "dt", "symbol")
 LANDED_SCHEMA = "value string, source string, dt string, symbol string"
+MAX_PRUNED_DTS = 1000
 
 
 def outcome_expr(body: str = "body") -> Column:
@@ -49,10 +50,23 @@ def read_landed(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LANDED_SCHEMA).text(root)
 
 
-def landed_keys(spark: SparkSession, root: str, keys: Sequence[str] = KEYS) -> DataFrame | None:
+def batch_dts(incoming: DataFrame, limit: int = MAX_PRUNED_DTS) -> list[str] | None:
+    """The run dates (``dt``) of a batch, or None when there are more than
+    ``limit`` (then no pruning). Bounded: at most ``limit + 1`` values."""
+    dts = [r.dt for r in incoming.select("dt").distinct().limit(limit + 1).collect()]
+    return None if len(dts) > limit else dts
+
+
+def landed_keys(spark: SparkSession, root: str, keys: Sequence[str] = KEYS,
+                dts: Sequence[str] | None = None) -> DataFrame | None:
+    """Keys already in the landing folder; with ``dts`` only those run-date
+    partitions are listed and read (PartitionFilters), not the whole history."""
     if not table_exists(spark, root, "text"):
         return None
-    return read_landed(spark, root).select(*keys).distinct()
+    landed = read_landed(spark, root)
+    if dts is not None:
+        landed = landed.filter(F.col("dt").isin(list(dts)))
+    return landed.select(*keys).distinct()
 
 
 def new_payloads(incoming: DataFrame, landed: DataFrame | None, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -63,7 +77,8 @@ def new_payloads(incoming: DataFrame, landed: DataFrame | None, keys: Sequence[s
 
 def land_new(spark: SparkSession, incoming: DataFrame, root: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Append the new good payloads under root/source=/dt=/symbol=; returns them."""
-    fresh = new_payloads(incoming, landed_keys(spark, root, keys), keys)
+    landed = landed_keys(spark, root, keys, dts=batch_dts(incoming))
+    fresh = new_payloads(incoming, landed, keys)
     (fresh.select(F.col("body").alias("value"), *keys)
           .write.mode("append").partitionBy(*keys).text(root))
     return fresh.select(*keys)

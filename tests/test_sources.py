@@ -64,3 +64,20 @@ def test_landing_new_only_and_summary(spark):
     ld.land_new(spark, incoming, root)                      # rerun lands nothing twice
     keys = sorted((r.source, r.dt, r.symbol) for r in ld.read_landed(spark, root).collect())
     assert keys == [("prices", "d1", "A"), ("ratios", "d2", "A")]
+
+
+def test_is_empty_and_empty_like(spark):
+    df = spark.range(5)
+    assert not rd.is_empty(df)
+    e = rd.empty_like(df)
+    assert rd.is_empty(e) and e.schema == df.schema
+
+
+def test_landing_prunes_to_batch_dates(spark):
+    root = scratch_path(spark, "landing")
+    rows = [("prices", f"d{i}", "A", '{"meta": {}}') for i in range(3)]
+    ld.land_new(spark, spark.createDataFrame(rows, "source string, dt string, symbol string, body string"), root)
+    keys = ld.landed_keys(spark, root, dts=["d1"])
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "d1" in plan
+    assert [r.dt for r in keys.collect()] == ["d1"]
