@@ -112,3 +112,27 @@ def chunked_running(df: DataFrame, sums: dict[str, str], maxes: dict[str, str] |
     )
     drop = [c for c in out.columns if c.startswith(("_ls_", "_lm_", "_p_", "_q_"))] + ["_chunk"]
     return out.drop(*drop)
+
+
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest group (one partially aggregated count per key)."""
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
+def auto_chunk_rows(df: DataFrame, keys: Sequence[str] = ("symbol",),
+                    max_rows: int = DEFAULT_MAX_GROUP_ROWS) -> int | None:
+    """``max_rows`` when some series is longer than that (use chunked windows),
+    else None (plain per-series windows)."""
+    return max_rows if largest_group(df, keys) > max_rows else None
+
+
+def auto_split_buckets(df: DataFrame, keys: Sequence[str] = ("trade_date",),
+                       max_rows: int = DEFAULT_MAX_GROUP_ROWS) -> int | None:
+    """Number of value ranges so that no (group, range) exceeds ~max_rows, or
+    None when every group is small enough."""
+    top = largest_group(df, keys)
+    return -(-top // max_rows) if top > max_rows else None

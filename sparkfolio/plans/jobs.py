@@ -27,6 +27,7 @@ from sparkfolio.operators import model as md
 from sparkfolio.operators import quality as qa
 from sparkfolio.operators import scd2
 from sparkfolio.operators import scoring as sc
+from sparkfolio.operators import series
 from sparkfolio.schemas import FEATURES, RAW_PRICES
 from sparkfolio.sources import readers as rd
 from sparkfolio.sources import writers as wr
@@ -80,9 +81,16 @@ def silver_fundamentals_job(spark: SparkSession, bronze_root: str, table: str, t
 
 
 def gold_job(spark: SparkSession, prices_path: str, fundamentals: DataFrame | str, gold_path: str,
-             chunk_rows: int | None = None) -> dict:
-    """Silver prices + current fundamentals -> feature table partitioned by symbol."""
+             chunk_rows: int | str | None = "auto") -> dict:
+    """Silver prices + current fundamentals -> feature table partitioned by symbol.
+
+    ``chunk_rows="auto"`` switches to chunked windows when a series is longer
+    than ``series.DEFAULT_MAX_GROUP_ROWS`` rows (decided from one count per
+    symbol on the stored table).
+    """
     prices = rd.read_table(spark, prices_path)
+    if chunk_rows == "auto":
+        chunk_rows = series.auto_chunk_rows(prices)
     fund = spark.table(fundamentals) if isinstance(fundamentals, str) else fundamentals
     gold = ft.gold_features(prices, fund, chunk_rows=chunk_rows)
     wr.write_partitions(gold, gold_path, ["symbol"])
@@ -92,7 +100,8 @@ def gold_job(spark: SparkSession, prices_path: str, fundamentals: DataFrame | st
 
 def ml_job(spark: SparkSession, gold_path: str, out_root: str, split_date: str,
            grid: Mapping[str, Sequence[int]] = md.DEFAULT_GRID, folds: int = md.DEFAULT_FOLDS,
-           parallelism: int = 1, top_n: int = bt.TOP_N, chunk_rows: int | None = None) -> dict:
+           parallelism: int = 1, top_n: int = bt.TOP_N, chunk_rows: int | str | None = "auto",
+           rank_buckets: int | str | None = "auto") -> dict:
     """Train + cross-validate, backtest the test period, score the latest day.
 
     Writes ``backtest_results`` (by symbol), ``backtest_metrics`` and
@@ -104,9 +113,13 @@ def ml_job(spark: SparkSession, gold_path: str, out_root: str, split_date: str,
     train, test = md.time_split(ready, split_date)
     if rd.is_empty(train) or rd.is_empty(test):
         return {"status": "empty train or test set"}
+    if chunk_rows == "auto":
+        chunk_rows = series.auto_chunk_rows(test)
+    if rank_buckets == "auto":
+        rank_buckets = series.auto_split_buckets(test)
     model = md.tune(train, grid, folds, parallelism=parallelism)
     backtest = bt.backtest(md.score(model, test), top_n=top_n, extra_columns=FEATURES,
-                           chunk_rows=chunk_rows)
+                           chunk_rows=chunk_rows, rank_buckets=rank_buckets)
     wr.write_partitions(backtest, f"{out}/backtest_results", ["symbol"])
     # metrics read the written table instead of re-running scoring + windows
     metrics = mt.backtest_metrics(rd.read_table(spark, f"{out}/backtest_results"))
@@ -132,7 +145,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     g.add_argument("--prices", required=True)
     g.add_argument("--fundamentals-table", required=True)
     g.add_argument("--gold", required=True)
-    g.add_argument("--chunk-rows", type=int)
+    g.add_argument("--chunk-rows", default="auto")
     m = sub.add_parser("ml")
     m.add_argument("--gold", required=True)
     m.add_argument("--out", required=True)
@@ -144,7 +157,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         print(silver_prices_job(spark, a.bronze, a.prices, a.run_date))
         print(silver_fundamentals_job(spark, a.bronze, a.fundamentals_table, a.fundamentals_root, a.run_date))
     elif a.job == "gold":
-        print(gold_job(spark, a.prices, a.fundamentals_table, a.gold, a.chunk_rows))
+        chunk = a.chunk_rows if a.chunk_rows == "auto" else int(a.chunk_rows)
+        print(gold_job(spark, a.prices, a.fundamentals_table, a.gold, chunk))
     else:
         print(ml_job(spark, a.gold, a.out, a.split_date, parallelism=a.parallelism))
 

@@ -50,3 +50,11 @@ def test_sharpe_zero_stddev(spark):
                                "target_return_next_day double")
     m = mt.backtest_metrics(bt.backtest(df)).first()
     assert m.sharpe_ratio == 0.0 and m.model_precision_pct == 0.0
+
+
+def test_auto_split_decisions(spark):
+    from sparkfolio.operators import series
+    df = spark.range(10).selectExpr("'A' AS symbol", "id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS trade_date")
+    assert series.auto_chunk_rows(df, max_rows=100) is None
+    assert series.auto_chunk_rows(df, max_rows=4) == 4
+    assert series.auto_split_buckets(df.withColumn("trade_date", F.lit(1)), max_rows=4) == 3
