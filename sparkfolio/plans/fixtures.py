@@ -49,10 +49,20 @@ def _lineitem_part(spark: SparkSession, sf_dir: str, extra: list[str] = ()) -> D
     return li.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
 
+def _line_sequence():
+    """(l_orderkey, l_linenumber, l_partkey) as one decimal(38,0) with the same
+    order: orderkey * 10^14 + linenumber * 10^13 + partkey (linenumber < 10,
+    partkey < 10^13). A decimal ordering key keeps min_by/max_by in a hash
+    aggregate (a struct key would force a sort-based aggregate)."""
+    d = lambda c: F.col(c).cast("decimal(38,0)")
+    return (d("l_orderkey") * F.lit(10 ** 14).cast("decimal(38,0)")
+            + d("l_linenumber") * F.lit(10 ** 13).cast("decimal(38,0)") + d("l_partkey"))
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV bars per brand (unique on symbol, trade_date)."""
     j = _lineitem_part(spark, sf_dir)
-    seq = F.struct("l_orderkey", "l_linenumber", "l_partkey")
+    seq = _line_sequence()
     return j.groupBy(
         F.col("p_brand").alias("symbol"), F.to_date("l_shipdate").alias("trade_date"),
     ).agg(
