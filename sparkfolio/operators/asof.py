@@ -96,25 +96,27 @@ def asof_join(left: DataFrame, right: DataFrame, by: str = "symbol",
     open interval of a symbol up to the latest report year G. On the left
     side the join year is min(year(left_ts), G): rows after G look up the
     year-G intervals, where only the open ones (or ones ending later) pass the
-    range residual. G is a one-row value of the report table, so the left
+    range residual. G is one scalar read from the report table, so the left
     side is never scanned twice.
     """
     iv = report_intervals(right, by, right_ts, values, tie)
-    top = iv.agg(F.max(F.year(right_ts)).alias("_top_year"))
-    keyed = iv.crossJoin(F.broadcast(top)).select(
+    if broadcast_rows > 0:
+        iv = reliable_checkpoint(iv)          # small; read by the bound below and the join
+    # G: one scalar from the (small) report table
+    top = iv.agg(F.max(F.year(right_ts))).first()[0]
+    top = F.lit(top).cast("int")
+    keyed = iv.select(
         F.col(by).alias("_r_by"),
         F.col(right_ts).alias("_r_from"),
         F.col("_valid_to").alias("_r_to"),
         *[F.col(v).alias(f"_r_{v}") for v in values],
         F.explode(F.sequence(
             F.year(right_ts),
-            F.coalesce(F.year(F.date_sub("_valid_to", 1)), F.col("_top_year")),
+            F.coalesce(F.year(F.date_sub("_valid_to", 1)), top),
         )).alias("_r_year"),
     )
-    keyed = maybe_broadcast(keyed, broadcast_rows, materialize=broadcast_rows > 0)
-    top_year = keyed.agg(F.max("_r_year").alias("_top_year"))
-    lft = left.crossJoin(F.broadcast(top_year)).withColumn(
-        "_l_year", F.least(F.year(F.col(left_ts)), F.col("_top_year")))
+    keyed = maybe_broadcast(keyed, broadcast_rows)
+    lft = left.withColumn("_l_year", F.least(F.year(F.col(left_ts)), top))
     cond = (
         (F.col(by) == F.col("_r_by"))
         & (F.col("_l_year") == F.col("_r_year"))

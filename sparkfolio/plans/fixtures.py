@@ -175,14 +175,17 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("prices").alias("source"), "dt", "symbol",
         F.to_json(F.struct("meta", "values")).alias("body"))
     ratios = ratio_docs(spark, sf_dir).select(F.lit("ratios").alias("source"), "dt", "symbol", "body")
-    syms = bars(spark, sf_dir).select("symbol").distinct()
-    # fixed three-row table of failure payloads, crossed with the symbols once
-    kinds = spark.createDataFrame([
+    # fixed failure payloads, one of each per symbol
+    kinds = [
         ("prices", "2002-12", '{"status": "error", "message": "rate limit"}'),
         ("ratios", "2004", '{"Error Message": "Limit Reach"}'),
         ("ratios", "2005", "[]"),
-    ], "source string, dt string, body string")
-    errors = syms.crossJoin(F.broadcast(kinds)).select("source", "dt", "symbol", "body")
+    ]
+    kind = F.explode(F.array(*[
+        F.struct(F.lit(src).alias("source"), F.lit(dt).alias("dt"), F.lit(body).alias("body"))
+        for src, dt, body in kinds]))
+    errors = bars(spark, sf_dir).select("symbol").distinct() \
+        .select("symbol", kind.alias("k")).select("k.source", "k.dt", "symbol", "k.body")
     return docs.unionByName(ratios).unionByName(errors)
 
 
