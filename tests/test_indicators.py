@@ -65,3 +65,20 @@ def test_single_window_exchange(spark, sf_small):
         {"pe_ratio": F.lit(1.0), "debt_to_equity": F.lit(1.0)}))._jdf.queryExecution().executedPlan().toString()
     # one shuffle for the bars aggregate + one for the whole block of windows
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_chunked_features_equal_plain(spark, sf_small):
+    """Chunks of 40 rows (several per symbol) with 25-row halos give the same values."""
+    from sparkfolio.operators.series import chunked_apply
+    from sparkfolio.plans import fixtures as fx
+    base = fx.bars(spark, sf_small).withColumns({"pe_ratio": F.lit(1.0), "debt_to_equity": F.lit(1.0)})
+    cols = ["sma_20", "bollinger_upper", "macd_line", "rsi_14", "daily_return", "return_lag_3",
+            "volatility_10d", "pct_b", "target_return_next_day"]
+    plain = {(r.symbol, r.trade_date): r for r in ft.feature_columns(base).select("symbol", "trade_date", *cols).collect()}
+    chunked = {(r.symbol, r.trade_date): r for r in
+               chunked_apply(base, ft.feature_columns, chunk_rows=40).select("symbol", "trade_date", *cols).collect()}
+    assert plain.keys() == chunked.keys()
+    for k, a in plain.items():
+        b = chunked[k]
+        for c in cols:
+            assert (a[c] is None and b[c] is None) or a[c] == pytest.approx(b[c], rel=1e-9, abs=1e-12), (k, c)
