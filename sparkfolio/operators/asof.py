@@ -20,8 +20,9 @@ Spark-first design (no collect, no per-row Python):
    (:func:`maybe_broadcast`); beyond the bound it is a shuffle join on
    ``(symbol, year)``, which AQE can still convert or split when skewed.
 
-:func:`asof_join_union` is the alternative form (union + ``last(...,
-ignorenulls)`` over a running frame); both give the same rows.
+:func:`asof_join_union` is the alternative form (one stream of reports and
+prices, running maximum of the latest report, evaluated per time bucket);
+both give the same rows.
 """
 
 from __future__ import annotations
@@ -133,24 +134,41 @@ def asof_join(left: DataFrame, right: DataFrame, by: str = "symbol",
 def asof_join_union(left: DataFrame, right: DataFrame, by: str = "symbol",
                     left_ts: str = "trade_date", right_ts: str = "report_date",
                     values: Sequence[str] = ("pe_ratio", "debt_to_equity"),
-                    tie: Sequence[str] = ("effective_date", "ingestion_ts")) -> DataFrame:
-    """Same result as :func:`asof_join` without a join: reports and prices in
-    one ordered stream per symbol; each price row takes the last report seen
-    (a report sorts before prices of the same date)."""
+                    tie: Sequence[str] = ("effective_date", "ingestion_ts"),
+                    bucket_days: int = 366) -> DataFrame:
+    """Same result as :func:`asof_join` without a join on ranges: reports and
+    prices form one stream; each price row takes the latest report at or
+    before it (a report sorts before prices of the same date).
+
+    "Latest report so far" is a running maximum of (report date, values), so
+    it is evaluated per (symbol, time bucket) and completed with the maximum
+    of all earlier buckets (a small per-bucket table): no task holds a whole
+    symbol.
+    """
     iv = report_intervals(right, by, right_ts, values, tie)
+    rep_t = iv.schema[right_ts].dataType
     rep = iv.select(
         F.col(by), F.col(right_ts).alias("_t"), F.lit(0).alias("_kind"),
-        F.struct(*[F.col(v) for v in values]).alias("_rep"),
+        F.struct(F.col(right_ts).alias("_at"), *[F.col(v) for v in values]).alias("_rep"),
         *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns if c != by],
     )
     px = left.select(
-        F.col(by), F.col(left_ts).alias("_t"), F.lit(1).alias("_kind"),
+        F.col(by), F.col(left_ts).cast(rep_t).alias("_t"), F.lit(1).alias("_kind"),
         F.lit(None).cast(rep.schema["_rep"].dataType).alias("_rep"),
         *[F.col(c) for c in left.columns if c != by],
     )
-    w = Window.partitionBy(by).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    out = rep.unionByName(px).withColumn("_last", F.last("_rep", ignorenulls=True).over(w))
-    return out.filter(F.col("_kind") == 1).select(
+    bucket = F.floor(F.datediff(F.col("_t"), F.lit("1970-01-01").cast("date")) / bucket_days)
+    x = rep.unionByName(px).withColumn("_b", bucket)
+    w = Window.partitionBy(by, "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_local", F.max("_rep").over(w))
+    # every (symbol, bucket) with any row gets a carry; price rows add null (ignored by max)
+    per_bucket = x.groupBy(by, "_b").agg(F.max("_rep").alias("_m"))
+    before = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(by, "_b", F.max("_m").over(before).alias("_carry"))
+    # carry has one row per (symbol, bucket); AQE broadcasts it when small
+    out = x.filter(F.col("_kind") == 1).join(carry, [by, "_b"], "left") \
+           .withColumn("_last", F.greatest("_local", "_carry"))
+    return out.select(
         *[F.col(c) for c in left.columns], *[F.col(f"_last.{v}").alias(v) for v in values])
 
 

@@ -57,3 +57,14 @@ def test_first_per_group_dedupes_copies(spark):
                                "symbol string, d int, v double")
     out = asof.first_per_group(df, ["symbol", "d"], [F.col("v").desc()]).collect()
     assert sorted((r.symbol, r.v) for r in out) == [("A", 6.0), ("B", 1.0)]
+
+
+def test_asof_union_carries_across_empty_buckets(spark):
+    p = spark.createDataFrame([("A", D(2030, 1, 1), 9.0), ("A", D(2020, 5, 1), 8.0)],
+                              "symbol string, trade_date date, close double")
+    r = spark.createDataFrame([("A", D(2020, 1, 1), 3.0, None, D(2020, 1, 2), True)],
+                              "symbol string, report_date date, pe_ratio double, debt_to_equity double, "
+                              "effective_date date, is_current boolean")
+    want = {("A", D(2030, 1, 1)): (3.0, None), ("A", D(2020, 5, 1)): (3.0, None)}
+    assert _as_dict(asof.asof_join_union(p, r)) == want
+    assert _as_dict(asof.asof_join(p, r)) == want
