@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sparkfolio.plans.oracle import R, W, rcols, with_ctes
-from sparkfolio.schemas import BACKTEST_COLUMNS, METRICS_COLUMNS
+from sparkfolio.plans.oracle import R, W, cte, rcols, with_ctes
+from sparkfolio.schemas import BACKTEST_COLUMNS, FEATURES, LABEL, METRICS_COLUMNS
 
 ORACLE: dict[str, str] = {}
 
@@ -139,7 +139,6 @@ oracle("summary_ranking", metrics_sql([
 
 
 # ------------------------------------------------------------------ quality / flatten / scans
-from sparkfolio.plans.oracle import cte  # noqa: E402
 
 PX = f'symbol, trade_date, {rcols(["open", "high", "low", "close"])}, volume'
 LINEAGE = "'twelvedata' AS source_api, DATE '2002-02-01' AS ingestion_date"
@@ -315,7 +314,6 @@ oracle("serving_metrics", metrics_sql([
     "sharpe_ratio", "sharpe_ratio_market", "max_drawdown", "model_precision_pct"]), "metrics")
 
 # ------------------------------------------------------------------ model (S parts)
-from sparkfolio.schemas import FEATURES, LABEL  # noqa: E402
 
 cte("ready", f"""
 SELECT * FROM gold WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [LABEL, *FEATURES])}""", ["gold"])

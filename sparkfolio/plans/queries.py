@@ -13,9 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.columns import ints_to_long, round_doubles
-from sparkfolio.operators import asof, backtest as bt, features as ft, indicators as ind, metrics as mt
+from sparkfolio.operators import asof
+from sparkfolio.operators import backtest as bt
+from sparkfolio.operators import features as ft
+from sparkfolio.operators import indicators as ind
+from sparkfolio.operators import metrics as mt
+from sparkfolio.operators import model as md
+from sparkfolio.operators import quality as qa
+from sparkfolio.operators import scd2
+from sparkfolio.operators import scoring as sc
 from sparkfolio.plans import fixtures as fx
-from sparkfolio.schemas import BACKTEST_COLUMNS, LABEL
+from sparkfolio.schemas import BACKTEST_COLUMNS, FEATURES, LABEL, RAW_PRICES
+from sparkfolio.session import scratch_path, unique_name
+from sparkfolio.sources import landing as ld
+from sparkfolio.sources import readers as rd
+from sparkfolio.sources import writers as wr
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -237,14 +249,6 @@ def q_summary_ranking(spark, sf):
 
 
 # ------------------------------------------------------------------ quality / flatten
-from sparkfolio.operators import quality as qa  # noqa: E402
-from sparkfolio.operators import scd2  # noqa: E402
-from sparkfolio.operators import scoring as sc  # noqa: E402
-from sparkfolio.schemas import RAW_PRICES  # noqa: E402
-from sparkfolio.session import scratch_path, unique_name  # noqa: E402
-from sparkfolio.sources import landing as ld  # noqa: E402
-from sparkfolio.sources import readers as rd  # noqa: E402
-from sparkfolio.sources import writers as wr  # noqa: E402
 
 PRICE_COLS = ("symbol", "trade_date", "open", "high", "low", "close", "volume")
 RUN_DATE = fx.FUND_EFFECTIVE
@@ -574,8 +578,6 @@ def q_serving_registered(spark, sf):
 
 
 # ------------------------------------------------------------------ model
-from sparkfolio.operators import model as md  # noqa: E402
-from sparkfolio.schemas import FEATURES  # noqa: E402
 
 # Registered ML queries use a smaller grid than the library default
 # (md.DEFAULT_GRID, the reference's maxDepth {5,8} x maxIter {20,40}, which
