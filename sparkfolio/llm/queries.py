@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfolio.llm import byte_bpe, pii, token_files
 from sparkfolio.llm.fm_dedup import remove_repeats
+from sparkfolio.llm.mixing import mix_sources
 from sparkfolio.llm.ngram_jaccard import ngram_jaccard
 from sparkfolio.llm.rules import quality_rules
+from sparkfolio.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +26,35 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"), *model), *model)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    token_files.write(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.digest(token_files.read(spark, folder))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *(count(k) for k in pii.BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +65,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_ngram_jaccard, op9_quality_rules, op10_substring_dedup)}
+    op1_ngram_jaccard, op3_mix_sources, op4_byte_bpe, op7_token_files, op8_pii, op9_quality_rules, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
