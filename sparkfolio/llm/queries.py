@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.llm import byte_bpe, pii, token_files
 from sparkfolio.llm.fm_dedup import remove_repeats
 from sparkfolio.llm.mixing import mix_sources
 from sparkfolio.llm.ngram_jaccard import ngram_jaccard
+from sparkfolio.llm.pu_quality import quality
 from sparkfolio.llm.rules import quality_rules
+from sparkfolio.llm.toxicity import toxicity
+from sparkfolio.llm.vptree import nearest
 from sparkfolio.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +29,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"))
 
 
+def op2_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +47,20 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _held_out(folds: int, fold: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _held_out(3, 1))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _held_out(5, 0))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -65,6 +87,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_ngram_jaccard, op3_mix_sources, op4_byte_bpe, op7_token_files, op8_pii, op9_quality_rules, op10_substring_dedup)}
+    op1_ngram_jaccard, op2_vantage_points, op3_mix_sources, op4_byte_bpe, op5_toxicity, op6_pu_quality, op7_token_files, op8_pii, op9_quality_rules, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
