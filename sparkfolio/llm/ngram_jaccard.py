@@ -168,13 +168,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def _links(texts: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect what the similarity join connects."""
     heads = stored(texts.select("node", "n", "alone", F.posexplode(F.expr("slice(keys, 1, head)")).alias("at", "key"))
-                   .withColumn("left", F.col("n") - F.col("alone") - F.col("at") - 1).drop("alone", "at"), "heads")
+                   .withColumn("left", F.col("n") - F.col("alone") - F.col("at") - 1).drop("at"), "heads")
     links = None
     label = texts.select(F.col("node").alias("id"), F.col("node").alias("component")).limit(0)
     for turn in range(PIVOT_ROUNDS + 1):
         rows = heads.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn(
             "label", F.coalesce("component", "node")).drop("component")
-        rank = F.xxhash64("node", F.lit(turn))
+        # the text with the fewest shingles of its own is the likeliest centre of a group; later turns vary it
+        rank = F.struct("alone", "node") if turn == 0 else F.struct(F.expr(f"alone div {4 ** turn}"), F.xxhash64("node", F.lit(turn)))
         lists = rows.groupBy("key").agg(
             F.min("label").alias("low"), F.max("label").alias("high"),
             F.min(F.struct(rank, "node", "label")).alias("pivot")).filter("low != high")
