@@ -21,6 +21,7 @@ sides of it, so each distinct word is encoded once and a text is the words' ids
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from sparkfolio.llm.spark_env import prepare
 
@@ -48,10 +49,23 @@ DICT_TEXTS = 1000
 DICT_TEXT_BYTES = 8 << 10
 LEVEL = 3
 #: Words whose ids a task keeps at hand.
-CACHE = 300_000
+CACHE = 1_000_000
 
-_WORD = re.compile(r"[^\x20\x09-\x0d]+")
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_SPACES = "\t\n\x0b\x0c\r"
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_TAIL = ".,!?;:"
+
+
+def _words(text: str) -> list[str]:
+    """Words in lower case where that is certain to be what the tokenizer does."""
+    try:
+        text.encode("latin-1")
+        text = text.lower()
+    except UnicodeEncodeError:
+        pass
+    for c in _SPACES:
+        text = text.replace(c, " ")
+    return text.split(" ")
 
 
 class Words:
@@ -70,6 +84,10 @@ class Words:
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.special = special
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -81,35 +99,44 @@ class Words:
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Words of letters only are encoded in one text, where each ends at a piece that closes a word."""
-        plain = [(w, m[1], m[2]) for w in words if (m := _PLAIN.fullmatch(w))]
-        have = {w for w, _, _ in plain}
-        other = [w for w in words if w not in have]
+    def _learn(self, words: set[str]) -> None:
+        """Lower-case words of letters need no normalisation, and each ends at a piece that closes a word; they are
+        encoded in one text. Signs behind a word are split from it."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+        plain, other = [], []
+        for w in words:
+            c = w.rstrip(_TAIL)
+            if c.isalpha() and (c.isascii() or _PLAIN.fullmatch(c)):
+                plain.append((w, c.lower(), w[len(c):]))
+            else:
+                other.append(w)
         self.known.update(zip(other, self._each(other), strict=True))
         if not plain:
             return
-        cores = list(dict.fromkeys(c for _, c, _ in plain))
-        ids = np.array(self.model.encode(" ".join(cores), add_special_tokens=False).ids, "<u2")
+        cores = list({c for _, c, _ in plain})
+        ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u2")
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(cores):
             raise ValueError("the tokenizer does not close each word")
         raw, at = ids.tobytes(), np.append(0, ends * 2).tolist()
-        core = {c: raw[at[i]:at[i + 1]] for i, c in enumerate(cores)}
-        tails = list(dict.fromkeys(t for _, _, t in plain))
+        core = {c: raw[x:y] for c, x, y in zip(cores, at, at[1:], strict=False)}
+        tails = list({t for _, _, t in plain})
         tail = dict(zip(tails, self._each(tails), strict=True))
-        self.known.update((w, core[c] + tail[t]) for w, c, t in plain)
+        self.known.update([(w, core[c] + tail[t]) for w, c, t in plain])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 16-bit integers, without special tokens of its own."""
-        split = [[w.lower() if w.isascii() else w for w in _WORD.findall(t)] for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if new:
-            self._learn(sorted(new))
-        out = [b"".join([known[w] for w in words]) for words in split]
+        split = [_words(t) for t in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        if new := {w for words, ids in zip(split, found, strict=True) if None in ids
+                   for w, i in zip(words, ids, strict=True) if i is None}:
+            self._learn(new)
+            get = self.known.get
+            lost = [i for i, ids in enumerate(found) if None in ids]
+            for i in lost:
+                found[i] = [get(w) if v is None else v for w, v in zip(split[i], found[i], strict=True)]
+        out = list(map(b"".join, found))
         for i, t in enumerate(texts):                        # special tokens are matched before words are split
             if any(s in t for s in self.special):
                 out[i] = self._each([t])[0]
@@ -118,8 +145,11 @@ class Words:
 
 def _dictionary(texts: DataFrame, path: str) -> bytes:
     """A dictionary from the id arrays of a bounded sample; b"" if there is too little to train on."""
-    sample = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(DICT_TEXTS).select(F.expr(
-        f"substring(text, 1, {DICT_TEXT_BYTES})").alias("text")).collect()
+    rank = F.xxhash64("doc_id", "text")
+    last = texts.select(rank.alias("rank")).orderBy("rank").limit(DICT_TEXTS).agg(F.max("rank")).first()[0]
+    if last is None:
+        return b""
+    sample = texts.filter(rank <= last).select(F.expr(f"substring(text, 1, {DICT_TEXT_BYTES})").alias("text")).limit(DICT_TEXTS).collect()
     rows = [x for x in Words.of(path).encode([r.text for r in sample]) if x]
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, sum(map(len, rows)) // 4), rows).as_bytes()
@@ -142,6 +172,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, press = Words.of(tokenizer), _compressor(content)
+        gc.set_threshold(1_000_000)                          # millions of short-lived lists, no cycles
         end, part, seq = np.array([end_id], "<u2").tobytes(), TaskContext.get().partitionId(), 0
         ids, frames, sizes, total = [], [], [], 0
 
