@@ -27,6 +27,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +42,15 @@ from sparkfolio.llm.spark_env import prepare
 
 END_ID = 2
 FILE_TEXTS = 1024
+#: Texts encoded at once.
+BATCH = 1024
 FILE_BYTES = 4 << 20
 #: The dictionary: its size, the most documents it is trained on and the most bytes of each. The documents are those
 #: of the smallest hash of the doc_id, over the whole table.
 DICT_BYTES = 64 << 10
 DICT_TEXTS = 1000
 DICT_TEXT_BYTES = 8 << 10
-LEVEL = 3
+LEVEL = 1
 #: Words whose ids a task keeps at hand.
 CACHE = 1_000_000
 
@@ -102,8 +105,6 @@ class Words:
     def _learn(self, words: set[str]) -> None:
         """Lower-case words of letters need no normalisation, and each ends at a piece that closes a word; they are
         encoded in one text. Signs behind a word are split from it."""
-        if len(self.known) > CACHE:
-            self.known.clear()
         plain, other = [], []
         for w in words:
             c = w.rstrip(_TAIL)
@@ -128,15 +129,12 @@ class Words:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 16-bit integers, without special tokens of its own."""
         split = [_words(t) for t in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        if new := {w for words, ids in zip(split, found, strict=True) if None in ids
-                   for w, i in zip(words, ids, strict=True) if i is None}:
+        if len(self.known) > CACHE:
+            self.known.clear()
+        if new := set(chain.from_iterable(split)).difference(self.known):
             self._learn(new)
-            get = self.known.get
-            lost = [i for i, ids in enumerate(found) if None in ids]
-            for i in lost:
-                found[i] = [get(w) if v is None else v for w, v in zip(split[i], found[i], strict=True)]
-        out = list(map(b"".join, found))
+        get = self.known.__getitem__
+        out = [b"".join(map(get, words)) for words in split]
         for i, t in enumerate(texts):                        # special tokens are matched before words are split
             if any(s in t for s in self.special):
                 out[i] = self._each([t])[0]
@@ -184,8 +182,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
                 "starts": starts.tolist(), "frames": b"".join(frames)}], schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, BATCH):
+                rows = batch.slice(at, BATCH)
                 for i, raw in zip(rows.column("doc_id").to_pylist(), words.encode(rows.column("text").to_pylist()), strict=True):
                     ids.append(i)
                     frames.append(press.compress(raw + end))
