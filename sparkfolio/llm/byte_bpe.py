@@ -9,10 +9,12 @@ encoded on its own, and ids map back to bytes by the inverse of the character ma
 from __future__ import annotations
 
 import base64
+import gc
 import struct
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -79,7 +81,7 @@ class Codec:
         self.letters = {b: c for b, c in enumerate(letters)}
         back = {c: b for b, c in enumerate(letters)}
         self.bytes = [bytes(back[c] for c in self.model.id_to_piece(i)) for i in range(self.model.get_piece_size() - 1)]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Codec:
@@ -87,16 +89,17 @@ class Codec:
             cls._made[path, pattern] = cls(path, pattern)
         return cls._made[path, pattern]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text; what is new in all of them goes to the model in one call."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit integers; what is new in all of them goes to the model in one call."""
         parts = [self.split.findall(t) for t in texts]
         if len(self.known) > CACHE:
             self.known.clear()
-        known = self.known
-        if new := [p for p in dict.fromkeys(chain.from_iterable(parts)) if p not in known]:
+        if new := list(set(chain.from_iterable(parts)).difference(self.known)):
             mapped = [p.encode().decode("latin-1").translate(self.letters) for p in new]
-            known.update(zip(new, self.model.encode(mapped, num_threads=1), strict=True))
-        return [list(chain.from_iterable([known[p] for p in x])) for x in parts]
+            self.known.update([(p, np.array(ids, np.int32).tobytes())
+                               for p, ids in zip(new, self.model.encode(mapped, num_threads=1), strict=True)])
+        get = self.known.__getitem__
+        return [b"".join(map(get, x)) for x in parts]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -109,11 +112,14 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     has to be readable on all executors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
+        gc.set_threshold(1_000_000)                          # millions of short-lived lists, no cycles
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = pa.array(codec.encode([t.as_py() or "" for t in part.column("text")]), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
+                ids = codec.encode(part.column("text").fill_null("").to_pylist())
+                ends = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "ids"])
 
     prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
