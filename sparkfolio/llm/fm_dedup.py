@@ -99,7 +99,8 @@ def _repeated_anchors(pdf: pd.DataFrame, bits: int) -> pd.DataFrame:
 
 
 def _stretches(batches: Iterator[pa.RecordBatch], window: int, shards: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, row, start, windows, weight, report, words) of the stretches with a repeated anchor.
+    """Rows (shard, row, start, windows, weight, report, words) of the stretches with a repeated anchor; a word is the
+    lower 48 bits of its hash.
     ``report``: the shard has to tell whether the place is repeated. Places that are equal within the slice are
     repeated; they come without ``words``, and one row of weight 2 stands for them in the shard."""
     kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
@@ -145,7 +146,7 @@ def _stretches(batches: Iterator[pa.RecordBatch], window: int, shards: int) -> I
                 here = (int(row[a + t[i]]), int(s[i] - words.first[t[i]]), int(c[i]))
                 if head:
                     out.append((int(shard[i]), *here, min(many, 2), many == 1,
-                                hashes[s[i]:s[i] + c[i] + window - 1].tobytes()))
+                                ps.pack48(hashes[s[i]:s[i] + c[i] + window - 1])))
                 if many > 1:
                     out.append((here[0] % shards, *here, 2, True, None))
             yield pa.RecordBatch.from_arrays(
@@ -159,12 +160,12 @@ def _search(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     out = list(zip(known["row"], known["start"], known["start"] + known["windows"] + window - 1, strict=True))
     sent = pdf[pdf["words"].notna()]
     if len(sent):
-        body = [np.frombuffer(x, np.uint64) for x in sent["words"]]
+        body = list(sent["words"])
         number, _ = pd.factorize(np.array([hashlib.blake2b(x, digest_size=16).hexdigest() for x in sent["words"]], object))
         weight = np.bincount(number, weights=sent["weight"].to_numpy())    # equal stretches are indexed once
         lead = np.unique(number, return_index=True)[1]
-        lengths = np.array([len(body[i]) for i in lead])
-        code = np.unique(np.concatenate([body[i] for i in lead]), return_inverse=True)[1] + 1
+        lengths = np.array([len(body[i]) // 6 for i in lead])
+        code = np.unique(ps.unpack48(b"".join([body[i] for i in lead])), return_inverse=True)[1] + 1
         starts = np.cumsum(lengths + 1) - lengths - 1
         text = np.zeros(int((lengths + 1).sum()), np.int64)
         text[np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(len(code))] = code
