@@ -160,7 +160,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> tuple[DataFrame
     pieces = (placed.filter("size > 0").select("row", "number", "first", "size", F.explode(F.sequence(low, high)).alias("block"))
               .withColumn("at", start - F.col("first"))
               .withColumn("words", F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * BLOCK_WORDS) - start)
-              .join(used, ["number", "block"], "left")
+              .join(used.hint("merge"), ["number", "block"], "left")   # as many rows as blocks: not one to broadcast
               .select("row", "block", "at", "words", F.coalesce("times", F.lit(0)).alias("times")))
     return placed, pieces
 
