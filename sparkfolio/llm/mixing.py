@@ -137,9 +137,13 @@ def slots(sizes: DataFrame, table: DataFrame) -> DataFrame:
     return first.mapInPandas(fill, "number int, block long, shard long, slot long")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``row``, which names a document by id, source and text in every run of a task."""
-    return docs.withColumn("row", F.xxhash64(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")))
+#: Names a document by id, source and text in every run of a task.
+_KEY = ("doc_id long", "source string", "text string")
+
+
+def keyed(docs: DataFrame, name: str = "row") -> DataFrame:
+    """``docs`` with the column ``name``, a hash that names a document in every run of a task."""
+    return docs.withColumn(name, F.xxhash64(*(F.col(c).cast(t) for c, t in map(str.split, _KEY))))
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
@@ -182,7 +186,7 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text of each document from its pieces: pass by pass, the pieces that the pass takes."""
     for batch in batches:
         out = []
-        uses = batch.column("uses")
+        uses = batch.column("__uses")
         for a, b, words in slices(batch.column("text")):
             raw = words.data.tobytes()
             for i in range(a, b):
@@ -196,7 +200,7 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     passes.append(b"".join(raw[begin[u["at"]]:begin[u["at"] + u["words"]]] for u in taken if u["times"] > turn))
                 out.append(b"\n".join(passes).decode())
         at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["uses", "row"])
+        yield batch.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["__uses"])
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -204,7 +208,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     their own; documents of which nothing is taken go. ``n_chars``, if there is one, follows the new text."""
     _, pieces = plan(docs, weights)
     uses = pieces.filter("times > 0").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "words", "times"))).alias("uses"))
-    out = keyed(docs.withColumn("text", F.col("text").cast("string"))).join(uses, "row").select(*docs.columns, "row", "uses")
-    schema = out.drop("row", "uses").schema
-    out = out.mapInArrow(_rebuild, schema)
+    texts = docs.withColumn("text", F.col("text").cast("string"))
+    out = keyed(texts, "__row").join(uses.toDF("__row", "__uses"), "__row").select(*docs.columns, "__uses")
+    out = out.mapInArrow(_rebuild, texts.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
