@@ -120,6 +120,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ends = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "ids"])
+        codec.known.clear()                                  # an idle worker holds no memory
 
     prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")

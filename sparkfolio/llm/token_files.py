@@ -194,6 +194,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
                         ids, frames, sizes, seq, total = [], [], [], seq + 1, 0
         if ids:
             yield flush()
+        words.known.clear()                                  # an idle worker holds no memory
 
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("dictionary", pa.string()), ("doc_ids", pa.list_(pa.int64())),
                         ("offsets", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("frames", pa.binary())])

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once by one task (a longer text is handled alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Most texts in one piece.
 SLICE_TEXTS = 4096
 
