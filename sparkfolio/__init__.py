@@ -10,7 +10,6 @@ Layout
 ``operators``  quality, SCD2, as-of join, indicators, features, backtest,
                metrics, model, scoring, long-series (chunked) windows
 ``plans``      fixtures over the driver tables and the registered queries
-``streaming``  incremental (available-now) landing of new payload files
 """
 
 __version__ = "0.1.0"

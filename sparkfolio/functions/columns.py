@@ -24,8 +24,10 @@ def as_double(c: str | Column) -> Column:
 
 
 def as_long(c: str | Column) -> Column:
-    """String/number -> bigint, null when it does not parse."""
-    return _col(c).try_cast(T.LongType())
+    """String/number -> bigint, null when it does not parse or fit. Decimal text
+    loses its fraction ("1234.0" is 1234), as in a cast outside ANSI mode."""
+    return F.coalesce(_col(c).try_cast(T.LongType()),
+                      _col(c).try_cast(T.DecimalType(38, 10)).try_cast(T.LongType()))
 
 
 def as_date(c: str | Column) -> Column:
@@ -33,6 +35,14 @@ def as_date(c: str | Column) -> Column:
     return _col(c).try_cast(T.DateType())
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; ``keys`` come from ``left``."""
+    names = {k: f"__{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[n]) for k, n in names.items()])
+    return left.join(right, on).drop(*names.values())
+
+
 def safe_div(num: str | Column, den: str | Column) -> Column:
     """num / den, null when den is zero or null."""
     return F.try_divide(_col(num), _col(den))

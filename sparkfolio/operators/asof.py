@@ -180,5 +180,6 @@ def asof_join_fundamentals(prices: DataFrame, fundamentals: DataFrame,
     fund = fundamentals.filter(F.col("is_current")) if current_only else fundamentals
     px = prices
     if dedupe:
-        px = first_per_group(px, ["symbol", "trade_date"], [])
+        newest = [F.col("ingestion_ts").desc_nulls_last()] if "ingestion_ts" in px.columns else []
+        px = first_per_group(px, ["symbol", "trade_date"], newest)
     return asof_join(px, fund, broadcast_rows=broadcast_rows)

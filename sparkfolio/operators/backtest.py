@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkfolio.functions.columns import null_safe_join
+
 from sparkfolio.schemas import LABEL
 
 THRESHOLD = -0.005
@@ -52,14 +54,14 @@ def daily_rank(df: DataFrame, top_n: int = TOP_N, date: str = "trade_date",
         # hint, AQE broadcasts them when their measured size is small.
         probs = [i / split_buckets for i in range(1, split_buckets)]
         bounds = df.groupBy(date).agg(F.percentile_approx("prediction", probs, 10_000).alias("_bounds"))
-        x = df.join(bounds, date)
+        x = null_safe_join(df, bounds, [date])
         pred = F.col("prediction")
         x = x.withColumn("_b", F.when(pred.isNull(), F.lit(split_buckets)).otherwise(
             F.size(F.filter("_bounds", lambda b: b > pred)))).drop("_bounds")
         counts = x.groupBy(date, "_b").agg(F.count(F.lit(1)).alias("_n"))
         before = Window.partitionBy(date).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select(date, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-        x = x.join(offsets, [date, "_b"])
+        x = null_safe_join(x, offsets, [date, "_b"])
         w = Window.partitionBy(date, "_b").orderBy(*order)
         ranked = x.withColumn("prediction_rank", (F.col("_off") + F.row_number().over(w)).cast("int")) \
                   .drop("_b", "_off")
@@ -84,9 +86,9 @@ _CUMS = {
 
 def _wealth_and_drawdown(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "drawdown": (F.col("strategy_wealth") - F.col("strategy_wealth_max")) / F.col("strategy_wealth_max"),
-        "drawdown_rank": (F.col("strategy_wealth_rank") - F.col("strategy_wealth_rank_max"))
-        / F.col("strategy_wealth_rank_max"),
+        "drawdown": F.try_divide(F.col("strategy_wealth") - F.col("strategy_wealth_max"), F.col("strategy_wealth_max")),
+        "drawdown_rank": F.try_divide(
+            F.col("strategy_wealth_rank") - F.col("strategy_wealth_rank_max"), F.col("strategy_wealth_rank_max")),
     })
 
 

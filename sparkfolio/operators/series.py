@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkfolio.functions.columns import null_safe_join
 from sparkfolio.operators.indicators import MAX_LOOKAHEAD, MAX_LOOKBACK
 
 DEFAULT_BUCKET_DAYS = 366
@@ -57,7 +58,7 @@ def sequence_index(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str
     offsets = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     # offsets has one row per (key, bucket); no hint: AQE measures it at
     # runtime and broadcasts it when small, else keeps the shuffle join.
-    b = b.join(offsets, [*keys, "_bucket"])
+    b = null_safe_join(b, offsets, [*keys, "_bucket"])
     inner = Window.partitionBy(*keys, "_bucket").orderBy(order)
     return b.withColumn("_idx", F.col("_off") + F.row_number().over(inner) - 1).drop("_bucket", "_off", "_n")
 
@@ -102,37 +103,14 @@ def chunked_running(df: DataFrame, sums: dict[str, str], maxes: dict[str, str] |
     prev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     pref = totals.select(
         *keys, "_chunk",
-        *[F.coalesce(F.sum(f"_t_{o}").over(prev), F.lit(0.0)).alias(f"_p_{o}") for o in sums],
+        *[F.sum(f"_t_{o}").over(prev).alias(f"_p_{o}") for o in sums],
         *[F.max(f"_m_{o}").over(prev).alias(f"_q_{o}") for o in maxes],
     )
-    x = x.join(pref, [*keys, "_chunk"])       # one row per chunk; AQE broadcasts it when small
+    x = null_safe_join(x, pref, [*keys, "_chunk"])       # one row per chunk; AQE broadcasts it when small
     out = x.withColumns(
-        {o: F.col(f"_p_{o}") + F.col(f"_ls_{o}") for o in sums}
+        # like a plain running sum: null until the first value, later nulls add nothing
+        {o: F.coalesce(F.col(f"_p_{o}") + F.col(f"_ls_{o}"), f"_p_{o}", f"_ls_{o}") for o in sums}
         | {o: F.greatest(F.col(f"_q_{o}"), F.col(f"_lm_{o}")) for o in maxes}
     )
     drop = [c for c in out.columns if c.startswith(("_ls_", "_lm_", "_p_", "_q_"))] + ["_chunk"]
     return out.drop(*drop)
-
-
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group (one partially aggregated count per key)."""
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
-
-
-def auto_chunk_rows(df: DataFrame, keys: Sequence[str] = ("symbol",),
-                    max_rows: int = DEFAULT_MAX_GROUP_ROWS) -> int | None:
-    """``max_rows`` when some series is longer than that (use chunked windows),
-    else None (plain per-series windows)."""
-    return max_rows if largest_group(df, keys) > max_rows else None
-
-
-def auto_split_buckets(df: DataFrame, keys: Sequence[str] = ("trade_date",),
-                       max_rows: int = DEFAULT_MAX_GROUP_ROWS) -> int | None:
-    """Number of value ranges so that no (group, range) exceeds ~max_rows, or
-    None when every group is small enough."""
-    top = largest_group(df, keys)
-    return -(-top // max_rows) if top > max_rows else None

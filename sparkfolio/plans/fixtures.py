@@ -122,6 +122,12 @@ def pred(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("prediction", F.try_divide(F.col("close") - F.col("open"), F.col("close")))
 
 
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bars with the fixed prediction; the latest date of a symbol has no label."""
+    return labelled_bars(spark, sf_dir).withColumn(
+        "prediction", F.try_divide(F.col("close") - F.col("open"), F.col("close")))
+
+
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """String-typed bars with broken values on six days of each month."""
     b = bars(spark, sf_dir)

@@ -27,8 +27,7 @@ from sparkfolio.operators import model as md
 from sparkfolio.operators import quality as qa
 from sparkfolio.operators import scd2
 from sparkfolio.operators import scoring as sc
-from sparkfolio.operators import series
-from sparkfolio.schemas import FEATURES, RAW_PRICES
+from sparkfolio.schemas import FEATURES, RAW_PRICES, SILVER_PRICES
 from sparkfolio.sources import readers as rd
 from sparkfolio.sources import writers as wr
 
@@ -43,7 +42,10 @@ def silver_prices_job(spark: SparkSession, bronze_root: str, prices_path: str,
                       run_date: str, dt: str | None = None, sample_rows: int = 10) -> dict:
     """Landed price documents of one run (``dt``) -> validated silver prices,
     written with dynamic partition overwrite by ``trade_date``."""
-    raw = rd.read_json(spark, f"{bronze_root.rstrip('/')}/source=prices", RAW_PRICES, where=_dt_filter(run_date, dt))
+    root = f"{bronze_root.rstrip('/')}/source=prices"
+    if not rd.table_exists(spark, root, "text"):
+        return {"status": "no input"}
+    raw = rd.read_json(spark, root, RAW_PRICES, where=_dt_filter(run_date, dt))
     if rd.is_empty(raw):
         return {"status": "no input"}
     flat = qa.with_lineage(qa.flatten_prices(raw), "twelvedata", run_date)
@@ -66,7 +68,10 @@ def silver_fundamentals_job(spark: SparkSession, bronze_root: str, table: str, t
                             reappend_unchanged: bool = False) -> dict:
     """Landed ratio payloads of one run -> SCD2 history, published as a new
     snapshot of ``table`` (safe even though the job reads that table)."""
-    raw = rd.read_json(spark, f"{bronze_root.rstrip('/')}/source=ratios", where=_dt_filter(run_date, dt))
+    root = f"{bronze_root.rstrip('/')}/source=ratios"
+    if not rd.table_exists(spark, root, "text"):
+        return {"status": "no input"}
+    raw = rd.read_json(spark, root, where=_dt_filter(run_date, dt))
     new = scd2.standardize_fundamentals(raw, run_date)
     if rd.is_empty(new):
         return {"status": "no input"}
@@ -81,55 +86,59 @@ def silver_fundamentals_job(spark: SparkSession, bronze_root: str, table: str, t
 
 
 def gold_job(spark: SparkSession, prices_path: str, fundamentals: DataFrame | str, gold_path: str,
-             chunk_rows: int | str | None = "auto") -> dict:
+             chunk_rows: int | None = None) -> dict:
     """Silver prices + current fundamentals -> feature table partitioned by symbol.
 
-    ``chunk_rows="auto"`` switches to chunked windows when a series is longer
-    than ``series.DEFAULT_MAX_GROUP_ROWS`` rows (decided from one count per
-    symbol on the stored table).
+    ``chunk_rows`` evaluates the windows over chunks of that many rows; the
+    rows are the same. The audit counts what the last step drops. An empty
+    result leaves the stored table as it is.
     """
-    prices = rd.read_table(spark, prices_path)
-    if chunk_rows == "auto":
-        chunk_rows = series.auto_chunk_rows(prices)
+    if not rd.table_exists(spark, prices_path) or isinstance(fundamentals, str) and not spark.catalog.tableExists(fundamentals):
+        return {"status": "no input"}
+    prices = rd.read_table(spark, prices_path, SILVER_PRICES)
+    audit = qa.null_report(prices, ["trade_date", "close"]).first()
     fund = spark.table(fundamentals) if isinstance(fundamentals, str) else fundamentals
     gold = ft.gold_features(prices, fund, chunk_rows=chunk_rows)
+    if rd.is_empty(gold):
+        return {"status": "no rows", **audit.asDict()}
     wr.write_partitions(gold, gold_path, ["symbol"])
-    audit = qa.null_report(rd.read_table(spark, gold_path), ["trade_date", "close"]).first()
     return {"status": "ok", **audit.asDict()}
 
 
 def ml_job(spark: SparkSession, gold_path: str, out_root: str, split_date: str,
            grid: Mapping[str, Sequence[int]] = md.DEFAULT_GRID, folds: int = md.DEFAULT_FOLDS,
-           parallelism: int = 1, top_n: int = bt.TOP_N, chunk_rows: int | str | None = "auto",
-           rank_buckets: int | str | None = "auto") -> dict:
+           parallelism: int = 1, top_n: int = bt.TOP_N, chunk_rows: int | None = None,
+           rank_buckets: int | None = None) -> dict:
     """Train + cross-validate, backtest the test period, score the latest day.
 
     Writes ``backtest_results`` (by symbol), ``backtest_metrics`` and
     ``future_predictions`` under ``out_root``.
     """
     out = out_root.rstrip("/")
-    gold = rd.read_table(spark, gold_path)
+    if not rd.table_exists(spark, gold_path):
+        return {"status": "no input"}
+    gold = rd.read_table(spark, gold_path).withColumn("symbol", F.col("symbol").cast("string"))
     ready = md.train_ready(gold)
     train, test = md.time_split(ready, split_date)
     if rd.is_empty(train) or rd.is_empty(test):
         return {"status": "empty train or test set"}
-    if chunk_rows == "auto":
-        chunk_rows = series.auto_chunk_rows(test)
-    if rank_buckets == "auto":
-        rank_buckets = series.auto_split_buckets(test)
     model = md.tune(train, grid, folds, parallelism=parallelism)
     backtest = bt.backtest(md.score(model, test), top_n=top_n, extra_columns=FEATURES,
                            chunk_rows=chunk_rows, rank_buckets=rank_buckets)
     wr.write_partitions(backtest, f"{out}/backtest_results", ["symbol"])
-    # metrics read the written table instead of re-running scoring + windows
-    metrics = mt.backtest_metrics(rd.read_table(spark, f"{out}/backtest_results"))
+    # metrics read the written table instead of re-running scoring + windows; the
+    # symbols of this run were overwritten, others keep rows of earlier runs
+    written = rd.read_table(spark, f"{out}/backtest_results").withColumn("symbol", F.col("symbol").cast("string"))
+    metrics = mt.backtest_metrics(written.join(test.select("symbol").distinct(), "symbol", "left_semi"))
     wr.replace_table(metrics, f"{out}/backtest_metrics")
     latest = sc.latest_rows(gold)
+    result = {"status": "ok", "best_cv_rmse": float(min(model.avgMetrics))}
+    if rd.is_empty(latest):
+        return {**result, "top_buys": []}                 # yesterday's predictions stay
     future = sc.recommendation(md.score(model, latest))
     wr.replace_table(future, f"{out}/future_predictions")
     top = sc.top_buys(rd.read_table(spark, f"{out}/future_predictions")).collect()
-    return {"status": "ok", "best_cv_rmse": float(min(model.avgMetrics)),
-            "top_buys": [r.asDict() for r in top]}
+    return {**result, "top_buys": [r.asDict() for r in top]}
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -145,7 +154,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     g.add_argument("--prices", required=True)
     g.add_argument("--fundamentals-table", required=True)
     g.add_argument("--gold", required=True)
-    g.add_argument("--chunk-rows", default="auto")
+    g.add_argument("--chunk-rows", type=int)
     m = sub.add_parser("ml")
     m.add_argument("--gold", required=True)
     m.add_argument("--out", required=True)
@@ -157,8 +166,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         print(silver_prices_job(spark, a.bronze, a.prices, a.run_date))
         print(silver_fundamentals_job(spark, a.bronze, a.fundamentals_table, a.fundamentals_root, a.run_date))
     elif a.job == "gold":
-        chunk = a.chunk_rows if a.chunk_rows == "auto" else int(a.chunk_rows)
-        print(gold_job(spark, a.prices, a.fundamentals_table, a.gold, chunk))
+        print(gold_job(spark, a.prices, a.fundamentals_table, a.gold, a.chunk_rows))
     else:
         print(ml_job(spark, a.gold, a.out, a.split_date, parallelism=a.parallelism))
 

@@ -295,8 +295,9 @@ WHERE effective_date <= d AND (expiration_date IS NULL OR expiration_date > d)""
 # ------------------------------------------------------------------ scoring / serving
 REC = f"""symbol, trade_date, {rcols(['close', 'prediction'])},
   CASE WHEN prediction > 0 THEN 'BUY' ELSE 'HOLD' END AS recommendation, {R('prediction * 100', 'prediction_pct')}"""
-cte("latest", "SELECT * FROM pred WHERE trade_date = (SELECT max(trade_date) FROM pred) AND prediction IS NOT NULL",
-    ["pred"])
+cte("latest", """
+SELECT * FROM (SELECT *, ("close" - "open") / "close" AS prediction FROM lbars)
+WHERE trade_date = (SELECT max(trade_date) FROM lbars) AND prediction IS NOT NULL""", ["lbars"])
 oracle("recommendation", f"SELECT {REC} FROM pred", "pred")
 oracle("latest_rows", f"SELECT symbol, trade_date, {rcols(['close', 'prediction'])} FROM latest", "latest")
 oracle("serving_future", f"SELECT {REC} FROM latest", "latest")

@@ -540,13 +540,13 @@ def q_recommendation(spark, sf):
 
 @query("latest_rows")
 def q_latest_rows(spark, sf):
-    return out(sc.latest_rows(fx.pred(spark, sf), require=["prediction"]),
+    return out(sc.latest_rows(fx.scored(spark, sf), require=["prediction"]),
                "symbol", "trade_date", "close", "prediction")
 
 
 @query("top_buys")
 def q_top_buys(spark, sf):
-    recs = sc.recommendation(sc.latest_rows(fx.pred(spark, sf), require=["prediction"]))
+    recs = sc.recommendation(sc.latest_rows(fx.scored(spark, sf), require=["prediction"]))
     return out(sc.top_buys(recs, 5))
 
 
@@ -565,7 +565,7 @@ def q_serving_metrics(spark, sf):
 @query("serving_future")
 def q_serving_future(spark, sf):
     from sparkfolio.schemas import SERVING_FUTURE
-    recs = sc.recommendation(sc.latest_rows(fx.pred(spark, sf), require=["prediction"]))
+    recs = sc.recommendation(sc.latest_rows(fx.scored(spark, sf), require=["prediction"]))
     return out(wr.serve(recs, SERVING_FUTURE))
 
 
@@ -636,5 +636,5 @@ def q_ml_scored(spark, sf):
 
 @query("future_scored")
 def q_future_scored(spark, sf):
-    latest = sc.latest_rows(_ready(spark, sf))
+    latest = sc.latest_rows(ft.gold_features(fx.bars(spark, sf), fx.fund(spark, sf)))
     return out(sc.recommendation(md.score(_cv_model(spark, sf), latest)))

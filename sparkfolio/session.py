@@ -39,12 +39,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """The session's checkpoint folder. Where it is unset, a local master gets a
+    local one; a cluster has to name shared storage."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name shared storage on a cluster")
     base = configured or tempfile.mkdtemp(prefix="sparkfolio-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()

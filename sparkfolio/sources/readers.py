@@ -43,7 +43,7 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         spark.read.format(fmt).load(path)
         return True
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkfolio.operators import backtest as bt
@@ -52,9 +53,15 @@ def test_sharpe_zero_stddev(spark):
     assert m.sharpe_ratio == 0.0 and m.model_precision_pct == 0.0
 
 
-def test_auto_split_decisions(spark):
+def test_split_paths_keep_rows_with_nulls(spark):
     from sparkfolio.operators import series
-    df = spark.range(10).selectExpr("'A' AS symbol", "id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS trade_date")
-    assert series.auto_chunk_rows(df, max_rows=100) is None
-    assert series.auto_chunk_rows(df, max_rows=4) == 4
-    assert series.auto_split_buckets(df.withColumn("trade_date", F.lit(1)), max_rows=4) == 3
+    rows = [(s, None if i == 0 else f"2024-01-{i + 1:02d}", None if i % 7 == 3 else i / 10, None if i % 5 == 0 else i / 100)
+            for s in ("A", "B", None) for i in range(20)]
+    df = spark.createDataFrame(rows, "symbol string, d string, prediction double, x double").withColumn("trade_date", F.to_date("d"))
+    plain, split = bt.daily_rank(df), bt.daily_rank(df, split_buckets=4)
+    key = ["symbol", "trade_date", "prediction_rank"]
+    assert sorted(map(str, plain.select(key).collect())) == sorted(map(str, split.select(key).collect()))
+    w = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("run", F.round(F.sum("x").over(w), 9)).select("symbol", "trade_date", "run")
+    got = series.chunked_running(series.sequence_index(df), {"run": "x"}, chunk_rows=3).withColumn("run", F.round("run", 9))
+    assert sorted(map(str, want.collect())) == sorted(map(str, got.select(want.columns).collect()))

@@ -11,10 +11,16 @@ from tools.check_oracle import TABLES, rows_of
 SKIP = {"ml_cv_report", "ml_scored", "future_scored"}   # rows-only, covered in test_model.py
 
 
+def _llm():
+    """Queries of the optional subpackage; their tests are in tests/llm."""
+    import __spark_entry__
+    return set(__spark_entry__._llm()[0])
+
+
 def _keys():
     from __spark_entry__ import oracle_sql, queries
     q, o = queries(), oracle_sql()
-    return [k for k in q if k in o and k not in SKIP]
+    return [k for k in q if k in o and k not in SKIP | _llm()]
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +45,7 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_every_query_has_oracle_or_is_rows_only():
     from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) - set(oracle_sql()) == SKIP
+    assert set(queries()) - set(oracle_sql()) - _llm() == SKIP
 
 
 def test_entry_smoke(spark):

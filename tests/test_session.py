@@ -1,9 +1,11 @@
+import pytest
+
 from sparkfolio import session
 
 
 class _SC:
     def __init__(self, current):
-        self.current, self.set_to = current, None
+        self.current, self.set_to, self.master = current, None, "local[2]"
 
     def getCheckpointDir(self):
         return self.current
@@ -43,6 +45,13 @@ def test_local_dir_only_when_unset():
     assert s.sparkContext.set_to and "sparkfolio-ckpt-" in s.sparkContext.set_to
 
 
+def test_a_cluster_must_name_shared_storage():
+    s = _Spark(None, None)
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(s)
+
+
 def test_scratch_paths_are_unique_under_checkpoint_dir():
     s = _Spark("file:/shared/ckpt/abc", None)
     a, b = session.scratch_path(s, "t"), session.scratch_path(s, "t")
