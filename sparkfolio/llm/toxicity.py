@@ -32,6 +32,8 @@ PRIOR_DOCS = 2.0
 #: Most features kept (the strongest), so that the lexicon sent to all tasks is bounded.
 MAX_FEATURES = 20_000
 ERROR = 0.05
+#: Most labelled documents learnt from: those of the smallest hash of doc_id. Their ids are what is broadcast.
+MAX_LABELS = 20_000
 
 _N = 28                                                      # 0: outside a word, 1-26: a-z, 27: other letters
 _CODE = np.full(256, 0, np.uint8)
@@ -155,7 +157,8 @@ def learn(texts: DataFrame, model: np.ndarray) -> tuple[dict[str, float], float]
 def toxicity(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     """One row per row of ``docs`` (doc_id long, text string; other columns are ignored): doc_id, held_out, score (0 to 1).
 
-    ``labels`` (doc_id, toxic 0/1) are learnt from where ``held_out`` (a boolean Column over doc_id) is not true; null labels
+    ``labels`` (doc_id, toxic 0/1) are learnt from where ``held_out`` (a boolean Column over doc_id) is not true, at most
+    ``MAX_LABELS`` of them; null labels
     and ids are ignored, and a document that is labelled twice counts twice. Null and empty texts have the score of no evidence,
     as have all if there is nothing to learn; rows that repeat score alike; an empty table gives no rows.
     """
@@ -163,7 +166,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     model = language_model(texts)
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("long")).filter("doc_id is not null and toxic is not null")
-    lexicon, base = learn(texts.join(known.filter(~held_out), "doc_id").select("text", "toxic"), model)
+    chosen = known.filter(~held_out).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(MAX_LABELS)
+    lexicon, base = learn(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = lexicon.get
