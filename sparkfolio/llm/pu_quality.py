@@ -143,8 +143,11 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], flat], ["doc_id", "x"])
 
 
-def _sample(texts: DataFrame, n: int) -> np.ndarray:
-    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).mapInArrow(_described, "doc_id long, x array<double>").collect()
+def _sample(texts: DataFrame, ids: DataFrame, n: int) -> np.ndarray:
+    """Descriptions of the texts of at most ``n`` of the ids; the chosen ids are broadcast, no text is shuffled."""
+    chosen = ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_described, "doc_id long, x array<double>")
+    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     return np.array([r.x for r in rows]).reshape(len(rows), len(NAMES))
 
 
@@ -158,8 +161,8 @@ def quality(docs: DataFrame, labels: DataFrame, held_out, sample: int = SAMPLE)
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     good = labels.filter((F.col("quality") == 1) & ~held_out).select(F.col("doc_id").cast("long")).distinct()
-    positive = _sample(texts.join(good, "doc_id", "left_semi"), sample)
-    unlabelled = _sample(texts.filter(~held_out).join(good, "doc_id", "left_anti"), sample)
+    positive = _sample(texts, good, sample)
+    unlabelled = _sample(texts, texts.select("doc_id").filter(~held_out).join(good, "doc_id", "left_anti"), sample)
     weights = learn(positive, unlabelled) if len(positive) and len(unlabelled) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
