@@ -51,12 +51,13 @@ DICT_BYTES = 64 << 10
 DICT_TEXTS = 1000
 DICT_TEXT_BYTES = 8 << 10
 LEVEL = 1
-#: Words whose ids a task keeps at hand.
-CACHE = 1_000_000
+#: Words whose ids a worker keeps at hand from one task to the next, and the most that a running task adds up to.
+KEPT, CACHE = 400_000, 1_000_000
 
 _SPACES = "\t\n\x0b\x0c\r"
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_TAIL = ".,!?;:"
+#: Signs that stand apart from the letters before them, whatever they are; the apostrophe does not.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _words(text: str) -> list[str]:
@@ -113,18 +114,17 @@ class Words:
             else:
                 other.append(w)
         self.known.update(zip(other, self._each(other), strict=True))
-        if not plain:
-            return
-        cores = list({c for _, c, _ in plain})
-        ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u2")
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(cores):
-            raise ValueError("the tokenizer does not close each word")
-        raw, at = ids.tobytes(), np.append(0, ends * 2).tolist()
-        core = {c: raw[x:y] for c, x, y in zip(cores, at, at[1:], strict=False)}
+        if cores := list({c for _, c, _ in plain}.difference(self.known)):
+            ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(cores):
+                raise ValueError("the tokenizer does not close each word")
+            raw, at = ids.tobytes(), np.append(0, ends * 2).tolist()
+            self.known.update([(c, raw[x:y]) for c, x, y in zip(cores, at, at[1:], strict=False)])
         tails = list({t for _, _, t in plain})
         tail = dict(zip(tails, self._each(tails), strict=True))
-        self.known.update([(w, core[c] + tail[t]) for w, c, t in plain])
+        get = self.known.__getitem__
+        self.known.update([(w, get(c) + tail[t]) for w, c, t in plain])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 16-bit integers, without special tokens of its own."""
@@ -194,7 +194,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
                         ids, frames, sizes, seq, total = [], [], [], seq + 1, 0
         if ids:
             yield flush()
-        words.known.clear()                                  # an idle worker holds no memory
+        if len(words.known) > KEPT:
+            words.known.clear()
 
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("dictionary", pa.string()), ("doc_ids", pa.list_(pa.int64())),
                         ("offsets", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("frames", pa.binary())])
