@@ -37,7 +37,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the digest of what the ids decode to."""
     model = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = byte_bpe.decode(byte_bpe.encode(docs, *model), *model)
+    coded = byte_bpe.round_trip(docs, *model)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfolio.llm.spark_env import prepare
+from sparkfolio.llm.spark_env import prepare, trim
 
 #: Splits whose ids a task keeps at hand.
 CACHE = 200_000
@@ -105,34 +105,47 @@ class Codec:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    codec = Codec.of(path, pattern)
+    gc.set_threshold(1_000_000)                              # millions of short-lived lists, no cycles
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            ids = codec.encode(part.column("text").fill_null("").to_pylist())
+            ends = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "ids"])
+    codec.known.clear()
+    trim()
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    codec = Codec.of(path, pattern)
+    for batch in batches:
+        decoded = [codec.decode(x.as_py() or []) for x in batch.column("ids")]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    prepare(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per row of ``docs`` (doc_id long, text string; other columns are ignored): doc_id, ids (array of int).
 
     Null and empty texts have no ids; rows that repeat get the same ids; an empty table gives no rows. ``path``, the rank file,
     has to be readable on all executors."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec.of(path, pattern)
-        gc.set_threshold(1_000_000)                          # millions of short-lived lists, no cycles
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = codec.encode(part.column("text").fill_null("").to_pylist())
-                ends = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "ids"])
-        codec.known.clear()                                  # an idle worker holds no memory
-
-    prepare(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
+    return _texts(docs).mapInArrow(lambda it: _encoded(it, path, pattern), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with a column ``decoded`` (binary): the bytes of the text; null ids count as none."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec.of(path, pattern)
-        for batch in batches:
-            decoded = [codec.decode(x.as_py() or []) for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"])
-
     prepare(encoded.sparkSession)
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(lambda it: _decoded(it, path, pattern), "doc_id long, ids array<int>, decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode(encode(docs))`` in one pass over the texts, so that a task needs one Python worker, not two."""
+    return _texts(docs).mapInArrow(lambda it: _decoded(_encoded(it, path, pattern), path, pattern),
+                                   "doc_id long, ids array<int>, decoded binary")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from sparkfolio.llm import postings as ps
 from sparkfolio.llm.graph import components
-from sparkfolio.llm.spark_env import prepare, stored
+from sparkfolio.llm.spark_env import prepare, stored, trim
 from sparkfolio.llm.words import Words, mix, slices
 
 SHINGLE_WORDS = 5
@@ -100,6 +100,7 @@ def _post(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
                 ["bucket", "nodes", "sizes", "idx", "keys"])
+    trim()
 
 
 def _shared(pdf: pd.DataFrame, bits: int) -> pd.DataFrame:

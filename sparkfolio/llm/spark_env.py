@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkfolio.session import scratch_path
@@ -15,6 +18,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def trim() -> None:
+    """Give what a task has freed back to the system, so that an idle Python worker stays small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if (back := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        back(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: lineage ends
     at files that outlive any executor."""
