@@ -14,10 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.session import checkpoint as reliable_checkpoint
@@ -94,22 +93,22 @@ def score(model: PipelineModel | CrossValidatorModel, df: DataFrame) -> DataFram
     return m.transform(df)
 
 
-def standardize(df: DataFrame, features: Sequence[str] = FEATURES, suffix: str = "_z",
-                checkpoint: bool = True) -> DataFrame:
-    """Each feature as (x - mean) / sample sd, computed by MLlib's scaler.
+def standardize(df: DataFrame, features: Sequence[str] = FEATURES, suffix: str = "_z") -> DataFrame:
+    """Each feature as (x - mean) / sample sd, as MLlib's scaler computes it (0 where the sd is 0).
 
-    The input feeds two passes (fit, then transform); ``checkpoint`` writes
-    it once to the checkpoint folder so its lineage runs once.
+    All means and deviations are one aggregate in a scalar subquery, so the
+    input is neither written nor gathered. A null stays null.
     """
-    if checkpoint:
-        df = reliable_checkpoint(df)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_raw")
-    scaler = StandardScaler(inputCol="_raw", outputCol="_z", withMean=True, withStd=True)
-    fitted = Pipeline(stages=[assembler, scaler]).fit(df)
-    z = fitted.transform(df).withColumn("_za", vector_to_array("_z"))
-    return z.withColumns({f"{f}{suffix}": F.col("_za")[i] for i, f in enumerate(features)}) \
-            .drop("_raw", "_z", "_za")
+    stats = df.select(F.struct(*[F.avg(f).alias(f"{f}_mean") for f in features],
+                               *[F.stddev_samp(f).alias(f"{f}_sd") for f in features])).scalar()
+
+    def z(f: str) -> Column:
+        mean, sd = stats[f"{f}_mean"], stats[f"{f}_sd"]
+        return F.when(sd == 0, F.col(f) * 0.0).otherwise((F.col(f) - mean) / sd)
+
+    return df.withColumns({f"{f}{suffix}": z(f) for f in features})
 
 
-def rmse(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> float:
-    return rmse_evaluator(label, prediction).evaluate(df)
+def rmse_expr(label: str = LABEL, prediction: str = "prediction") -> Column:
+    """Root mean squared error as an aggregate."""
+    return F.sqrt(F.avg(F.pow(F.col(prediction) - F.col(label), 2)))

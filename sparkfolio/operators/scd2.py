@@ -24,8 +24,10 @@ rows are not appended a second time (``reappend_unchanged``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,31 +120,44 @@ def scd2_expire(changes: DataFrame, as_of_date: str | Column) -> DataFrame:
 def scd2_merge(hist: DataFrame, new: DataFrame, as_of_date: str | Column,
                keys: Sequence[str] = KEYS, tracked: Sequence[str] = TRACKED,
                null_safe: bool = True, reappend_unchanged: bool = False) -> DataFrame:
-    """Merge an incoming batch into the history (see module doc)."""
+    """Merge an incoming batch into the history (see module doc).
+
+    A key with several current versions keeps its newest one; each other one
+    is closed on the day its successor took effect. Rows with a null key
+    match nothing and stay as they are.
+    """
     cols = HISTORY_COLUMNS
     hist = upgrade_history(hist).select(*cols)
     incoming = first_per_group(new, list(keys), [F.col("ingestion_ts").desc_nulls_last()])
     incoming = scd2_init(incoming).select(*cols)
 
-    cur = hist.filter(F.col("is_current")).select(
-        *[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("_o"))
+    newest = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in ("effective_date", "ingestion_ts")],
+        *[F.col(c).asc_nulls_last() for c in cols if c not in {*keys, "effective_date", "ingestion_ts"}])
+    has_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    cur = hist.filter(F.col("is_current")).withColumns({
+        "_stale": has_key & (F.row_number().over(newest) > 1),
+        "_until": F.lag("effective_date").over(newest),
+    }).select(*[F.col(c).alias(f"o_{c}") for c in cols], "_stale", "_until", F.lit(True).alias("_o"))
     old = hist.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
     inc = incoming.select(*[F.col(c).alias(f"n_{c}") for c in cols], F.lit(True).alias("_n"))
 
     cond = [F.col(f"o_{k}") == F.col(f"n_{k}") for k in keys]
     j = cur.join(inc, cond, "full_outer")
     has_o, has_n = F.col("_o").isNotNull(), F.col("_n").isNotNull()
+    stale = F.col("_stale")
     chg = has_o & has_n & any_changed([(F.col(f"o_{t}"), F.col(f"n_{t}")) for t in tracked], null_safe)
 
     def old_col(c: str) -> Column:
         if c == "is_current":
-            return F.when(chg, F.lit(False)).otherwise(F.col("o_is_current"))
+            return F.when(stale | chg, F.lit(False)).otherwise(F.col("o_is_current"))
         if c == "expiration_date":
-            return F.when(chg, _date(as_of_date)).otherwise(F.col("o_expiration_date"))
+            return F.when(stale, F.coalesce("_until", _date(as_of_date))).when(chg, _date(as_of_date)) \
+                .otherwise(F.col("o_expiration_date"))
         return F.col(f"o_{c}")
 
     old_v = F.when(has_o, F.struct(*[old_col(c).alias(c) for c in cols]))
-    keep_new = has_n & (~has_o | chg | F.lit(reappend_unchanged))
+    keep_new = has_n & (~has_o | (~stale & (chg | F.lit(reappend_unchanged))))
     new_v = F.when(keep_new, F.struct(*[F.col(f"n_{c}").alias(c) for c in cols]))
     versions = j.select(F.explode(F.filter(F.array(old_v, new_v), lambda v: v.isNotNull())).alias("v"))
     return old.unionByName(versions.select("v.*"))

@@ -1,8 +1,7 @@
 """Scoring of the latest date and recommendations.
 
-The latest date is found with an aggregate that stays in the plan (a
-one-row table joined back, broadcast by construction: one row), never
-collected to the driver.
+The latest date is a scalar subquery: it stays in the plan, and on a stored
+table its value reaches the scan as a pushed filter.
 """
 
 from __future__ import annotations
@@ -19,8 +18,7 @@ from sparkfolio.schemas import FEATURES, FUTURE_COLUMNS
 def latest_rows(df: DataFrame, date_col: str = "trade_date",
                 require: Sequence[str] = FEATURES) -> DataFrame:
     """Rows on the latest date of ``df`` with all ``require`` columns present."""
-    top = df.agg(F.max(date_col).alias("_latest"))
-    latest = df.join(F.broadcast(top), F.col(date_col) == F.col("_latest")).drop("_latest")
+    latest = df.filter(F.col(date_col) == df.select(F.max(date_col)).scalar())
     return drop_missing(latest, list(require)) if require else latest
 
 

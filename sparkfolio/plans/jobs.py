@@ -5,10 +5,12 @@ tables, runs the operators and writes tables; the only actions are the
 writes, a few bounded guards (``isEmpty``) and the summary counts, which
 read a persisted result instead of re-running its lineage.
 
+    python -m sparkfolio.plans.jobs landing --payloads F --bronze B
     python -m sparkfolio.plans.jobs silver --bronze B --prices P --fundamentals-table T \
         --fundamentals-root R --run-date 2024-06-01
     python -m sparkfolio.plans.jobs gold --prices P --fundamentals-table T --gold G
     python -m sparkfolio.plans.jobs ml --gold G --out O --split-date 2024-06-01
+    python -m sparkfolio.plans.jobs serving --out O --database D
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ from sparkfolio.operators import model as md
 from sparkfolio.operators import quality as qa
 from sparkfolio.operators import scd2
 from sparkfolio.operators import scoring as sc
-from sparkfolio.schemas import FEATURES, RAW_PRICES, SILVER_PRICES
+from sparkfolio.schemas import (
+    FEATURES, RAW_PRICES, RAW_RATIOS, SERVING_BACKTEST, SERVING_FUTURE, SERVING_METRICS, SILVER_PRICES)
+from sparkfolio.sources import landing as ld
 from sparkfolio.sources import readers as rd
 from sparkfolio.sources import writers as wr
 
@@ -38,6 +42,15 @@ def _dt_filter(run_date: str | None, dt: str | None):
     return None if value in (None, "*") else (F.col("dt") == value)
 
 
+def landing_job(spark: SparkSession, payloads: DataFrame, bronze_root: str) -> dict:
+    """Fetched payloads (source, dt, symbol, body) -> landing folder; keys that
+    are landed already are skipped, errors and empty answers dropped."""
+    dts = ld.batch_dts(payloads)
+    report = ld.landing_summary(payloads, ld.landed_keys(spark, bronze_root, dts=dts)).collect()   # 3 rows a source
+    ld.land_new(spark, payloads, bronze_root)
+    return {"status": "ok", "sources": {f"{r.source}/{r.outcome}": r.n for r in report}}
+
+
 def silver_prices_job(spark: SparkSession, bronze_root: str, prices_path: str,
                       run_date: str, dt: str | None = None, sample_rows: int = 10) -> dict:
     """Landed price documents of one run (``dt``) -> validated silver prices,
@@ -71,18 +84,22 @@ def silver_fundamentals_job(spark: SparkSession, bronze_root: str, table: str, t
     root = f"{bronze_root.rstrip('/')}/source=ratios"
     if not rd.table_exists(spark, root, "text"):
         return {"status": "no input"}
-    raw = rd.read_json(spark, root, where=_dt_filter(run_date, dt))
+    raw = rd.read_json(spark, root, RAW_RATIOS, where=_dt_filter(run_date, dt))
     new = scd2.standardize_fundamentals(raw, run_date)
     if rd.is_empty(new):
         return {"status": "no input"}
+    changes = {}
     if spark.catalog.tableExists(table):
-        merged = scd2.scd2_merge(spark.table(table), new, run_date,
+        hist = scd2.upgrade_history(spark.table(table))
+        found = scd2.change_counts(scd2.current(hist), new).first()
+        changes = {"changed": found.changed_null_safe if null_safe else found.changed_null_unsafe, "new": found.new_keys}
+        merged = scd2.scd2_merge(hist, new, run_date,
                                  null_safe=null_safe, reappend_unchanged=reappend_unchanged)
     else:
         merged = scd2.scd2_init(new)
     wr.publish_snapshot(spark, merged, table, table_root)
     m = scd2.scd2_metrics(spark.table(table)).first()
-    return {"status": "ok", "total": m.total_rows, "current": m.current_rows, "expired": m.expired_rows}
+    return {"status": "ok", "total": m.total_rows, "current": m.current_rows, "expired": m.expired_rows, **changes}
 
 
 def gold_job(spark: SparkSession, prices_path: str, fundamentals: DataFrame | str, gold_path: str,
@@ -141,9 +158,27 @@ def ml_job(spark: SparkSession, gold_path: str, out_root: str, split_date: str,
     return {**result, "top_buys": [r.asDict() for r in top]}
 
 
+def serving_job(spark: SparkSession, out_root: str, database: str = "default") -> dict:
+    """Register what ``ml_job`` wrote as tables with declared columns; what is not written yet is left out."""
+    served = {"backtest_results": SERVING_BACKTEST, "backtest_metrics": SERVING_METRICS, "future_predictions": SERVING_FUTURE}
+    done = []
+    for name, schema in served.items():
+        path = f"{out_root.rstrip('/')}/{name}"
+        if rd.table_exists(spark, path):
+            wr.register_external(spark, f"{database}.{name}", path, schema)
+            done.append(name)
+    return {"status": "ok" if done else "no input", "tables": done}
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="sparkfolio.plans.jobs")
     sub = p.add_subparsers(dest="job", required=True)
+    n = sub.add_parser("landing")
+    n.add_argument("--payloads", required=True)
+    n.add_argument("--bronze", required=True)
+    v = sub.add_parser("serving")
+    v.add_argument("--out", required=True)
+    v.add_argument("--database", default="default")
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--prices", required=True)
@@ -162,7 +197,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--parallelism", type=int, default=1)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"sparkfolio-{a.job}").getOrCreate()
-    if a.job == "silver":
+    if a.job == "landing":
+        print(landing_job(spark, rd.read_table(spark, a.payloads), a.bronze))
+    elif a.job == "serving":
+        print(serving_job(spark, a.out, a.database))
+    elif a.job == "silver":
         print(silver_prices_job(spark, a.bronze, a.prices, a.run_date))
         print(silver_fundamentals_job(spark, a.bronze, a.fundamentals_table, a.fundamentals_root, a.run_date))
     elif a.job == "gold":

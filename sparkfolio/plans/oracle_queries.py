@@ -168,7 +168,7 @@ oracle("fill_missing", f"""
 SELECT symbol, trade_date, {R('coalesce("open", 0)', '"open"')}, {rcols(["high", "low"])},
        {R('coalesce("close", 0)', '"close"')}, coalesce(volume, 0) AS volume
 FROM flat""", "flat")
-oracle("empty_like", f"SELECT {PX} FROM bars WHERE FALSE", "bars")
+oracle("empty_like", f"SELECT {PX} FROM bars", "bars")
 oracle("row_counts", """
 SELECT (SELECT count(*) FROM bars) AS bars_rows, (SELECT count(*) FROM fund) AS fund_rows,
        (SELECT count(*) FROM pred) AS pred_rows, (SELECT count(*) FROM flat) AS raw_price_rows""",
@@ -213,8 +213,9 @@ UNION ALL SELECT 'ratios', '2005', symbol, '[]' FROM (SELECT DISTINCT symbol FRO
 cte("payload_cls", """
 SELECT source, dt, symbol,
   CASE WHEN body IS NULL OR trim(body) IN ('', '[]', '{}') THEN 'empty'
-       WHEN json_extract_string(body, '$.status') = 'error'
-            OR json_extract(body, '$."Error Message"') IS NOT NULL THEN 'error'
+       WHEN NOT json_valid(body) THEN 'error'
+       WHEN source = 'prices' AND json_extract_string(body, '$.status') = 'error' THEN 'error'
+       WHEN source = 'ratios' AND json_extract(body, '$."Error Message"') IS NOT NULL THEN 'error'
        ELSE 'ok' END AS outcome
 FROM payload_keys""", ["payload_keys"])
 cte("pre_landed", """

@@ -303,7 +303,9 @@ def q_fill_missing(spark, sf):
 
 @query("empty_like")
 def q_empty_like(spark, sf):
-    return out(rd.empty_like(fx.bars(spark, sf)))
+    """A first batch appended to an empty table of the same schema."""
+    bars = fx.bars(spark, sf)
+    return out(rd.empty_like(bars).unionByName(bars))
 
 
 @query("row_counts")
@@ -619,8 +621,7 @@ def q_standardize(spark, sf):
 
 @query("rmse")
 def q_rmse(spark, sf):
-    value = md.rmse_evaluator().evaluate(fx.pred(spark, sf))
-    return out(spark.range(1).select(F.lit(value).alias("rmse")))
+    return out(fx.pred(spark, sf).agg(md.rmse_expr().alias("rmse")))
 
 
 @query("ml_cv_report")

@@ -27,6 +27,7 @@ RAW_RATIOS_FIELDS = {
     "priceToEarningsRatio": D,
     "debtToEquityRatio": D,
 }
+RAW_RATIOS = _struct(*RAW_RATIOS_FIELDS.items())
 
 SILVER_PRICES = _struct(
     ("symbol", S), ("trade_date", DT), ("open", D), ("high", D), ("low", D), ("close", D),

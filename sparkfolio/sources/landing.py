@@ -5,10 +5,12 @@ loop, skips keys already landed and drops error / empty answers. Here the
 payloads are a DataFrame ``(source, dt, symbol, body)`` and the same rules
 are set operations:
 
-* :func:`classify_payloads` - ``outcome`` = ``error`` (``"status": "error"``
-  or an ``"Error Message"`` key), ``empty`` (blank, ``[]`` or ``{}``) or ``ok``
-* :func:`land_new` - anti-join on the keys already present in the landing
-  folder, then append ONE text file set partitioned by source/dt/symbol
+* :func:`classify_payloads` - ``outcome`` = ``error`` (prices: ``"status": "error"``;
+  ratios: an ``"Error Message"`` key; no JSON object or array at all), ``empty``
+  (blank, ``[]`` or ``{}``) or ``ok``
+* :func:`land_new` - one payload a key (of several the smallest by text),
+  anti-join on the keys already present in the landing folder, then append ONE
+  text file set, a document per line, partitioned by source/dt/symbol
 * :func:`landing_summary` - fetched / skipped / failed counts per source
 """
 
@@ -19,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfolio.operators.asof import first_per_group
 from sparkfolio.sources.readers import table_exists
 
 KEYS = ("source", "dt", "symbol")
@@ -26,13 +29,20 @@ LANDED_SCHEMA = "value string, source string, dt string, symbol string"
 MAX_PRUNED_DTS = 1000
 
 
-def outcome_expr(body: str = "body") -> Column:
+def outcome_expr(body: str = "body", source: str = "source") -> Column:
+    """``ok``, ``empty`` or ``error``; each of the two sources reports errors its own way."""
     b = F.col(body)
     trimmed = F.trim(b)
-    is_error = (F.get_json_object(b, "$.status") == "error") | \
-        F.get_json_object(b, "$['Error Message']").isNotNull()
+    is_error = F.when(F.col(source) == "prices", F.get_json_object(b, "$.status") == "error") \
+        .when(F.col(source) == "ratios", F.get_json_object(b, "$['Error Message']").isNotNull())
     is_empty = b.isNull() | trimmed.isin("", "[]", "{}")
-    return F.when(is_empty, F.lit("empty")).when(is_error, F.lit("error")).otherwise(F.lit("ok"))
+    broken = F.try_parse_json(b).isNull() | ~trimmed.rlike(r"^\s*[\[{]")
+    return F.when(is_empty, F.lit("empty")).when(broken | is_error, F.lit("error")).otherwise(F.lit("ok"))
+
+
+def one_line(body: str = "body") -> Column:
+    """A JSON document on one line: raw line breaks stand only between its tokens."""
+    return F.regexp_replace(F.col(body), r"[\r\n]+", " ")
 
 
 def classify_payloads(df: DataFrame, body: str = "body") -> DataFrame:
@@ -70,8 +80,9 @@ def landed_keys(spark: SparkSession, root: str, keys: Sequence[str] = KEYS,
 
 
 def new_payloads(incoming: DataFrame, landed: DataFrame | None, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Good incoming payloads whose key is not landed yet."""
+    """Good incoming payloads whose key is not landed yet, one for each key."""
     good, _ = split_payloads(incoming)
+    good = first_per_group(good, list(keys), [F.col("body").asc()])
     return good if landed is None else good.join(landed, list(keys), "left_anti")
 
 
@@ -79,7 +90,7 @@ def land_new(spark: SparkSession, incoming: DataFrame, root: str, keys: Sequence
     """Append the new good payloads under root/source=/dt=/symbol=; returns them."""
     landed = landed_keys(spark, root, keys, dts=batch_dts(incoming))
     fresh = new_payloads(incoming, landed, keys)
-    (fresh.select(F.col("body").alias("value"), *keys)
+    (fresh.select(one_line().alias("value"), *keys)
           .write.mode("append").partitionBy(*keys).text(root))
     return fresh.select(*keys)
 

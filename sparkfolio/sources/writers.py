@@ -40,14 +40,10 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
-                     partition_by: Sequence[str] = ()) -> str:
+def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str) -> str:
     """Write ``df`` to ``root/snapshot=<id>`` and point ``table`` at it."""
     target = f"{root.rstrip('/')}/snapshot={uuid.uuid4().hex[:12]}"
-    writer = df.write.mode("errorifexists").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(target)
+    df.write.mode("errorifexists").format("parquet").save(target)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {_quote(table)} SET LOCATION '{target}'")
         spark.catalog.refreshTable(table)

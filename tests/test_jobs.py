@@ -4,13 +4,16 @@ from sparkfolio.operators import quality as qa
 from sparkfolio.plans import fixtures as fx
 from sparkfolio.plans import jobs
 from sparkfolio.session import scratch_path, unique_name
-from sparkfolio.sources import landing as ld
 from sparkfolio.sources import readers as rd
 
 
 def test_jobs_end_to_end(spark, sf_small):
     bronze = scratch_path(spark, "bronze")
-    ld.land_new(spark, fx.payloads(spark, sf_small), bronze)
+    payloads = fx.payloads(spark, sf_small)
+    first = jobs.landing_job(spark, payloads, bronze)["sources"]
+    assert first["prices/fetched"] and "prices/skipped" not in first
+    again = jobs.landing_job(spark, payloads, bronze)["sources"]
+    assert again["prices/skipped"] == first["prices/fetched"] and "prices/fetched" not in again
 
     prices = scratch_path(spark, "silver_prices")
     res = jobs.silver_prices_job(spark, bronze, prices, "2002-02-01", dt="*")
@@ -25,6 +28,7 @@ def test_jobs_end_to_end(spark, sf_small):
     n_reports = fx.fund_incoming(spark, sf_small).count()
     assert r1 == {"status": "ok", "total": n_reports, "current": n_reports, "expired": 0}
     r2 = jobs.silver_fundamentals_job(spark, bronze, table, root, "2002-03-01", dt="*")
+    assert (r2["changed"], r2["new"]) == (0, 0)
     assert r2["total"] == n_reports and r2["expired"] == 0          # unchanged rerun appends nothing
 
     gold = scratch_path(spark, "gold")
@@ -38,6 +42,8 @@ def test_jobs_end_to_end(spark, sf_small):
     bt = rd.read_table(spark, f"{out}/backtest_results")
     assert {"prediction", "drawdown", "rsi_14"} <= set(bt.columns)
     assert rd.read_table(spark, f"{out}/backtest_metrics").count() == bt.select("symbol").distinct().count()
+    assert jobs.serving_job(spark, out)["tables"] == ["backtest_results", "backtest_metrics", "future_predictions"]
+    assert spark.table("future_predictions").columns[-1] == "prediction_pct"
 
 
 def test_missing_input_is_skipped(spark):

@@ -15,3 +15,22 @@ def test_cv_scores_test_rows_reproducibly(spark, sf_small):
     assert list(m1.avgMetrics) == list(m2.avgMetrics)
     rep = md.cv_report(spark, m1).collect()
     assert len(rep) == 1 and rep[0].is_best
+
+
+def test_standardize_small(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "a double, b double")
+    got = sorted(((r.a, r.a_z, r.b_z) for r in md.standardize(df, ["a", "b"]).collect()), key=repr)
+    h = 0.5 ** 0.5
+    assert got[0][0] == 1.0 and abs(got[0][1] + h) < 1e-12 and abs(got[1][1] - h) < 1e-12
+    assert got[2][1] is None and [r[2] for r in got] == [0.0] * 3
+
+
+def test_latest_date_is_pushed_to_the_scan(spark):
+    from sparkfolio.operators import scoring as sc
+    from sparkfolio.session import scratch_path
+    path = scratch_path(spark, "by-date")
+    spark.range(10).selectExpr("date_add(date'2024-01-01', cast(id % 5 as int)) AS trade_date", "id").write.parquet(path)
+    latest = sc.latest_rows(spark.read.parquet(path), require=["id"])
+    assert sorted(r.id for r in latest.collect()) == [4, 9]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "DataFilters: [isnotnull(trade_date" in plan and "(trade_date" in plan.split("DataFilters:")[1] and "Join" not in plan

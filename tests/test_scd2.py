@@ -85,3 +85,17 @@ def test_standardize_and_upgrade(spark):
     legacy = std.select("symbol", "report_date", "pe_ratio", "debt_to_equity", "effective_date")
     up = scd2.upgrade_history(legacy)
     assert {"is_current", "expiration_date", "source_api", "ingestion_ts"} <= set(up.columns)
+
+
+def test_merge_leaves_one_current_row_of_duplicates(spark):
+    """The reference-mode merge appends unchanged rows again; the next merge reduces them to one."""
+    twice = scd2.scd2_merge_reference(_hist(spark), _batch(spark), "2024-06-01")
+    nulls = twice.limit(1).withColumns({"symbol": F.lit(None).cast("string"), "is_current": F.lit(True)})
+    later = _batch(spark, D(2024, 9, 1)).filter("symbol IN ('U', 'C')").withColumn("pe_ratio", F.lit(7.0))
+    m = scd2.scd2_merge(twice.unionByName(nulls).unionByName(nulls), later, "2024-09-01")
+    assert m.count() == twice.count() + 4                       # nothing lost, two changed versions, two null keys
+    cur = scd2.current(m).filter("symbol IS NOT NULL")
+    assert cur.groupBy("symbol", "report_date").count().filter("count > 1").count() == 0
+    u = sorted((r.effective_date, r.is_current, r.expiration_date) for r in m.filter("symbol = 'U'").collect())
+    assert u == [(D(2024, 1, 1), False, D(2024, 6, 1)), (D(2024, 6, 1), False, D(2024, 9, 1)), (D(2024, 9, 1), True, None)]
+    assert m.filter("symbol IS NULL AND is_current").count() == 2

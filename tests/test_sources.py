@@ -81,3 +81,19 @@ def test_landing_prunes_to_batch_dates(spark):
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "d1" in plan
     assert [r.dt for r in keys.collect()] == ["d1"]
+
+
+def test_landing_keeps_bodies_whole(spark):
+    root = scratch_path(spark, "landing")
+    rows = [("prices", "d1", "0700", '{\n  "meta": {"symbol": "0700"},\r\n  "values": []\n}'),
+            ("prices", "d1", "H", "<html>502</html>"), ("prices", "d1", "N", None), ("prices", "d1", "T", '{"meta": '),
+            ("ratios", "d1", "A", '[{"symbol": "A"}]'), ("ratios", "d1", "A", '[{"symbol": "A", "date": "x"}]'),
+            ("ratios", "d1", "S", '{"status": "error"}'), ("prices", "d1", "E", '{"Error Message": "x"}')]
+    incoming = spark.createDataFrame(rows, "source string, dt string, symbol string, body string")
+    outcomes = {r.symbol: r.outcome for r in ld.classify_payloads(incoming).collect()}
+    assert outcomes == {"0700": "ok", "H": "error", "N": "empty", "T": "error", "A": "ok", "S": "ok", "E": "ok"}
+    ld.land_new(spark, incoming, root)
+    landed = ld.read_landed(spark, root).collect()
+    assert sorted((r.source, r.symbol) for r in landed) == [("prices", "0700"), ("prices", "E"), ("ratios", "A"), ("ratios", "S")]
+    docs = rd.read_json(spark, f"{root}/source=prices", RAW_PRICES).filter("meta IS NOT NULL").collect()
+    assert [r.meta.symbol for r in docs] == ["0700"]
