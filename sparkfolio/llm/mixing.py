@@ -1,10 +1,13 @@
 """Mixing sources to target weights.
 
-The words of each source form one stream, its documents one after the other, cut into blocks of ``BLOCK_WORDS`` words. Each
-output shard of ``SHARD_SLOTS`` slots draws how many slots each source gets: the whole part of its expected number, and
-multinomially what is left over. The slots of a source are numbered through all shards; slot ``j`` takes block
-``permutation[j // blocks](j % blocks)``, where the permutations are keyed Feistel networks on the block numbers, so each
-pass over a source takes every block once. Blocks are joined to slots by their number.
+The words of each source form one stream, its documents one after the other, cut into blocks of ``BLOCK_WORDS`` words, the
+last one shorter. A source needs as many slots as its blocks, taken in order, hold its target in words; the last slot takes
+the beginning of its block only, so that each source meets its target to the word, however small it is. Each output shard of
+``SHARD_SLOTS`` slots draws how many slots each source gets: the whole part of its expected number, and multinomially what is
+left over. Slots drawn beyond a source's need are not used, and closing shards hold those that were not drawn. The slots of a
+source are numbered through all shards; slot ``j`` takes block ``permutation[j // blocks](j % blocks)``, where the
+permutations are keyed Feistel networks on the block numbers, so each pass over a source takes every block once. Blocks are
+joined to slots by their number.
 
 The recipe (a row for each source) is the one thing sent to every task; its size is checked against ``MAX_SOURCES``.
 """
@@ -72,9 +75,9 @@ def recipe(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
         "source", "number", "source_size", F.least("cap", F.coalesce(F.col("share") * F.col("weight"), "cap")).alias("target"))
 
 
-def permute(index: np.ndarray, blocks: np.ndarray, key: np.ndarray) -> np.ndarray:
+def permute(index: np.ndarray, blocks: np.ndarray, key: np.ndarray, back: bool = False) -> np.ndarray:
     """A pseudorandom permutation of 0..blocks-1 for each key: four Feistel rounds on the next even power of two, walked on
-    until the value is below ``blocks``."""
+    until the value is below ``blocks``; ``back`` gives its inverse."""
     half = np.maximum(1, (np.ceil(np.log2(np.maximum(blocks, 2).astype(float))).astype(np.int64) + 1) // 2).astype(np.uint64)
     mask = (np.uint64(1) << half) - np.uint64(1)
     out = index.astype(np.uint64)
@@ -82,12 +85,38 @@ def permute(index: np.ndarray, blocks: np.ndarray, key: np.ndarray) -> np.ndarra
     while len(todo):
         left, right = out[todo] >> half[todo], out[todo] & mask[todo]
         for turn in range(4):
-            left, right = right, left ^ (mix(right + key[todo] * np.uint64(2 * turn + 1)) & mask[todo])
+            if back:
+                left, right = right ^ (mix(left + key[todo] * np.uint64(7 - 2 * turn)) & mask[todo]), left
+            else:
+                left, right = right, left ^ (mix(right + key[todo] * np.uint64(2 * turn + 1)) & mask[todo])
         out[todo] = left << half[todo] | right
         todo = todo[out[todo] >= blocks[todo].astype(np.uint64)]
     return out.astype(np.int64)
 
 
+def _key(number: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """The key of a source's permutation in one pass over it."""
+    return mix(mix(number.astype(np.uint64) + np.uint64(SEED)) + turn.astype(np.uint64))
+
+
+def quotas(size: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, words of the last slot or 0 for all of its block) that give each source, in the order of its number, its target in words. Targets are
+    rounded so that their sum stays within a word."""
+    upto = np.floor(np.cumsum(target) + 0.5)
+    words = np.clip(np.diff(upto, prepend=0), np.floor(target + 1e-6), np.ceil(target - 1e-6)).astype(np.int64)
+    blocks = -(-size // BLOCK_WORDS)
+    turn, rest = words // np.maximum(size, 1), words % np.maximum(size, 1)
+    missing = blocks * BLOCK_WORDS - size                    # words that the last block is short of
+    number = np.arange(len(size))
+    last = np.zeros(len(size), np.int64)                     # place of the last block in the pass that is not whole
+    some = np.flatnonzero(blocks > 0)
+    last[some] = permute(blocks[some] - 1, blocks[some], _key(number[some], turn[some]), back=True)
+    n = -(-rest // BLOCK_WORDS)
+    n = np.where(last < n, -(-(rest + missing) // BLOCK_WORDS), n)
+    end = rest - np.maximum(n - 1, 0) * BLOCK_WORDS + np.where(last < n - 1, missing, 0)
+    return turn * blocks + n, np.where(rest > 0, end, 0)
+
+
 def draw(shard: int, slots: int, share: np.ndarray) -> np.ndarray:
     """Slots of one shard for each source: whole parts, then a multinomial draw of what is left over."""
     expected = share * slots
@@ -100,16 +129,17 @@ def draw(shard: int, slots: int, share: np.ndarray) -> np.ndarray:
 
 
 def slots(sizes: DataFrame, table: DataFrame) -> DataFrame:
-    """The mix: number (of the source), block, shard, slot (within the source) of every slot."""
+    """The mix: number (of the source), block, shard, slot (within the source) of every slot, and cut: the words that the
+    source's last slot takes from the beginning of its block (0: the slot takes the whole block)."""
     spark = sizes.sparkSession
     rows = table.orderBy("number").limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"over {MAX_SOURCES} sources")
-    words = sum(r.source_size for r in rows)
-    blocks = np.array([-(-r.source_size // BLOCK_WORDS) for r in rows], np.int64)
-    share = np.array([r.target for r in rows]) / max(words, 1)
-    share = share / max(share.sum(), 1e-300)
-    n = -(-words // BLOCK_WORDS)
+    size = np.array([r.source_size for r in rows], np.int64)
+    blocks = -(-size // BLOCK_WORDS)
+    need, end = quotas(size, np.array([r.target for r in rows], float))
+    n = int(need.sum())
+    share = need / max(n, 1)
     shards = -(-n // SHARD_SLOTS)
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,6 +149,14 @@ def slots(sizes: DataFrame, table: DataFrame) -> DataFrame:
                 number = np.flatnonzero(got)
                 yield pd.DataFrame({"shard": shard, "number": number, "n": got[number]})
 
+    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """What the shards drew too few of, in closing shards: runs of at most ``SHARD_SLOTS`` slots of a source."""
+        for batch in batches:
+            for number, got in zip(batch["number"], batch["got"], strict=True):
+                first = np.arange(got, need[number], SHARD_SLOTS)
+                yield pd.DataFrame({"number": number, "shard": shards + number % max(shards, 1), "first": first,
+                                    "n": np.minimum(need[number] - first, SHARD_SLOTS)})
+
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 64):
@@ -126,15 +164,19 @@ def slots(sizes: DataFrame, table: DataFrame) -> DataFrame:
                 each = part["n"].to_numpy()
                 number = np.repeat(part["number"].to_numpy(), each)
                 slot = np.repeat(part["first"].to_numpy() - np.cumsum(each) + each, each) + np.arange(int(each.sum()))
-                use = slot < MAX_REPEATS * blocks[number]    # a source that is drawn to its last repeat has no more
+                use = slot < need[number]                    # a source that is drawn to its target takes no more
                 number, slot, shard = number[use], slot[use], np.repeat(part["shard"].to_numpy(), each)[use]
-                key = mix(mix(number.astype(np.uint64) + np.uint64(SEED)) + (slot // blocks[number]).astype(np.uint64))
-                yield pd.DataFrame({"number": number, "block": permute(slot % blocks[number], blocks[number], key),
-                                    "shard": shard, "slot": slot})
+                block = permute(slot % blocks[number], blocks[number], _key(number, slot // blocks[number]))
+                yield pd.DataFrame({"number": number, "block": block, "shard": shard, "slot": slot,
+                                    "cut": np.where(slot == need[number] - 1, end[number], 0)})
 
     drawn = spark.range(shards).mapInPandas(counts, "shard long, number int, n long")
+    drawn = stored(drawn, "drawn")
     first = _running(drawn, "number", F.expr(f"shard div {RUN_ROWS}"), ["shard"], "n", "first")
-    return first.mapInPandas(fill, "number int, block long, shard long, slot long")
+    got = spark.range(len(rows)).select(F.col("id").cast("int").alias("number")).join(
+        drawn.groupBy("number").agg(F.sum("n").alias("got")), "number", "left").select("number", F.coalesce("got", F.lit(0)).alias("got"))
+    all_slots = first.select("number", "shard", "first", "n").union(got.mapInPandas(rest, "number int, shard long, first long, n long"))
+    return all_slots.mapInPandas(fill, "number int, block long, shard long, slot long, cut int")
 
 
 #: Names a document by id, source and text in every run of a task.
@@ -158,14 +200,19 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> tuple[DataFrame
     n = sizes.count()
     placed = _running(known, "number", F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(max(1, n // RUN_ROWS) * 4)), ["row"], "size", "first")
     placed = stored(placed, "placed")
-    used = slots(sizes, table).groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
+    used = slots(sizes, table).groupBy("number", "block").agg(F.count(F.when(F.col("cut") == 0, 1)).alias("times"), F.max("cut").alias("cut"))
     low, high = F.expr(f"first div {BLOCK_WORDS}"), F.expr(f"(first + size - 1) div {BLOCK_WORDS}")
     start = F.greatest(F.col("first"), F.col("block") * BLOCK_WORDS)
     pieces = (placed.filter("size > 0").select("row", "number", "first", "size", F.explode(F.sequence(low, high)).alias("block"))
               .withColumn("at", start - F.col("first"))
               .withColumn("words", F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * BLOCK_WORDS) - start)
               .join(used.hint("merge"), ["number", "block"], "left")   # as many rows as blocks: not one to broadcast
-              .select("row", "block", "at", "words", F.coalesce("times", F.lit(0)).alias("times")))
+              .withColumn("times", F.coalesce("times", F.lit(0)))
+              .withColumn("more", F.least("words", F.greatest(F.coalesce("cut", F.lit(0)) - (start - F.col("block") * BLOCK_WORDS), F.lit(0)))))
+    piece = lambda at, words, times: F.struct(at.alias("at"), words.alias("words"), times.alias("times"))
+    parts = F.array(piece(F.col("at"), F.col("more"), F.col("times") + 1),     # words in the part of the block that the last slot takes
+                    piece(F.col("at") + F.col("more"), F.col("words") - F.col("more"), F.col("times")))
+    pieces = pieces.select("row", "block", F.inline(F.filter(parts, lambda p: p["words"] > 0)))
     return placed, pieces
 
 

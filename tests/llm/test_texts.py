@@ -280,6 +280,35 @@ def test_mixing(spark, docs, none, table):
     assert all(r.taken <= 3 * r.size for r in odd) and mixing.mix_sources(none).collect() == []
 
 
+def test_small_sources_meet_their_targets(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    n = [1, 2, 20, 63, 64, 65, 70, 128, 130, 200, 5000, *rng.integers(1, 201, 289).tolist()]
+    rows, at = [], 0
+    for i, size in enumerate(n):                             # one to three documents a source
+        for part in np.array_split(np.arange(size), 1 + i % 3):
+            rows.append((at, " ".join(f"w{i}x{j}" for j in part), f"s{i:03}"))
+            at += 1
+    many = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = {i: s for i, _, s in rows}
+    target = fill({f"s{i:03}": size for i, size in enumerate(n)}, {f"s{i:03}": i % 3 + 1 for i in range(len(n))})
+    for slots in (mixing.SHARD_SLOTS, 16):
+        monkeypatch.setattr(mixing, "SHARD_SLOTS", slots)
+        taken = collections.Counter()
+        out = mixing.mix_sources(many).collect()
+        for r in out:
+            assert r.target == pytest.approx(target[source[r.doc_id]]) and 0 <= r.taken <= 3 * r.size
+            taken[source[r.doc_id]] += r.taken
+        assert all(abs(taken[s] - target[s]) <= 1 for s in target) and abs(sum(taken.values()) - sum(n)) <= 1
+        texts = {r.doc_id: words(r.text) for r in mixing.mixed(many).collect()}
+        assert {r.doc_id: r.taken for r in out if r.taken} == {i: len(w) for i, w in texts.items()}
+
+
+def test_inverse_permutations():
+    for blocks in (1, 2, 3, 64, 1000):
+        n, all_, key = np.arange(blocks), np.full(blocks, blocks), np.full(blocks, 99, np.uint64)
+        assert mixing.permute(mixing.permute(n, all_, key), all_, key, back=True).tolist() == n.tolist()
+
+
 def test_mixed_texts_hold_what_was_taken(docs):
     taken = {(r.doc_id, r.size): r.taken for r in mixing.mix_sources(docs).collect()}
     out = mixing.mixed(docs).collect()
