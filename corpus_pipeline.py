@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that are linked, the one with the smallest doc_id stays."""
-    return ngram_jaccard.one_of_each(docs)
+    """Of each group of documents that are linked, one row stays: the one with the smallest doc_id, an id before none."""
+    return ngram_jaccard.one_of_each(docs, apart=False)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

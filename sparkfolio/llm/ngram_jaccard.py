@@ -67,13 +67,15 @@ def _sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The columns but text, n_shingles and node of each row."""
     for batch in batches:
+        names = [c for c in batch.schema.names if c != "text"]
         for at, to, words in slices(batch.column("text"), lower=True):
             owner, _, digest = _sets(words, k)
             n = np.bincount(owner, minlength=to - at).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[at:to], pa.array(n), pa.array(digest.view(np.int64), mask=n == 0)],
-                ["doc_id", "n_shingles", "node"])
+                [*(batch.column(c)[at:to] for c in names), pa.array(n), pa.array(digest.view(np.int64), mask=n == 0)],
+                [*names, "n_shingles", "node"])
 
 
 def _post(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
@@ -200,17 +202,12 @@ def _links(texts: DataFrame, percent: int) -> DataFrame:
     return label
 
 
-def ngram_jaccard(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs`` (doc_id long, text string; other columns are ignored):
-    doc_id, n_shingles, component_id (smallest doc_id among the documents reachable by links).
-
-    Null, empty and word-less texts have no shingles and are their own component. Texts of fewer
-    than ``k`` words have one shingle. Rows that repeat are kept; rows with a null doc_id take
-    part, and their component_id is null only if no member has an id. An empty table gives no rows.
-    """
-    prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = stored(texts.mapInArrow(lambda it: _profile(it, k), "doc_id long, n_shingles long, node long"), "shingle-sets")
+def _grouped(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The columns of ``texts`` (doc_id, text and others of type long) but text, and n_shingles, node, component (one of its
+    nodes) and component_id (its smallest doc_id); the last three are null for texts without shingles."""
+    prepare(texts.sparkSession)
+    others = "".join(f"{c} long, " for c in texts.columns if c != "text")
+    rows = stored(texts.mapInArrow(lambda it: _profile(it, k), f"{others}n_shingles long, node long"), "shingle-sets")
     bits = ps.bucket_bits(rows.agg(F.sum("n_shingles")).first()[0] or 0)
     shared = (texts.select("text").mapInArrow(lambda it: _post(it, k, bits),
                                               "bucket int, nodes binary, sizes binary, idx binary, keys binary")
@@ -224,14 +221,42 @@ def ngram_jaccard(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCEN
              .join(label.withColumnRenamed("id", "node"), "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_node = nodes.join(least, "component").select("node", "component_id")
-    return rows.join(of_node, "node", "left").select(
+    return rows.join(nodes.join(least, "component").select("node", "component", "component_id"), "node", "left")
+
+
+def ngram_jaccard(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs`` (doc_id long, text string; other columns are ignored):
+    doc_id, n_shingles, component_id (smallest doc_id among the documents reachable by links).
+
+    Null, empty and word-less texts have no shingles and are their own component. Texts of fewer
+    than ``k`` words have one shingle. Rows that repeat are kept; rows with a null doc_id take
+    part, and their component_id is null only if no member has an id. An empty table gives no rows.
+    """
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return _grouped(texts, k, percent).select(
         "doc_id", "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id.
-    Rows with a null doc_id stay."""
-    kept = ngram_jaccard(docs, k, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, apart: bool = True) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest doc_id, an id before none, then with the smallest
+    hash of all columns; of rows that are equal in all columns one stays.
+
+    ``apart`` treats the rows of a component that have no doc_id as a component of their own, so that one of them stays too.
+    Rows without words are copies only of rows with the same id; those that have no id either all stay.
+    """
+    by = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))       # the hash passes over nulls
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), by.alias("digest"))
+    rows = _grouped(texts, k, percent)
+    # rows that are equal in all columns are counted first, in partial sums: a document that repeats is not gathered
+    group = ["component", F.when(F.col("node").isNull(), F.col("doc_id")).alias("own"), (F.lit(apart) & F.col("doc_id").isNull()).alias("side")]
+    equal = rows.filter("node is not null or doc_id is not null").groupBy(*group, "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    one = equal.groupBy("component", "own", "side").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "n")).alias("one")).select("one.doc_id", "one.digest", "one.n")
+    free = rows.filter("node is null and doc_id is null").select("doc_id", "digest").distinct().withColumn("n", F.lit(1).cast("long"))
+    chosen = stored(one.union(free), "chosen").toDF("__id", "__digest", "__n")
+    marked = docs.withColumn("__own", by)
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
+    single = marked.join(chosen.filter("__n = 1"), match, "left_semi")
+    repeated = marked.join(chosen.filter("__n > 1"), match, "left_semi").dropDuplicates(["doc_id", "__own"])
+    return single.unionByName(repeated).select(*docs.columns)

@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from sparkfolio.llm import byte_bpe, fm_dedup, mixing, ngram_jaccard, pii, queries, rules, token_files
 from sparkfolio.session import scratch_path
 from tests.conftest import SF_SMALL
@@ -111,6 +112,26 @@ def test_one_of_each_keeps_columns_and_rows_without_an_id(docs):
     assert ids.count(None) == 2 and 12 not in ids and 9 not in ids and {1, 2, 3, 8, 16} <= set(ids)
 
 
+def test_one_row_of_each_group_stays(spark):
+    other = " ".join(f"v{i}" for i in range(50))
+    lone = " ".join(f"u{i}" for i in range(50))
+    rows = [(1, LONG, "a"), (1, LONG, "a"), (1, LONG, "b"), (2, NEAR, "a"), (None, LONG, "a"), (None, NEAR, "a"),     # one group
+            (1, other, "a"), (3, other, "a"),                # its smallest id names a text of the first group too
+            (2, lone, "a"), (1, lone + " tail", "a"),
+            (None, "of no id here at all", "a"), (None, "of no id here at all", "a"), (None, "of no id here at all", "c"),
+            (5, "", "a"), (5, "", "a"), (6, None, "a"), (None, "", "a"), (None, "", "a"), (7, "one", "a"), (8, "one", "a")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    both = collections.Counter((r.doc_id, r.text) for r in ngram_jaccard.one_of_each(table, apart=False).collect())
+    want = {(1, LONG): 1, (1, other): 1, (1, lone + " tail"): 1, (None, "of no id here at all"): 1, (5, ""): 1, (6, None): 1,
+            (None, ""): 2, (7, "one"): 1}
+    assert both == want
+    stage = corpus_pipeline.near_duplicates(spark, table, SF_SMALL)
+    assert collections.Counter((r.doc_id, r.text) for r in stage.collect()) == want
+    out = [(r.doc_id, r.text) for r in ngram_jaccard.one_of_each(table).collect()]
+    extra = collections.Counter(out) - collections.Counter(want)
+    assert list(extra) in ([(None, LONG)], [(None, NEAR)]) and len(out) == sum(want.values()) + 1
+
+
 def stripped(rows, window):
     seen = collections.Counter(tuple(w[i:i + window]) for w in rows for i in range(len(w) - window + 1))
     out = []
