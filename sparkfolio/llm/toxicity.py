@@ -1,7 +1,8 @@
 """Toxicity: noisy-channel deobfuscation, then a score from restored words.
 
 A word that is spelt with look-alike signs ("1d!0t"), letters apart ("i d i o t", "i.d.i.o.t") or letters repeated ("idiooot") becomes a
-lattice of characters: each sign with the letters it may stand for, each separator or nothing, each run of letters as one or two.
+lattice of characters: each sign with the letters it may stand for, each run of separators as nothing or the end of a word, each
+run of two or more letters as one or two. A sign at an edge of a word may be punctuation as well; both are tried.
 The Viterbi path under a character trigram model is the restored word. The trigram counts come from all texts of the corpus.
 
 Evidence is the words and word beginnings of the text and of its restored words. A feature counts if the labels rule out chance: its
@@ -42,9 +43,13 @@ _CODE[65:91] = np.arange(1, 27)
 _CODE[128:] = 27
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[^\x20\x09-\x0d]+")
-_APART = re.compile(r"(?<![^\W_])(?:[a-z0-9@$!|+][ .\-_*~]){2,}[a-z0-9@$!|+](?![^\W_])")
-_NOISY = re.compile(r"[a-z][0-9@$!|+.\-_*~']+[a-z]|[0-9@$!|+][a-z]|[a-z][0-9@$]|([^\W\d_])\1\1")
+_APART = re.compile(r"(?<![^\W_])[\w@$!|+](?<!_)(?:[\s.\-_*~']+[\w@$!|+](?<!_)(?![^\W_])){2,}")
+_NOISY = re.compile(r"[^\W\d_][0-9@$!|+.\-_*~']+[^\W\d_]|[0-9@$!|+][^\W\d_]|[^\W\d_][0-9@$]|([^\W\d_])\1")
 _EDGE = "\"'()[]{}<>,;:?.!"
+_PLAIN = "".join(c for c in _EDGE if c not in SIGNS)
+#: Most tokens whose words a task remembers.
+KNOWN = 250_000
+_NONE: frozenset[str] = frozenset()
 
 
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,71 +75,95 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each place of a lower-cased token: the strings it may stand for, with their cost."""
+    """For each place of a lower-cased token: the strings it may stand for, with their cost. A blank ends a word."""
     out, at = [], 0
+    separates = lambda c: c in SEPARATORS or c.isspace()
     while at < len(token):
         c, run = token[at], 1
-        while at + run < len(token) and token[at + run] == c:
+        while at + run < len(token) and (token[at + run] == c or (separates(c) and separates(token[at + run]))):
             run += 1
         letters = SIGNS.get(c)
         if letters:
             choice = [(x, SIGN_COST) for x in letters]
-            out += [choice] * run if run < 3 else [choice + [(x * 2, SIGN_COST) for x in letters]]
-        elif c in SEPARATORS or c == " ":
-            out.append([("", 0.0)])
-        elif run >= 3:
+            if run == 2:
+                choice += [(x + y, 2 * SIGN_COST) for x in letters for y in letters]
+            elif run > 2:
+                choice += [(x * 2, SIGN_COST) for x in letters]
+            out.append(choice)
+        elif separates(c):
+            out.append([("", 0.0), (" ", 0.0)])
+        elif run >= 2:
             out.append([(c, 0.0), (c * 2, 0.0)])
         else:
-            out.append([(c * run, 0.0)])
+            out.append([(c, 0.0)])
         at += run
     return out
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The Viterbi path through the lattice of a token."""
-    code = lambda c: ord(c) - 96 if "a" <= c <= "z" else 27
-    states = {(0, 0): (0.0, "")}
-    for choice in lattice(token):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in states.items():
-            for piece, extra in choice:
+def restore(token: str, model: np.ndarray | list) -> str:
+    """The Viterbi path through the lattice of a token: a word, or words with blanks between them."""
+    code = lambda c: ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27
+    states = {(0, 0): (0.0, None)}
+    for pieces in lattice(token):
+        choice = [(piece, extra, [code(c) for c in piece]) for piece, extra in pieces]
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, path) in states.items():
+            for piece, extra, codes in choice:
                 x, y, total = a, b, cost + extra
-                for c in piece:
-                    z = code(c)
-                    total -= model[x, y, z]
+                for z in codes:
+                    total -= model[x][y][z]
                     x, y = y, z
                 have = new.get((x, y))
-                if have is None or (total, text + piece) < have:
-                    new[x, y] = (total, text + piece)
+                if have is None or total < have[0]:
+                    new[x, y] = (total, (path, piece))
         states = new
-    return min((cost - model[a, b, 0], text) for (a, b), (cost, text) in states.items())[1]
+    _, path = min(((cost - (model[a][b][0] if b else 0.0), path) for (a, b), (cost, path) in states.items()), key=lambda s: s[0])
+    out = []
+    while path:
+        path, piece = path
+        out.append(piece)
+    return "".join(reversed(out)).strip()
 
 
-def restored(text: str, model: np.ndarray) -> set[str]:
-    """Words of a lower-cased text, those that its obfuscated words stand for included."""
+def _meant(token: str, model: np.ndarray | list) -> set[str]:
+    """Words that a token with signs, separators or repeated letters stands for."""
+    ways = {token.strip(_EDGE), token.strip(_PLAIN), token.lstrip(_PLAIN).rstrip(_EDGE)}
+    return {w for t in ways if t for w in _WORD.findall(restore(t, model))}
+
+
+def restored(text: str, model: np.ndarray | list, known: dict[str, set[str] | frozenset[str]] | None = None) -> set[str]:
+    """Words of a lower-cased text, those that its obfuscated words stand for included; ``known`` remembers them by token."""
+    known = {} if known is None else known
     words = set(_WORD.findall(text))
-    noisy = {t.strip(_EDGE) for t in set(_TOKEN.findall(text)) if _NOISY.search(t)}
-    noisy |= {m.group() for m in _APART.finditer(text)}
-    for token in noisy:
-        if token:
-            words.update(_WORD.findall(restore(token, model)))
+    for token in set(_TOKEN.findall(text)):
+        have = known.get(token)
+        if have is None:
+            have = _meant(token, model) if _NOISY.search(token) else _NONE
+            if len(known) >= KNOWN:
+                known.clear()
+            if len(token) <= 64:
+                known[token] = have
+        words |= have
+    for m in _APART.finditer(text):
+        words.update(_WORD.findall(restore(m.group(), model)))
     return words
 
 
-def features(text: str, model: np.ndarray) -> set[str]:
-    words = restored(text.lower(), model)
+def features(text: str, model: np.ndarray | list, known: dict[str, set[str] | frozenset[str]] | None = None) -> set[str]:
+    words = restored(text.lower(), model, known)
     return words | {f"{w[:n]}*" for n in PREFIXES for w in words if len(w) > n}
 
 
-def learn(texts: DataFrame, model: np.ndarray) -> tuple[dict[str, float], float]:
+def learn(texts: DataFrame, model: np.ndarray | list) -> tuple[dict[str, float], float]:
     """(feature -> share of toxic documents, score of a text without evidence) from rows (text, toxic 0/1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, set[str] | frozenset[str]] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 names, flags = [], []
                 for t, y in zip(part.column("text"), part.column("toxic"), strict=True):
-                    f = features(t.as_py() or "", model)
+                    f = features(t.as_py() or "", model, known)
                     names += f
                     flags += [y.as_py()] * len(f)
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(flags, pa.int64())], ["feature", "toxic"])
@@ -164,15 +193,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    model = language_model(texts)
+    model = language_model(texts).tolist()                   # read number by number, where lists are faster
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("long")).filter("doc_id is not null and toxic is not null")
     chosen = known.filter(~held_out).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(MAX_LABELS)
     lexicon, base = learn(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = lexicon.get
+        get, known = lexicon.get, {}
         for batch in batches:
-            score = [max((get(f, base) for f in features(t.as_py(), model)), default=base) for t in batch.column("text")]
+            score = [max((get(f, base) for f in features(t.as_py(), model, known)), default=base) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
 
     return texts.mapInArrow(run, "doc_id long, score double").select(

@@ -92,6 +92,18 @@ def test_deobfuscation(spark):
     assert "idiot" in toxicity.restored("what an i d i o t he is", model) and "clown" in toxicity.restored("cl0wn!!", model)
 
 
+def test_deobfuscation_of_whole_words(spark):
+    text = " ".join(["he is a stupid idiot and you are a moron but the clown is a loser, a pédant in a cafe"] * 50)
+    model = toxicity.language_model(spark.createDataFrame([(text,)], "text string"))
+    for noisy, word in (("he is a s t u p i d", "stupid"), ("he is s t u p i d", "stupid"), ("a s.t.u.p.i.d man", "stupid"), ("stuupid", "stupid"),
+                        ("iddiot", "idiot"), ("!d!ot", "idiot"), ("(!d!ot!)", "idiot"), ("s  t  u  p  i  d", "stupid"), ("i\td\ti\to\tt", "idiot"),
+                        ("m\no\nr\no\nn", "moron"), ("p é d a n t", "pédant"), ("p é d 4 n t", "pédant")):
+        known = {}
+        for _ in range(2):                                   # the words that are remembered are the same
+            assert word in toxicity.restored(noisy, model, known), noisy
+    assert "astupid" not in toxicity.restored("he is a s t u p i d", model)
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "x" * 50000, 1), (3, "x" * 50000, 1), (None, "word", 1)], "doc_id long, text string, score int")
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
