@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from sparkfolio.llm import byte_bpe, pii, token_files
 from sparkfolio.llm.fm_dedup import remove_repeats
+from sparkfolio.llm.importance import resample
 from sparkfolio.llm.mixing import mix_sources
 from sparkfolio.llm.ngram_jaccard import ngram_jaccard
 from sparkfolio.llm.pu_quality import quality
 from sparkfolio.llm.rules import quality_rules
 from sparkfolio.llm.toxicity import toxicity
 from sparkfolio.llm.vptree import nearest
+from sparkfolio.llm.whitening import whiten
 from sparkfolio.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +88,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(_table(spark, sf_dir, "embeddings"))
+    return white.select("vec_id", "n", "deviation", "identity_error", "deviation_exact", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")) \
+        .select("vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation", F.col("c.whitened").alias("whitened"),
+                F.col("c.explained").alias("explained"), "identity_error", "deviation_exact")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_ngram_jaccard, op2_vantage_points, op3_mix_sources, op4_byte_bpe, op5_toxicity, op6_pu_quality, op7_token_files, op8_pii, op9_quality_rules, op10_substring_dedup)}
+    op1_ngram_jaccard, op2_vantage_points, op3_mix_sources, op4_byte_bpe, op5_toxicity, op6_pu_quality, op7_token_files, op8_pii, op9_quality_rules, op10_substring_dedup,
+    op12_importance_resampling, op13_whitening)}
 
 ORACLE: dict[str, str] = {}
