@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.llm import byte_bpe, pii, token_files
+from sparkfolio.llm.block_lstm import main_text
 from sparkfolio.llm.fm_dedup import remove_repeats
 from sparkfolio.llm.importance import resample
 from sparkfolio.llm.mixing import mix_sources
@@ -88,6 +89,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -102,6 +107,6 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_vantage_points, op3_mix_sources, op4_byte_bpe, op5_toxicity, op6_pu_quality, op7_token_files, op8_pii, op9_quality_rules, op10_substring_dedup,
-    op12_importance_resampling, op13_whitening)}
+    op11_block_labeller, op12_importance_resampling, op13_whitening)}
 
 ORACLE: dict[str, str] = {}
