@@ -99,6 +99,15 @@ def invalid_sample(df: DataFrame, n: int = 10,
     return flagged.filter(~F.col("is_valid")).select(*cols).orderBy(*sort).limit(n)
 
 
+def validity_metrics(n: int = 10) -> list[Column]:
+    """Aggregates for ``DataFrame.observe`` over rows with ``is_valid``: how many there are of each kind, and up to ``n``
+    invalid rows (the least of each of ``n`` hash slots). Their size does not grow with the input."""
+    row = F.struct(*PRICE_COLUMNS)
+    slot = F.pmod(F.xxhash64(*PRICE_COLUMNS), F.lit(n))
+    return [F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("invalid"),
+            *[F.min(F.when(~F.col("is_valid") & (slot == i), row)).alias(f"sample_{i}") for i in range(n)]]
+
+
 def ensure_columns(df: DataFrame, expected: Mapping[str, T.DataType]) -> DataFrame:
     """Add expected columns that are absent as typed nulls."""
     missing = {n: F.lit(None).cast(t) for n, t in expected.items() if n not in df.columns}

@@ -18,9 +18,9 @@ from __future__ import annotations
 import argparse
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfolio.operators import backtest as bt
 from sparkfolio.operators import features as ft
@@ -31,15 +31,17 @@ from sparkfolio.operators import scd2
 from sparkfolio.operators import scoring as sc
 from sparkfolio.schemas import (
     FEATURES, RAW_PRICES, RAW_RATIOS, SERVING_BACKTEST, SERVING_FUTURE, SERVING_METRICS, SILVER_PRICES)
+from sparkfolio.session import checkpoint
+from sparkfolio.sources import history as hs
 from sparkfolio.sources import landing as ld
 from sparkfolio.sources import readers as rd
 from sparkfolio.sources import writers as wr
 
 
-def _dt_filter(run_date: str | None, dt: str | None):
-    """Landing partition to read: ``dt`` if given (``"*"`` = every run), else the run date."""
+def _one_dt(run_date: str | None, dt: str | None) -> str | None:
+    """Run date to read: ``dt`` if given (``"*"`` = every run), else the run date."""
     value = dt or run_date
-    return None if value in (None, "*") else (F.col("dt") == value)
+    return None if value == "*" else value
 
 
 def landing_job(spark: SparkSession, payloads: DataFrame, bronze_root: str) -> dict:
@@ -51,55 +53,72 @@ def landing_job(spark: SparkSession, payloads: DataFrame, bronze_root: str) -> d
     return {"status": "ok", "sources": {f"{r.source}/{r.outcome}": r.n for r in report}}
 
 
+def _documents(spark: SparkSession, bronze_root: str, source: str, schema: T.StructType, dt: str | None) -> tuple[DataFrame | None, Observation]:
+    """Landed documents of one source, and what is counted of them while they are read."""
+    seen = Observation()
+    docs = ld.read_documents(spark, bronze_root, source, schema, dt)
+    if docs is not None:
+        docs = docs.observe(seen, F.count(F.lit(1)).alias("documents"), F.count(rd.CORRUPT).alias("broken"),
+                            F.count(rd.RESCUED).alias("undeclared"))
+    return docs, seen
+
+
+def _set_aside(spark: SparkSession, bronze_root: str, source: str, schema: T.StructType, dt: str | None, seen: dict, path: str | None) -> dict:
+    """Broken documents and undeclared fields to a quarantine table, if there are any and a place for them."""
+    if path and (seen["broken"] or seen["undeclared"]):
+        rows = rd.quarantine(ld.read_documents(spark, bronze_root, source, schema, dt)).withColumn("source", F.lit(source))
+        wr.write_partitions(rows, path, ["source", "dt"])
+    return {"broken": seen["broken"], "undeclared": seen["undeclared"]}
+
+
 def silver_prices_job(spark: SparkSession, bronze_root: str, prices_path: str,
-                      run_date: str, dt: str | None = None, sample_rows: int = 10) -> dict:
+                      run_date: str, dt: str | None = None, sample_rows: int = 10, quarantine_path: str | None = None) -> dict:
     """Landed price documents of one run (``dt``) -> validated silver prices,
-    written with dynamic partition overwrite by ``trade_date``."""
-    root = f"{bronze_root.rstrip('/')}/source=prices"
-    if not rd.table_exists(spark, root, "text"):
-        return {"status": "no input"}
-    raw = rd.read_json(spark, root, RAW_PRICES, where=_dt_filter(run_date, dt))
-    if rd.is_empty(raw):
+    written with dynamic partition overwrite by ``trade_date``.
+
+    The input is read once: documents, valid and invalid rows are counted, and the invalid sample is taken, while the
+    valid rows are written. Only documents that are broken or hold undeclared fields cause a second read, for the quarantine.
+    (A stage that runs again after a lost executor may count its rows twice; the table has each row once.)
+    """
+    one = _one_dt(run_date, dt)
+    raw, documents = _documents(spark, bronze_root, "prices", RAW_PRICES, one)
+    if raw is None:
         return {"status": "no input"}
+    rows = Observation()
     flat = qa.with_lineage(qa.flatten_prices(raw), "twelvedata", run_date)
-    flagged = qa.add_validity(flat).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = {r.is_valid: r.n for r in flagged.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n")).collect()}
-        valid_n, invalid_n = counts.get(True, 0), counts.get(False, 0)
-        sample = qa.invalid_sample(flagged, sample_rows).collect() if invalid_n else []
-        if valid_n:
-            valid, _ = qa.split_valid(flagged)
-            wr.write_partitions(valid, prices_path, ["trade_date"])
-    finally:
-        flagged.unpersist()
-    return {"status": "ok" if valid_n else "no valid rows", "valid": valid_n, "invalid": invalid_n,
-            "invalid_sample": [r.asDict() for r in sample]}
+    valid, _ = qa.split_valid(qa.add_validity(flat).observe(rows, *qa.validity_metrics(sample_rows)))
+    wr.write_partitions(valid, prices_path, ["trade_date"])
+    seen, found = documents.get, rows.get
+    if not seen["documents"]:
+        return {"status": "no input"}
+    sample = [r.asDict() for i in range(sample_rows) if (r := found[f"sample_{i}"]) is not None]
+    return {"status": "ok" if found["valid"] else "no valid rows", "valid": found["valid"], "invalid": found["invalid"],
+            "invalid_sample": sample, **_set_aside(spark, bronze_root, "prices", RAW_PRICES, one, seen, quarantine_path)}
 
 
 def silver_fundamentals_job(spark: SparkSession, bronze_root: str, table: str, table_root: str,
                             run_date: str, dt: str | None = None, null_safe: bool = True,
-                            reappend_unchanged: bool = False) -> dict:
-    """Landed ratio payloads of one run -> SCD2 history, published as a new
-    snapshot of ``table`` (safe even though the job reads that table)."""
-    root = f"{bronze_root.rstrip('/')}/source=ratios"
-    if not rd.table_exists(spark, root, "text"):
+                            reappend_unchanged: bool = False, keep_versions: int | None = None,
+                            quarantine_path: str | None = None) -> dict:
+    """Landed ratio payloads of one run -> SCD2 history under ``table_root``: only the years that change are rewritten,
+    ``table`` is a view of the last version. ``keep_versions`` drops older ones."""
+    one = _one_dt(run_date, dt)
+    raw, documents = _documents(spark, bronze_root, "ratios", RAW_RATIOS, one)
+    if raw is None:
         return {"status": "no input"}
-    raw = rd.read_json(spark, root, RAW_RATIOS, where=_dt_filter(run_date, dt))
-    new = scd2.standardize_fundamentals(raw, run_date)
+    new = checkpoint(scd2.standardize_fundamentals(raw, run_date))       # read for the years, the changes and the merge
     if rd.is_empty(new):
         return {"status": "no input"}
-    changes = {}
-    if spark.catalog.tableExists(table):
-        hist = scd2.upgrade_history(spark.table(table))
-        found = scd2.change_counts(scd2.current(hist), new).first()
-        changes = {"changed": found.changed_null_safe if null_safe else found.changed_null_unsafe, "new": found.new_keys}
-        merged = scd2.scd2_merge(hist, new, run_date,
-                                 null_safe=null_safe, reappend_unchanged=reappend_unchanged)
-    else:
-        merged = scd2.scd2_init(new)
-    wr.publish_snapshot(spark, merged, table, table_root)
-    m = scd2.scd2_metrics(spark.table(table)).first()
-    return {"status": "ok", "total": m.total_rows, "current": m.current_rows, "expired": m.expired_rows, **changes}
+    if not hs.versions(spark, table_root) and spark.catalog.tableExists(table):
+        hs.start(spark, table_root, spark.table(table))
+    done = hs.merge(spark, table_root, new, run_date, null_safe, reappend_unchanged)
+    hs.publish_view(spark, table_root, table)
+    if keep_versions:
+        hs.vacuum(spark, table_root, keep_versions)
+    parts = hs.parts(spark, table_root)
+    current, expired = (sum(p.n_rows for p in parts if p.is_current == c) for c in (True, False))
+    return {"status": "ok", "total": current + expired, "current": current, "expired": expired, **done,
+            **_set_aside(spark, bronze_root, "ratios", RAW_RATIOS, one, documents.get, quarantine_path)}
 
 
 def gold_job(spark: SparkSession, prices_path: str, fundamentals: DataFrame | str, gold_path: str,
@@ -134,7 +153,7 @@ def ml_job(spark: SparkSession, gold_path: str, out_root: str, split_date: str,
     out = out_root.rstrip("/")
     if not rd.table_exists(spark, gold_path):
         return {"status": "no input"}
-    gold = rd.read_table(spark, gold_path).withColumn("symbol", F.col("symbol").cast("string"))
+    gold = rd.read_table(spark, gold_path, text=("symbol",))
     ready = md.train_ready(gold)
     train, test = md.time_split(ready, split_date)
     if rd.is_empty(train) or rd.is_empty(test):
@@ -145,7 +164,7 @@ def ml_job(spark: SparkSession, gold_path: str, out_root: str, split_date: str,
     wr.write_partitions(backtest, f"{out}/backtest_results", ["symbol"])
     # metrics read the written table instead of re-running scoring + windows; the
     # symbols of this run were overwritten, others keep rows of earlier runs
-    written = rd.read_table(spark, f"{out}/backtest_results").withColumn("symbol", F.col("symbol").cast("string"))
+    written = rd.read_table(spark, f"{out}/backtest_results", text=("symbol",))
     metrics = mt.backtest_metrics(written.join(test.select("symbol").distinct(), "symbol", "left_semi"))
     wr.replace_table(metrics, f"{out}/backtest_metrics")
     latest = sc.latest_rows(gold)

@@ -221,9 +221,22 @@ FROM payload_keys""", ["payload_keys"])
 cte("pre_landed", """
 SELECT source, dt, symbol FROM payload_cls WHERE outcome = 'ok' AND dt < '1998'""", ["payload_cls"])
 oracle("landing_error_split", "SELECT source, dt, symbol, outcome FROM payload_cls", "payload_cls")
-oracle("landing_new_only", """
-SELECT source, dt, symbol, CAST(count(*) AS BIGINT) AS n_payloads FROM payload_cls WHERE outcome = 'ok'
-GROUP BY source, dt, symbol""", "payload_cls")
+oracle("landing_new_only", f"""
+SELECT 'prices' AS source, dt, symbol, CAST(1 AS BIGINT) AS n_payloads, CAST(count(*) AS BIGINT) AS n_values,
+       {R('sum(coalesce(TRY_CAST("close" AS DOUBLE), 0))', 'body_sum')}, CAST(count(*) FILTER (WHERE volume IS NULL) AS BIGINT) AS n_no_volume
+FROM raw_bars GROUP BY dt, symbol
+UNION ALL
+SELECT 'ratios', strftime(report_date, '%Y'), symbol, 1, count(*), {R('sum(debt_to_equity)', 'body_sum')}, 0
+FROM fund_in GROUP BY 2, 3""", "raw_bars", "fund_in")
+DRIFT_MONTH = "substr(dt, 6, 2)"
+oracle("scan_json_drift", f"SELECT {PX} FROM flat WHERE {DRIFT_MONTH} <> '03'", "flat")
+oracle("scan_json_quarantine", f"""
+SELECT DISTINCT dt, symbol, 'broken' AS reason, '' AS field, CAST(NULL AS VARCHAR) AS value, CAST(1 AS BIGINT) AS n
+FROM raw_bars WHERE {DRIFT_MONTH} = '03'
+UNION ALL SELECT DISTINCT dt, symbol, 'undeclared', 'venue', '{{"mic":"X"}}', 1 FROM raw_bars WHERE {DRIFT_MONTH} = '04'
+UNION ALL SELECT DISTINCT dt, symbol, 'undeclared', 'meta.zone', 'UTC', 1 FROM raw_bars WHERE {DRIFT_MONTH} = '05'
+UNION ALL SELECT dt, symbol, 'undeclared', 'values[].trades', '7', count(*) FROM raw_bars WHERE {DRIFT_MONTH} = '06' GROUP BY 1, 2""",
+       "raw_bars")
 oracle("landing_summary", """
 SELECT c.source,
        CASE WHEN l.symbol IS NOT NULL THEN 'skipped' WHEN c.outcome <> 'ok' THEN 'failed' ELSE 'fetched' END
@@ -277,6 +290,8 @@ WHERE NOT EXISTS (SELECT 1 FROM chg_unsafe c WHERE c.symbol = o.symbol AND c.rep
 oracle("scd2_expired", f"SELECT {HIST} FROM merged WHERE NOT is_current", "merged")
 oracle("scd2_merge", f"SELECT {HIST} FROM merged", "merged")
 oracle("sink_self_overwrite", f"SELECT {HIST} FROM merged", "merged")
+oracle("history_parts", """
+SELECT is_current, CAST(year(report_date) AS BIGINT) AS period, CAST(count(*) AS BIGINT) AS n_rows FROM merged GROUP BY 1, 2""", "merged")
 oracle("scd2_merge_reference", f"SELECT {HIST} FROM merged_ref", "merged_ref")
 oracle("scd2_metrics", """
 SELECT count(*) AS total_rows, count(*) FILTER (WHERE is_current) AS current_rows,

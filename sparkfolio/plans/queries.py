@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfolio.functions.columns import ints_to_long, round_doubles
 from sparkfolio.operators import asof
@@ -23,8 +24,9 @@ from sparkfolio.operators import quality as qa
 from sparkfolio.operators import scd2
 from sparkfolio.operators import scoring as sc
 from sparkfolio.plans import fixtures as fx
-from sparkfolio.schemas import BACKTEST_COLUMNS, FEATURES, LABEL, RAW_PRICES
-from sparkfolio.session import scratch_path, unique_name
+from sparkfolio.schemas import BACKTEST_COLUMNS, FEATURES, LABEL, RAW_PRICES, RAW_RATIOS
+from sparkfolio.session import checkpoint, scratch_path, unique_name
+from sparkfolio.sources import history as hs
 from sparkfolio.sources import landing as ld
 from sparkfolio.sources import readers as rd
 from sparkfolio.sources import writers as wr
@@ -415,16 +417,26 @@ def q_sink_replace(spark, sf):
 
 @query("sink_self_overwrite")
 def q_sink_self_overwrite(spark, sf):
-    """Read a catalog table, merge into it, publish the result as a new
-    snapshot of the SAME table, read the table again."""
+    """Store a history, merge a batch into it (only the years that change are
+    rewritten), read the next version by its catalog name."""
     root = scratch_path(spark, "fundamentals")
     name = unique_name("silver_fundamentals")
-    wr.publish_snapshot(spark, fx.fund_old(spark, sf), name, root)
-    merged = scd2.scd2_merge(spark.table(name), fx.fund_incoming(spark, sf), fx.FUND_EFFECTIVE)
-    wr.publish_snapshot(spark, merged, name, root)
+    hs.start(spark, root, fx.fund_old(spark, sf))
+    hs.merge(spark, root, checkpoint(fx.fund_incoming(spark, sf)), fx.FUND_EFFECTIVE)
+    hs.publish_view(spark, root, name)
     return out(spark.table(name), *[c for c in scd2.HISTORY_COLUMNS if c != "ingestion_ts"])
 
 
+@query("history_parts")
+def q_history_parts(spark, sf):
+    """Rows of each part after a merge: current and closed rows by year of the report."""
+    root = scratch_path(spark, "fundamentals")
+    hs.start(spark, root, fx.fund_old(spark, sf))
+    hs.merge(spark, root, checkpoint(fx.fund_incoming(spark, sf)), fx.FUND_EFFECTIVE)
+    rows = spark.createDataFrame([(p.is_current, p.period, p.n_rows) for p in hs.parts(spark, root)], "is_current boolean, period long, n long")
+    return out(rows.groupBy("is_current", "period").agg(F.sum("n").alias("n_rows")))
+
+
 # ------------------------------------------------------------------ landing
 def _pre_landed(spark, sf) -> str:
     root = scratch_path(spark, "bronze")
@@ -440,10 +452,20 @@ def q_landing_error_split(spark, sf):
 
 @query("landing_new_only")
 def q_landing_new_only(spark, sf):
+    """Payloads landed in two runs, with what their bodies hold."""
     root = _pre_landed(spark, sf)
     ld.land_new(spark, fx.payloads(spark, sf), root)
     landed = ld.read_landed(spark, root)
-    return out(landed.groupBy("source", "dt", "symbol").agg(F.count(F.lit(1)).alias("n_payloads")))
+    prices = F.from_json("value", RAW_PRICES)["values"]
+    ratios = F.from_json("value", T.ArrayType(RAW_RATIOS))
+    is_price = F.col("source") == "prices"
+    total = lambda values, get: F.aggregate(values, F.lit(0.0), lambda a, v: a + F.coalesce(get(v), F.lit(0.0)))
+    return out(landed.groupBy("source", "dt", "symbol").agg(
+        F.count(F.lit(1)).alias("n_payloads"),
+        F.sum(F.when(is_price, F.size(prices)).otherwise(F.size(ratios))).alias("n_values"),
+        F.sum(F.when(is_price, total(prices, lambda v: v["close"].try_cast("double")))
+              .otherwise(total(ratios, lambda v: v["debtToEquityRatio"]))).alias("body_sum"),
+        F.sum(F.when(is_price, F.size(F.filter(prices, lambda v: v["volume"].isNull()))).otherwise(0)).alias("n_no_volume")))
 
 
 @query("landing_summary")
@@ -452,6 +474,36 @@ def q_landing_summary(spark, sf):
     return out(ld.landing_summary(fx.payloads(spark, sf), ld.landed_keys(spark, root)))
 
 
+def _drifted(spark, sf) -> DataFrame:
+    """Landed price documents of which some are cut off and some hold fields that no schema declares."""
+    root = scratch_path(spark, "bronze")
+    docs = fx.raw_docs(spark, sf).withColumn("m", F.substring("dt", 6, 2))
+    body = F.when(F.col("m") == "03", F.expr("substring(b, 1, length(b) - 2)")) \
+        .when(F.col("m") == "04", F.concat(F.lit('{"venue":{"mic":"X"},'), F.expr("substring(b, 2)"))) \
+        .when(F.col("m") == "05", F.expr("""replace(b, '"interval"', '"zone":"UTC","interval"')""")) \
+        .when(F.col("m") == "06", F.expr("""replace(b, '"datetime"', '"trades":7,"datetime"')""")).otherwise(F.col("b"))
+    docs.withColumn("b", F.to_json(F.struct("meta", "values"))).select("symbol", body.alias("value"), "dt") \
+        .write.partitionBy("dt").parquet(root)
+    return rd.parse_documents(rd.read_table(spark, root, "symbol string, value string, dt string"), RAW_PRICES, "value",
+                              {"dt": "dt", "key_symbol": "symbol"})
+
+
+@query("scan_json_drift")
+def q_scan_json_drift(spark, sf):
+    """The bars of drifted documents: undeclared fields change nothing, broken documents give no bars."""
+    whole = _drifted(spark, sf).filter(F.col(rd.CORRUPT).isNull())
+    return out(qa.flatten_prices(whole), *PRICE_COLS)
+
+
+@query("scan_json_quarantine")
+def q_scan_json_quarantine(spark, sf):
+    """What was set aside of each document, by reason and field."""
+    q = rd.quarantine(_drifted(spark, sf))
+    field = F.regexp_replace("path", r"\[\d+\]", "[]").alias("field")
+    value = F.when(F.col("reason") == "undeclared", F.col("value")).alias("value")
+    return out(q.groupBy("dt", F.col("key_symbol").alias("symbol"), "reason", field, value).agg(F.count(F.lit(1)).alias("n")))
+
+
 # ------------------------------------------------------------------ SCD2
 HIST_COLS = [c for c in scd2.HISTORY_COLUMNS if c != "ingestion_ts"]
 

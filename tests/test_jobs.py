@@ -26,7 +26,7 @@ def test_jobs_end_to_end(spark, sf_small):
     table, root = unique_name("fundamentals"), scratch_path(spark, "fund")
     r1 = jobs.silver_fundamentals_job(spark, bronze, table, root, "2002-02-01", dt="*")
     n_reports = fx.fund_incoming(spark, sf_small).count()
-    assert r1 == {"status": "ok", "total": n_reports, "current": n_reports, "expired": 0}
+    assert (r1["status"], r1["total"], r1["current"], r1["expired"], r1["new"]) == ("ok", n_reports, n_reports, 0, n_reports)
     r2 = jobs.silver_fundamentals_job(spark, bronze, table, root, "2002-03-01", dt="*")
     assert (r2["changed"], r2["new"]) == (0, 0)
     assert r2["total"] == n_reports and r2["expired"] == 0          # unchanged rerun appends nothing
@@ -52,3 +52,24 @@ def test_missing_input_is_skipped(spark):
     assert jobs.silver_fundamentals_job(spark, gone, unique_name("t"), gone, "2024-01-01")["status"] == "no input"
     assert jobs.gold_job(spark, gone, unique_name("t"), gone)["status"] == "no input"
     assert jobs.ml_job(spark, gone, gone, fx.SPLIT_DATE)["status"] == "no input"
+
+
+def test_silver_reads_its_input_once_and_sets_aside(spark, monkeypatch):
+    from sparkfolio.sources import landing as ld
+    bronze, prices, aside = (scratch_path(spark, n) for n in ("bronze", "prices", "aside"))
+    values = '"values": [{"datetime": "2024-01-02", "open": "1", "high": "2", "low": "1", "close": "2", "volume": "5"}'
+    bodies = {"0700": f'{{"meta": {{"symbol": "0700"}}, {values}]}}', "0005": f'{{"meta": {{"symbol": "0005", "tz": "x"}}, {values}, {{"datetime": "bad"}}]}}',
+              "W": '{"meta": {"symbol": "W"}, "values": "none"}', "N": '{"meta": {"symbol": "N"}, "values": [], "rate": NaN}'}
+    ld.land_new(spark, spark.createDataFrame([("prices", "2024-01-03", s, b) for s, b in bodies.items()],
+                                             "source string, dt string, symbol string, body string"), bronze)
+    reads = []
+    monkeypatch.setattr(ld, "read_documents", lambda *a, f=ld.read_documents: reads.append(a) or f(*a))
+    res = jobs.silver_prices_job(spark, bronze, prices, "2024-01-03")
+    assert len(reads) == 1 and (res["valid"], res["invalid"], res["broken"], res["undeclared"]) == (2, 1, 1, 2)
+    assert res["invalid_sample"] == [{"symbol": "0005", "trade_date": None, "open": None, "high": None, "low": None, "close": None, "volume": None}]
+    assert {r.symbol for r in rd.read_table(spark, prices).collect()} == {"0700", "0005"}
+    assert jobs.silver_prices_job(spark, bronze, prices, "2024-01-04")["status"] == "no input"
+    jobs.silver_prices_job(spark, bronze, prices, "2024-01-03", quarantine_path=aside)
+    found = sorted((r.key_symbol, r.reason, r.path) for r in spark.read.schema("key_symbol string, reason string, path string").parquet(aside).collect())
+    assert found == [("0005", "undeclared", "meta.tz"), ("N", "undeclared", "rate"), ("W", "broken", "")]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
