@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from sparkfolio.functions.columns import null_safe_join
 
-from sparkfolio.schemas import LABEL
+from sparkfolio.schemas import BACKTEST_COLUMNS, LABEL
+from sparkfolio.session import stored
 
 THRESHOLD = -0.005
 TOP_N = 6
@@ -44,6 +45,7 @@ def daily_rank(df: DataFrame, top_n: int = TOP_N, date: str = "trade_date",
     date into ``split_buckets`` value ranges; row counts per (date, range)
     give each range its rank offset; ranks are offset + row number inside the
     range. Equal predictions always fall in the same range, so ranks stay exact.
+    The input is written once to the scratch folder, since it is read three times.
     """
     order = [F.col("prediction").desc_nulls_last(), F.col("symbol").asc()]
     if not split_buckets or split_buckets < 2:
@@ -53,6 +55,7 @@ def daily_rank(df: DataFrame, top_n: int = TOP_N, date: str = "trade_date",
         # bounds/offsets have one row per date (per range): joined without a
         # hint, AQE broadcasts them when their measured size is small.
         probs = [i / split_buckets for i in range(1, split_buckets)]
+        df = stored(df, "rank-input")              # read for the bounds, the counts and the rows
         bounds = df.groupBy(date).agg(F.percentile_approx("prediction", probs, 10_000).alias("_bounds"))
         x = null_safe_join(df, bounds, [date])
         pred = F.col("prediction")
@@ -99,12 +102,8 @@ def cumulative(df: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     exp is monotone, so max(exp(c)) == exp(max(c)) exactly.
     """
     if chunk_rows:
-        from sparkfolio.operators.series import chunked_running, sequence_index
-        x = sequence_index(df, ["symbol"], "trade_date")
-        x = chunked_running(x, sums=_CUMS, keys=["symbol"], chunk_rows=chunk_rows)
-        x = chunked_running(
-            x, sums={}, maxes={"_cmax": "cum_strategy_return", "_cmax_rank": "cum_strategy_return_rank"},
-            keys=["symbol"], chunk_rows=chunk_rows).drop("_idx")
+        from sparkfolio.operators.series import prefix_scan
+        x = prefix_scan(df, _CUMS, {"_cmax": "cum_strategy_return", "_cmax_rank": "cum_strategy_return_rank"}, chunk_rows=chunk_rows)
     else:
         w = Window.partitionBy("symbol").orderBy("trade_date") \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -129,10 +128,11 @@ def backtest(predictions: DataFrame, threshold: float = THRESHOLD, top_n: int =
     """Backtest table: the 19 backtest columns (+ ``extra_columns``, e.g. the
     11 model features, when present). ``chunk_rows`` splits long series and
     ``rank_buckets`` splits large daily cross-sections (both exact)."""
-    from sparkfolio.schemas import BACKTEST_COLUMNS
-    x = signal_strategy(predictions, threshold)
+    extra = [c for c in (extra_columns or []) if c in predictions.columns and c not in BACKTEST_COLUMNS]
+    # only what is returned travels through the shuffles
+    x = predictions.select("symbol", "trade_date", "close", LABEL, "prediction", *extra)
+    x = signal_strategy(x, threshold)
     x = daily_rank(x, top_n, split_buckets=rank_buckets)
     x = strategy_returns(x)
     x = cumulative(x, chunk_rows)
-    extra = [c for c in (extra_columns or []) if c in x.columns and c not in BACKTEST_COLUMNS]
     return x.select(*BACKTEST_COLUMNS, *extra)

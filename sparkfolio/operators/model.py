@@ -96,17 +96,16 @@ def score(model: PipelineModel | CrossValidatorModel, df: DataFrame) -> DataFram
 def standardize(df: DataFrame, features: Sequence[str] = FEATURES, suffix: str = "_z") -> DataFrame:
     """Each feature as (x - mean) / sample sd, as MLlib's scaler computes it (0 where the sd is 0).
 
-    All means and deviations are one aggregate in a scalar subquery, so the
-    input is neither written nor gathered. A null stays null.
+    All means and deviations are one aggregate in a scalar subquery, which is a column of its own first, so that the
+    plan holds it once. The input is neither written nor gathered. A null stays null.
     """
-    stats = df.select(F.struct(*[F.avg(f).alias(f"{f}_mean") for f in features],
-                               *[F.stddev_samp(f).alias(f"{f}_sd") for f in features])).scalar()
+    stats = df.select(F.struct(*[F.struct(F.avg(f).alias("mean"), F.stddev_samp(f).alias("sd")).alias(f) for f in features])).scalar()
 
     def z(f: str) -> Column:
-        mean, sd = stats[f"{f}_mean"], stats[f"{f}_sd"]
-        return F.when(sd == 0, F.col(f) * 0.0).otherwise((F.col(f) - mean) / sd)
+        s = F.col("_stats")[f]
+        return F.when(s["sd"] == 0, F.col(f) * 0.0).otherwise((F.col(f) - s["mean"]) / s["sd"])
 
-    return df.withColumns({f"{f}{suffix}": z(f) for f in features})
+    return df.withColumn("_stats", stats).withColumns({f"{f}{suffix}": z(f) for f in features}).drop("_stats")
 
 
 def rmse_expr(label: str = LABEL, prediction: str = "prediction") -> Column:

@@ -20,8 +20,10 @@ join into a broadcast only when they are small.
    ``(key, chunk)`` ordered by ``_idx`` and keeps each chunk's own rows.
    Exact as long as ``fn`` looks at most ``back`` rows behind and ``fwd``
    rows ahead (25 and 1 for the indicator/feature set).
-3. :func:`chunked_running` computes running sums / maxima (unbounded frames)
-   the same way: per-chunk partials + prefix over chunk totals.
+3. :func:`prefix_scan` computes running sums and running maxima of these
+   sums (unbounded frames): each chunk is scanned on its own and summed up as
+   a pair (sum, maximum of its running sums); the pairs of earlier chunks are
+   composed by a window over the small chunk table and joined back once.
 """
 
 from __future__ import annotations
@@ -84,33 +86,41 @@ def chunked_apply(df: DataFrame, fn: Callable[..., DataFrame], keys: Sequence[st
     return out.filter(F.col("_chunk") == F.floor(F.col("_idx") / chunk_rows)).drop("_chunk", "_idx")
 
 
-def chunked_running(df: DataFrame, sums: dict[str, str], maxes: dict[str, str] | None = None,
-                    keys: Sequence[str] = ("symbol",), chunk_rows: int = 100_000) -> DataFrame:
-    """Running sums ``{out: col}`` and running maxima ``{out: col}`` over an
-    indexed series (``_idx`` present) using per-chunk partials + a prefix
-    over chunk totals (the chunk table is small: rows / chunk_rows)."""
-    keys = list(keys)
-    maxes = maxes or {}
-    x = df.withColumn("_chunk", F.floor(F.col("_idx") / chunk_rows))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
-    local = {f"_ls_{o}": F.sum(c).over(w) for o, c in sums.items()}
-    local |= {f"_lm_{o}": F.max(c).over(w) for o, c in maxes.items()}
-    x = x.withColumns(local)
+def _chunk(df: DataFrame, keys: Sequence[str], order: str, chunk_rows: int) -> tuple[DataFrame, str]:
+    """``df`` with ``_chunk`` (at most ``chunk_rows`` rows of a series) and the column that orders a chunk. A series
+    has at most one row a day, so with dates a chunk is that many days; other orders are numbered first."""
+    if isinstance(df.schema[order].dataType, T.DateType):
+        return df.withColumn("_chunk", F.floor(F.unix_date(order) / chunk_rows)), order
+    x = sequence_index(df, keys, order)
+    return x.withColumn("_chunk", F.floor(F.col("_idx") / chunk_rows)), "_idx"
+
+
+def prefix_scan(df: DataFrame, sums: dict[str, str], maxes: dict[str, str] | None = None,
+                keys: Sequence[str] = ("symbol",), order: str = "trade_date", chunk_rows: int = 100_000) -> DataFrame:
+    """Running sums ``{out: column}`` and running maxima of running sums ``{out: out of sums}`` of each series.
+
+    The rows shuffle once, by (series, chunk). The chunk table reads every column, so that it is computed from that same
+    shuffle: Spark reuses an exchange only where both sides ask it for the same columns. Like a plain running sum,
+    a sum is null until the first value; later nulls add nothing.
+    """
+    keys, maxes = list(keys), maxes or {}
+    x, at = _chunk(df, keys, order, chunk_rows)
+    everything = [F.col(f"`{c}`") for c in x.columns]
+    w = Window.partitionBy(*keys, "_chunk").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"_ls_{o}": F.sum(c).over(w) for o, c in sums.items()})
     totals = x.groupBy(*keys, "_chunk").agg(
         *[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()],
-        *[F.max(c).alias(f"_m_{o}") for o, c in maxes.items()],
-    )
+        *[F.max(f"_ls_{s}").alias(f"_m_{o}") for o, s in maxes.items()],
+        F.bit_xor(F.xxhash64(*everything)).alias("_same"))
     prev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    pref = totals.select(
-        *keys, "_chunk",
-        *[F.sum(f"_t_{o}").over(prev).alias(f"_p_{o}") for o in sums],
-        *[F.max(f"_m_{o}").over(prev).alias(f"_q_{o}") for o in maxes],
-    )
-    x = null_safe_join(x, pref, [*keys, "_chunk"])       # one row per chunk; AQE broadcasts it when small
+    prefix = totals.withColumns({f"_p_{o}": F.sum(f"_t_{o}").over(prev) for o in sums})
+    # the highest running sum within a chunk, from the start of the series
+    prefix = prefix.withColumns({f"_q_{o}": F.max(F.coalesce(F.col(f"_p_{s}") + F.col(f"_m_{o}"), F.col(f"_m_{o}"))).over(prev) for o, s in maxes.items()})
+    # kept so that the optimiser does not drop it; the value is never looked at
+    prefix = prefix.filter(F.col("_same").isNotNull()).select(*keys, "_chunk", *[f"_p_{o}" for o in sums], *[f"_q_{o}" for o in maxes])
+    x = x.withColumns({f"_lm_{o}": F.max(f"_ls_{s}").over(w) for o, s in maxes.items()})
+    x = null_safe_join(x, prefix, [*keys, "_chunk"])       # one row per chunk; AQE broadcasts it when small
     out = x.withColumns(
-        # like a plain running sum: null until the first value, later nulls add nothing
         {o: F.coalesce(F.col(f"_p_{o}") + F.col(f"_ls_{o}"), f"_p_{o}", f"_ls_{o}") for o in sums}
-        | {o: F.greatest(F.col(f"_q_{o}"), F.col(f"_lm_{o}")) for o in maxes}
-    )
-    drop = [c for c in out.columns if c.startswith(("_ls_", "_lm_", "_p_", "_q_"))] + ["_chunk"]
-    return out.drop(*drop)
+        | {o: F.greatest(F.col(f"_q_{o}"), F.coalesce(F.col(f"_p_{s}") + F.col(f"_lm_{o}"), F.col(f"_lm_{o}"))) for o, s in maxes.items()})
+    return out.select(*df.columns, *sums, *maxes)

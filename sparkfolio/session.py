@@ -60,6 +60,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """``df`` written to a scratch folder and read back: what reads it next reads only its own columns, and a lost
+    executor does not run its lineage again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -63,5 +63,19 @@ def test_split_paths_keep_rows_with_nulls(spark):
     assert sorted(map(str, plain.select(key).collect())) == sorted(map(str, split.select(key).collect()))
     w = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("run", F.round(F.sum("x").over(w), 9)).select("symbol", "trade_date", "run")
-    got = series.chunked_running(series.sequence_index(df), {"run": "x"}, chunk_rows=3).withColumn("run", F.round("run", 9))
+    got = series.prefix_scan(df, {"run": "x"}, chunk_rows=3).withColumn("run", F.round("run", 9))
     assert sorted(map(str, want.collect())) == sorted(map(str, got.select(want.columns).collect()))
+
+
+@pytest.mark.parametrize("order", ["trade_date", "at"])
+def test_prefix_scan_composes_sums_and_maxima(spark, order):
+    """Against plain windows: gaps, chunks without values, negative stretches, a series shorter than a chunk."""
+    from sparkfolio.operators import series
+    rows = [(s, i, None if i % 4 == 0 or 30 <= i < 45 else ((i * 37) % 19 - 11) / 8) for s, n in (("A", 60), ("B", 2), (None, 25)) for i in range(n) if i % 7]
+    df = spark.createDataFrame(rows, "symbol string, i int, x double").withColumn("trade_date", F.date_add(F.lit("2024-01-01"), F.col("i"))) \
+        .withColumn("at", F.col("trade_date").cast("timestamp")).withColumn("y", -F.col("x"))
+    w = Window.partitionBy("symbol").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumns({"sx": F.sum("x").over(w), "sy": F.sum("y").over(w)}).withColumn("m", F.max("sx").over(w))
+    got = series.prefix_scan(df, {"sx": "x", "sy": "y"}, {"m": "sx"}, order=order, chunk_rows=5)
+    assert got.columns == [*df.columns, "sx", "sy", "m"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))

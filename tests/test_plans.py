@@ -11,8 +11,11 @@ from sparkfolio.plans import fixtures as fx
 
 
 def _plan(df):
-    df.write.format("noop").mode("overwrite").save()           # final adaptive plan
-    return re.sub(r"#\d+", "", df._jdf.queryExecution().executedPlan().toString())
+    """The plan that ran: adaptive execution ends with the frame's own collect."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=false" not in plan
+    return re.sub(r"#\d+", "", plan)
 
 
 def test_gold_features_broadcast_asof_and_one_window_exchange(spark, sf_small):
@@ -39,3 +42,16 @@ def test_scd2_merge_single_join_no_extra_exchange(spark, sf_small):
     assert plan.count("FullOuter") == 1
     # only the two fixture aggregates shuffle; the merge join reuses their partitioning
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 3
+
+
+def test_chunked_backtest_shuffles_its_rows_once_for_the_series(spark, sf_small):
+    plan = _plan(bt.backtest(fx.pred(spark, sf_small), chunk_rows=64, rank_buckets=4))
+    assert len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange (?:hash|range|round|single)", plan)) < 10
+    assert len(re.findall(r"\+- Exchange hashpartitioning\(symbol, _chunk", plan)) == 1 and "ReusedExchange" in plan
+
+
+def test_standardize_names_its_statistics_once(spark, sf_small):
+    from sparkfolio.operators import model as md
+    df = md.standardize(md.train_ready(ft.gold_features(fx.bars(spark, sf_small), fx.fund(spark, sf_small))))
+    optimised = df._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("scalar-subquery") == 1
