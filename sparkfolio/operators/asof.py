@@ -16,9 +16,11 @@ Spark-first design (no collect, no per-row Python):
    and each price row compares against the few intervals of its year only
    (range residual), and matches at most one. The interval table is bounded
    by reports x years, independent of the number of price rows.
-3. The interval table is broadcast only after a bounded size check
-   (:func:`maybe_broadcast`); beyond the bound it is a shuffle join on
-   ``(symbol, year)``, which AQE can still convert or split when skewed.
+3. The last interval of a symbol is open. It is exploded up to the newest
+   report's year, which is a scalar subquery: the join runs no job of its own
+   and stays a plan. The interval table carries no hint; adaptive execution
+   measures it and broadcasts it when it is small, else it is a shuffle join on
+   ``(symbol, year)``, which AQE splits when skewed.
 
 :func:`asof_join_union` is the alternative form (one stream of reports and
 prices, running maximum of the latest report, evaluated per time bucket);
@@ -32,30 +34,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfolio.session import checkpoint as reliable_checkpoint
-
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    materialize: bool = False) -> DataFrame:
-    """Hint a broadcast only when the side is proven to hold <= max_rows rows.
-
-    The check reads at most ``max_rows + 1`` rows of the (already reduced)
-    side; above the bound the plain DataFrame is returned and Spark plans a
-    shuffle join (AQE may still demote it at runtime with real sizes).
-    ``materialize`` first writes the side to the checkpoint folder (reliable
-    checkpoint), so the check and the join read it once instead of running
-    its lineage twice.
-    """
-    if max_rows <= 0:
-        return df
-    if materialize:
-        df = reliable_checkpoint(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the first row of each group by ``order``.
 
@@ -88,7 +66,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: str = "symbol",
               left_ts: str = "trade_date", right_ts: str = "report_date",
               values: Sequence[str] = ("pe_ratio", "debt_to_equity"),
               tie: Sequence[str] = ("effective_date", "ingestion_ts"),
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              shuffle: bool = False) -> DataFrame:
     """Left rows + ``values`` of the latest right row with right_ts <= left_ts.
 
     Left rows are kept as they are (one output row per input row).
@@ -97,26 +75,22 @@ def asof_join(left: DataFrame, right: DataFrame, by: str = "symbol",
     open interval of a symbol up to the latest report year G. On the left
     side the join year is min(year(left_ts), G): rows after G look up the
     year-G intervals, where only the open ones (or ones ending later) pass the
-    range residual. G is one scalar read from the report table, so the left
-    side is never scanned twice.
+    range residual. G is read from the reports inside the query.
+    ``shuffle`` asks for the join on (by, year) whatever the sizes.
     """
-    iv = report_intervals(right, by, right_ts, values, tie)
-    if broadcast_rows > 0:
-        iv = reliable_checkpoint(iv)          # small; read by the bound below and the join
-    # G: one scalar from the (small) report table
-    top = iv.agg(F.max(F.year(right_ts))).first()[0]
-    top = F.lit(top).cast("int")
-    keyed = iv.select(
+    top = right.select(F.max(F.year(right_ts)).cast("int")).scalar()
+    keyed = report_intervals(right, by, right_ts, values, tie).withColumn("_top", top).select(
         F.col(by).alias("_r_by"),
         F.col(right_ts).alias("_r_from"),
         F.col("_valid_to").alias("_r_to"),
         *[F.col(v).alias(f"_r_{v}") for v in values],
         F.explode(F.sequence(
             F.year(right_ts),
-            F.coalesce(F.year(F.date_sub("_valid_to", 1)), top),
+            F.coalesce(F.year(F.date_sub("_valid_to", 1)), F.col("_top")),
         )).alias("_r_year"),
     )
-    keyed = maybe_broadcast(keyed, broadcast_rows)
+    if shuffle:
+        keyed = keyed.hint("merge")
     lft = left.withColumn("_l_year", F.least(F.year(F.col(left_ts)), top))
     cond = (
         (F.col(by) == F.col("_r_by"))
@@ -173,8 +147,7 @@ def asof_join_union(left: DataFrame, right: DataFrame, by: str = "symbol",
 
 
 def asof_join_fundamentals(prices: DataFrame, fundamentals: DataFrame,
-                           current_only: bool = True, dedupe: bool = True,
-                           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           current_only: bool = True, dedupe: bool = True, shuffle: bool = False) -> DataFrame:
     """Prices + current fundamentals as of each trade date, one row per
     (symbol, trade_date) (duplicate price rows are reduced first)."""
     fund = fundamentals.filter(F.col("is_current")) if current_only else fundamentals
@@ -182,4 +155,4 @@ def asof_join_fundamentals(prices: DataFrame, fundamentals: DataFrame,
     if dedupe:
         newest = [F.col("ingestion_ts").desc_nulls_last()] if "ingestion_ts" in px.columns else []
         px = first_per_group(px, ["symbol", "trade_date"], newest)
-    return asof_join(px, fund, broadcast_rows=broadcast_rows)
+    return asof_join(px, fund, shuffle=shuffle)

@@ -4,12 +4,16 @@ assemble 11 features -> standardise (mean 0, sample sd 1) -> gradient-boosted
 trees (seed 42), tuned by k-fold cross-validation on RMSE. MLlib trains
 distributed (tree statistics are aggregated across partitions); nothing is
 collected except the fitted model. Folds are random rows by default (as in
-the reference, now seeded); ``fold_col`` gives time-block folds instead.
+the reference, now seeded); ``fold_col`` gives folds of one's own, and
+:func:`tune_walk_forward` validates in time order: each fold is a block of
+dates, trained on all dates before it but for a gap as long as the label looks ahead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -27,6 +31,8 @@ from sparkfolio.schemas import FEATURES, LABEL
 # The reference's search space: maxDepth {5, 8} x maxIter {20, 40}, 3 folds.
 DEFAULT_GRID: Mapping[str, Sequence[int]] = {"maxDepth": (5, 8), "maxIter": (20, 40)}
 DEFAULT_FOLDS = 3
+#: Dates that the label looks ahead.
+LABEL_GAP = 1
 SEED = 42
 
 
@@ -78,7 +84,81 @@ def tune(train: DataFrame, grid: Mapping[str, Sequence[int]] = DEFAULT_GRID, fol
     return cv.fit(train)
 
 
-def cv_report(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
+def _walk_forward(df: DataFrame, folds: int, gap: int, date_col: str) -> Column:
+    """The folds as one array, from one aggregate: the distinct dates (as many as the calendar has) in
+    ``folds`` + 1 blocks of equal size, of which the first is only trained on."""
+    dates = df.select(F.array_sort(F.collect_set(date_col)).alias("d"))
+    n = F.size("d")
+
+    def start(k: int) -> Column:
+        return F.floor(n * k / (folds + 1)).cast("int")
+
+    def fold(k: int) -> Column:
+        at = lambda i: F.get("d", i)
+        return F.struct(F.lit(k).alias("fold"), F.when(start(k) - gap >= 0, at(start(k) - gap)).alias("train_before"),
+                        at(start(k)).alias("test_from"), at(start(k + 1) - 1).alias("test_until"))
+    return dates.select(F.array(*[fold(k) for k in range(1, folds + 1)])).scalar()
+
+
+def walk_forward_folds(df: DataFrame, folds: int = DEFAULT_FOLDS, gap: int = LABEL_GAP, date_col: str = "trade_date") -> DataFrame:
+    """``df`` with ``fold`` and ``role`` ("train" or "test"): a row comes once for each fold it takes part in.
+
+    Fold k is tested on dates test_from..test_until and trained on dates before train_before, which is ``gap`` dates before
+    test_from: the labels of those last dates are made of prices of the test block. Rows without a date take no part. With
+    fewer dates than folds some folds are empty.
+    """
+    f, d = F.col("_f"), F.col(date_col)
+    x = df.filter(d.isNotNull()).withColumn("_folds", _walk_forward(df, folds, gap, date_col)) \
+        .withColumn("_f", F.explode("_folds"))
+    role = F.when(d < f["train_before"], "train").when((d >= f["test_from"]) & (d <= f["test_until"]), "test")
+    return x.withColumns({"fold": f["fold"], "role": role}).filter(F.col("role").isNotNull()).drop("_folds", "_f")
+
+
+@dataclass
+class WalkForwardModel:
+    """What :func:`tune_walk_forward` found, read like a cross-validation model."""
+
+    bestModel: PipelineModel
+    avgMetrics: list[float]
+    foldMetrics: list[list[float]]
+    paramMaps: list
+
+    def getEstimatorParamMaps(self) -> list:
+        return self.paramMaps
+
+
+def tune_walk_forward(train: DataFrame, grid: Mapping[str, Sequence[int]] = DEFAULT_GRID, folds: int = DEFAULT_FOLDS,
+                      gap: int = LABEL_GAP, features: Sequence[str] = FEATURES, label: str = LABEL, seed: int = SEED,
+                      parallelism: int = 1, date_col: str = "trade_date") -> WalkForwardModel:
+    """Grid search validated in time order; the best setting (least mean RMSE over the folds) is refit on all of ``train``.
+
+    The training set is written once and read from there; the folds' dates (one row a fold) are read to the driver.
+    Folds without training or test rows are left out; there must be one with both.
+    """
+    train = reliable_checkpoint(train)
+    plan = train.limit(1).select(F.explode(_walk_forward(train, folds, gap, date_col)).alias("f")).select("f.*").collect()
+    plan = [f for f in plan if f.train_before is not None and f.test_from is not None]
+    if not plan:
+        raise ValueError("too few dates for the folds")
+    pipeline, gbt = build_estimator(features, label, seed)
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(gbt.getParam(name), list(values))
+    maps, evaluator, d = builder.build(), rmse_evaluator(label), F.col(date_col)
+
+    def one(job: tuple) -> float:
+        fold, params = job
+        model = pipeline.fit(train.filter(d < F.lit(fold.train_before)), params)
+        return evaluator.evaluate(model.transform(train.filter(d.between(fold.test_from, fold.test_until))))
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        found = pool.map(one, [(f, p) for p in maps for f in plan])
+    per_map = [found[i * len(plan):(i + 1) * len(plan)] for i in range(len(maps))]
+    means = [sum(m) / len(m) for m in per_map]
+    return WalkForwardModel(pipeline.fit(train, maps[means.index(min(means))]), means, per_map, maps)
+
+
+def cv_report(spark: SparkSession, model: CrossValidatorModel | WalkForwardModel) -> DataFrame:
     """One row per grid point: its parameters and mean CV RMSE, best flagged."""
     best = float(min(model.avgMetrics))
     rows = []
@@ -88,8 +168,8 @@ def cv_report(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
     return spark.createDataFrame(rows, "max_depth int, max_iter int, avg_rmse double, is_best boolean")
 
 
-def score(model: PipelineModel | CrossValidatorModel, df: DataFrame) -> DataFrame:
-    m = model.bestModel if isinstance(model, CrossValidatorModel) else model
+def score(model: PipelineModel | CrossValidatorModel | WalkForwardModel, df: DataFrame) -> DataFrame:
+    m = model if isinstance(model, PipelineModel) else model.bestModel
     return m.transform(df)
 
 

@@ -6,6 +6,7 @@ table its value reaches the scan as a pushed filter.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -16,9 +17,11 @@ from sparkfolio.schemas import FEATURES, FUTURE_COLUMNS
 
 
 def latest_rows(df: DataFrame, date_col: str = "trade_date",
-                require: Sequence[str] = FEATURES) -> DataFrame:
-    """Rows on the latest date of ``df`` with all ``require`` columns present."""
-    latest = df.filter(F.col(date_col) == df.select(F.max(date_col)).scalar())
+                require: Sequence[str] = FEATURES, date: dt.date | None = None) -> DataFrame:
+    """Rows on the latest date of ``df`` with all ``require`` columns present. ``date``: the latest date where it is
+    known (:func:`~sparkfolio.sources.readers.stored_max` of a stored table), so that ``df`` is read once."""
+    newest = df.select(F.max(date_col)).scalar() if date is None else F.lit(date)
+    latest = df.filter(F.col(date_col) == newest)
     return drop_missing(latest, list(require)) if require else latest
 
 

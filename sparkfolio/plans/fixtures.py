@@ -13,8 +13,9 @@ Fixed definitions (the same rules are written as SQL in ``plans/oracle.py``):
 ``fund_old``  fund with report_date < 2000-01-01; pe_ratio + 1 when the
               report month is 4; debt_to_equity null when it is 7;
               effective 2000-01-01, all current
-``pred``      bars with the next-day label, rows without label dropped,
-              trade_date >= 2000-01-01; prediction = (close - open) / close
+``pred_all``  bars with the next-day label, rows without label dropped;
+              prediction = (close - open) / close
+``pred``      pred_all with trade_date >= 2000-01-01 (the backtest's period)
 ``raw_bars``  bars as text, broken by day of month: 5 close 'n/a'; 9 close
               '-1'; 11 volume null; 17 date 'bad'; 19 open = high + 1;
               23 low = close + 1
@@ -114,14 +115,18 @@ def labelled_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars(spark, sf_dir).withColumn(LABEL, next_day_return_expr())
 
 
-def pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored rows with a fixed prediction: (close - open) / close."""
+def pred_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled rows with a fixed prediction: (close - open) / close."""
     from sparkfolio.schemas import LABEL
-    return labelled_bars(spark, sf_dir) \
-        .filter(F.col(LABEL).isNotNull() & (F.col("trade_date") >= F.lit(SPLIT_DATE).cast("date"))) \
+    return labelled_bars(spark, sf_dir).filter(F.col(LABEL).isNotNull()) \
         .withColumn("prediction", F.try_divide(F.col("close") - F.col("open"), F.col("close")))
 
 
+def pred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test period of :func:`pred_all`, which a backtest runs over."""
+    return pred_all(spark, sf_dir).filter(F.col("trade_date") >= F.lit(SPLIT_DATE).cast("date"))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bars with the fixed prediction; the latest date of a symbol has no label."""
     return labelled_bars(spark, sf_dir).withColumn(

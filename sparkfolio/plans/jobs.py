@@ -31,7 +31,7 @@ from sparkfolio.operators import scd2
 from sparkfolio.operators import scoring as sc
 from sparkfolio.schemas import (
     FEATURES, RAW_PRICES, RAW_RATIOS, SERVING_BACKTEST, SERVING_FUTURE, SERVING_METRICS, SILVER_PRICES)
-from sparkfolio.session import checkpoint
+from sparkfolio.session import checkpoint, scratch_scope
 from sparkfolio.sources import history as hs
 from sparkfolio.sources import landing as ld
 from sparkfolio.sources import readers as rd
@@ -106,12 +106,13 @@ def silver_fundamentals_job(spark: SparkSession, bronze_root: str, table: str, t
     raw, documents = _documents(spark, bronze_root, "ratios", RAW_RATIOS, one)
     if raw is None:
         return {"status": "no input"}
-    new = checkpoint(scd2.standardize_fundamentals(raw, run_date))       # read for the years, the changes and the merge
-    if rd.is_empty(new):
-        return {"status": "no input"}
-    if not hs.versions(spark, table_root) and spark.catalog.tableExists(table):
-        hs.start(spark, table_root, spark.table(table))
-    done = hs.merge(spark, table_root, new, run_date, null_safe, reappend_unchanged)
+    with scratch_scope(spark):
+        new = checkpoint(scd2.standardize_fundamentals(raw, run_date))   # read for the years, the changes and the merge
+        if rd.is_empty(new):
+            return {"status": "no input"}
+        if not hs.versions(spark, table_root) and spark.catalog.tableExists(table):
+            hs.start(spark, table_root, spark.table(table))
+        done = hs.merge(spark, table_root, new, run_date, null_safe, reappend_unchanged)
     hs.publish_view(spark, table_root, table)
     if keep_versions:
         hs.vacuum(spark, table_root, keep_versions)
@@ -144,31 +145,45 @@ def gold_job(spark: SparkSession, prices_path: str, fundamentals: DataFrame | st
 def ml_job(spark: SparkSession, gold_path: str, out_root: str, split_date: str,
            grid: Mapping[str, Sequence[int]] = md.DEFAULT_GRID, folds: int = md.DEFAULT_FOLDS,
            parallelism: int = 1, top_n: int = bt.TOP_N, chunk_rows: int | None = None,
-           rank_buckets: int | None = None) -> dict:
+           rank_buckets: int | None = None, validation: str = "random", gap: int = md.LABEL_GAP,
+           fold_col: str | None = None) -> dict:
     """Train + cross-validate, backtest the test period, score the latest day.
 
-    Writes ``backtest_results`` (by symbol), ``backtest_metrics`` and
-    ``future_predictions`` under ``out_root``.
+    Writes ``backtest_results`` (by symbol), ``backtest_metrics``, its two views ``summary_signal`` and
+    ``summary_ranking``, ``cv_report`` and ``future_predictions`` under ``out_root``. ``validation``: "random" folds of
+    rows (or those in ``fold_col``), or "walk_forward" blocks of dates with a ``gap``.
     """
+    if validation not in ("random", "walk_forward"):
+        raise ValueError("validation: random or walk_forward")
     out = out_root.rstrip("/")
     if not rd.table_exists(spark, gold_path):
         return {"status": "no input"}
     gold = rd.read_table(spark, gold_path, text=("symbol",))
-    ready = md.train_ready(gold)
-    train, test = md.time_split(ready, split_date)
-    if rd.is_empty(train) or rd.is_empty(test):
-        return {"status": "empty train or test set"}
-    model = md.tune(train, grid, folds, parallelism=parallelism)
-    backtest = bt.backtest(md.score(model, test), top_n=top_n, extra_columns=FEATURES,
-                           chunk_rows=chunk_rows, rank_buckets=rank_buckets)
-    wr.write_partitions(backtest, f"{out}/backtest_results", ["symbol"])
+    train, test = md.time_split(md.train_ready(gold), split_date)
+    before = F.col("trade_date") < F.lit(split_date).cast("date")
+    n = md.train_ready(gold).agg(F.count_if(before).alias("train"), F.count_if(~before).alias("test")).first()
+    counts = {"train_rows": n.train, "test_rows": n.test}
+    if not n.train or not n.test:
+        return {"status": "empty train or test set", **counts}
+    with scratch_scope(spark):
+        if validation == "random":
+            model = md.tune(train, grid, folds, parallelism=parallelism, fold_col=fold_col)
+        else:
+            model = md.tune_walk_forward(train, grid, folds, gap, parallelism=parallelism)
+        backtest = bt.backtest(md.score(model, test), top_n=top_n, extra_columns=FEATURES,
+                               chunk_rows=chunk_rows, rank_buckets=rank_buckets)
+        wr.write_partitions(backtest, f"{out}/backtest_results", ["symbol"])
+    wr.replace_table(md.cv_report(spark, model).coalesce(1), f"{out}/cv_report")
     # metrics read the written table instead of re-running scoring + windows; the
     # symbols of this run were overwritten, others keep rows of earlier runs
     written = rd.read_table(spark, f"{out}/backtest_results", text=("symbol",))
     metrics = mt.backtest_metrics(written.join(test.select("symbol").distinct(), "symbol", "left_semi"))
     wr.replace_table(metrics, f"{out}/backtest_metrics")
-    latest = sc.latest_rows(gold)
-    result = {"status": "ok", "best_cv_rmse": float(min(model.avgMetrics))}
+    metrics = rd.read_table(spark, f"{out}/backtest_metrics")
+    wr.replace_table(mt.summary_signal(metrics), f"{out}/summary_signal")
+    wr.replace_table(mt.summary_ranking(metrics), f"{out}/summary_ranking")
+    latest = sc.latest_rows(gold, date=rd.stored_max(spark, gold_path, "trade_date"))
+    result = {"status": "ok", "best_cv_rmse": float(min(model.avgMetrics)), **counts}
     if rd.is_empty(latest):
         return {**result, "top_buys": []}                 # yesterday's predictions stay
     future = sc.recommendation(md.score(model, latest))
@@ -214,6 +229,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--out", required=True)
     m.add_argument("--split-date", required=True)
     m.add_argument("--parallelism", type=int, default=1)
+    m.add_argument("--max-depth", type=int, nargs="+", default=list(md.DEFAULT_GRID["maxDepth"]))
+    m.add_argument("--max-iter", type=int, nargs="+", default=list(md.DEFAULT_GRID["maxIter"]))
+    m.add_argument("--folds", type=int, default=md.DEFAULT_FOLDS)
+    m.add_argument("--fold-col")
+    m.add_argument("--validation", choices=("random", "walk_forward"), default="random")
+    m.add_argument("--gap", type=int, default=md.LABEL_GAP)
+    m.add_argument("--top-n", type=int, default=bt.TOP_N)
+    m.add_argument("--chunk-rows", type=int)
+    m.add_argument("--rank-buckets", type=int)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"sparkfolio-{a.job}").getOrCreate()
     if a.job == "landing":
@@ -226,7 +250,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "gold":
         print(gold_job(spark, a.prices, a.fundamentals_table, a.gold, a.chunk_rows))
     else:
-        print(ml_job(spark, a.gold, a.out, a.split_date, parallelism=a.parallelism))
+        print(ml_job(spark, a.gold, a.out, a.split_date, {"maxDepth": a.max_depth, "maxIter": a.max_iter}, a.folds, a.parallelism, a.top_n,
+                     a.chunk_rows, a.rank_buckets, a.validation, a.gap, a.fold_col))
 
 
 if __name__ == "__main__":

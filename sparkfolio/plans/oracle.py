@@ -64,9 +64,10 @@ SELECT *, CASE WHEN "close" = 0 THEN 0.0
                ELSE (lead("close") OVER w - "close") / "close" END AS target_return_next_day
 FROM bars {W}""", ["bars"])
 
-cte("pred", """
+cte("pred_all", """
 SELECT *, ("close" - "open") / "close" AS prediction FROM lbars
-WHERE target_return_next_day IS NOT NULL AND trade_date >= DATE '2000-01-01'""", ["lbars"])
+WHERE target_return_next_day IS NOT NULL""", ["lbars"])
+cte("pred", "SELECT * FROM pred_all WHERE trade_date >= DATE '2000-01-01'", ["pred_all"])
 
 cte("raw_bars", """
 SELECT strftime(trade_date, '%Y-%m') AS dt, symbol,

@@ -76,13 +76,14 @@ oracle("gold_features_chunked", GOLD, "gold")
 
 # ------------------------------------------------------------------ backtest / metrics
 oracle("signal_strategy", f"""
-SELECT symbol, trade_date, {R('prediction', 'prediction')}, CAST(strategy_signal AS BIGINT) AS strategy_signal
-FROM bt""", "bt")
+SELECT symbol, trade_date, {R('prediction', 'prediction')},
+       CAST(CASE WHEN prediction > -0.005 THEN 1 ELSE 0 END AS BIGINT) AS strategy_signal
+FROM pred_all""", "pred_all")
 
 oracle("daily_rank", f"""
-SELECT symbol, trade_date, {R('prediction', 'prediction')}, CAST(prediction_rank AS BIGINT) AS prediction_rank,
-       CAST(strategy_signal_rank AS BIGINT) AS strategy_signal_rank
-FROM bt""", "bt")
+SELECT symbol, trade_date, {R('prediction', 'prediction')}, CAST(n AS BIGINT) AS prediction_rank,
+       CAST(CASE WHEN n <= 6 THEN 1 ELSE 0 END AS BIGINT) AS strategy_signal_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY prediction DESC NULLS LAST, symbol) AS n FROM pred_all)""", "pred_all")
 
 ORACLE["daily_rank_split"] = ORACLE["daily_rank"]
 
@@ -314,8 +315,9 @@ REC = f"""symbol, trade_date, {rcols(['close', 'prediction'])},
 cte("latest", """
 SELECT * FROM (SELECT *, ("close" - "open") / "close" AS prediction FROM lbars)
 WHERE trade_date = (SELECT max(trade_date) FROM lbars) AND prediction IS NOT NULL""", ["lbars"])
-oracle("recommendation", f"SELECT {REC} FROM pred", "pred")
+oracle("recommendation", f"SELECT {REC} FROM pred_all", "pred_all")
 oracle("latest_rows", f"SELECT symbol, trade_date, {rcols(['close', 'prediction'])} FROM latest", "latest")
+ORACLE["latest_rows_stored"] = ORACLE["latest_rows"]
 oracle("serving_future", f"SELECT {REC} FROM latest", "latest")
 oracle("top_buys", f"""
 SELECT symbol, {R('"close"', '"close"')}, {R('prediction * 100', 'prediction_pct')}, 'BUY' AS recommendation
@@ -338,7 +340,18 @@ oracle("train_ready", f"SELECT symbol, trade_date, {_cols([LABEL, *FEATURES], {'
 oracle("time_split_counts", """
 SELECT count(*) FILTER (WHERE trade_date < DATE '2000-01-01') AS train_rows,
        count(*) FILTER (WHERE trade_date >= DATE '2000-01-01') AS test_rows FROM ready""", "ready")
+cte("ready_dates", """
+SELECT trade_date, row_number() OVER (ORDER BY trade_date) - 1 AS i, count(*) OVER () AS n
+FROM (SELECT DISTINCT trade_date FROM ready)""", ["ready"])
+cte("fold_rows", """
+SELECT k AS fold, r.trade_date, CASE WHEN d.i < n * k // 5 - 2 THEN 'train' WHEN d.i >= n * k // 5 AND d.i < n * (k + 1) // 5 THEN 'test' END AS part
+FROM ready r JOIN ready_dates d ON r.trade_date = d.trade_date, (VALUES (1), (2), (3), (4)) v(k)""", ["ready", "ready_dates"])
+oracle("walk_forward_folds", """
+SELECT CAST(fold AS BIGINT) AS fold, count(*) FILTER (WHERE part = 'train') AS train_rows, count(*) FILTER (WHERE part = 'test') AS test_rows,
+       max(trade_date) FILTER (WHERE part = 'train') AS last_train, min(trade_date) FILTER (WHERE part = 'test') AS first_test,
+       max(trade_date) FILTER (WHERE part = 'test') AS last_test
+FROM fold_rows GROUP BY fold""", "fold_rows")
 _Z = ", ".join(R(f"CASE WHEN stddev_samp({f}) OVER () = 0 THEN 0.0 "
                  f"ELSE ({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER () END", f"{f}_z") for f in FEATURES)
 oracle("standardize", f"SELECT symbol, trade_date, {_Z} FROM ready", "ready")
-oracle("rmse", f"SELECT {R('sqrt(avg(power(prediction - target_return_next_day, 2)))', 'rmse')} FROM pred", "pred")
+oracle("rmse", f"SELECT {R('sqrt(avg(power(prediction - target_return_next_day, 2)))', 'rmse')} FROM pred_all", "pred_all")

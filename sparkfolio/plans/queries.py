@@ -140,7 +140,7 @@ def q_asof_join_union(spark, sf):
 def q_asof_join_shuffle(spark, sf):
     """The as-of join with broadcasting disabled: shuffle on (symbol, year)."""
     fund = fx.fund(spark, sf).filter(F.col("is_current"))
-    return out(asof.asof_join(fx.bars(spark, sf), fund, broadcast_rows=0), *ASOF_COLS)
+    return out(asof.asof_join(fx.bars(spark, sf), fund, shuffle=True), *ASOF_COLS)
 
 
 @query("first_per_group")
@@ -166,19 +166,19 @@ def _backtest(spark, sf, chunk_rows=None, rank_buckets=None) -> DataFrame:
 
 @query("signal_strategy")
 def q_signal_strategy(spark, sf):
-    return out(bt.signal_strategy(fx.pred(spark, sf)), "symbol", "trade_date", "prediction", "strategy_signal")
+    return out(bt.signal_strategy(fx.pred_all(spark, sf)), "symbol", "trade_date", "prediction", "strategy_signal")
 
 
 @query("daily_rank")
 def q_daily_rank(spark, sf):
-    return out(bt.daily_rank(fx.pred(spark, sf)),
+    return out(bt.daily_rank(fx.pred_all(spark, sf)),
                "symbol", "trade_date", "prediction", "prediction_rank", "strategy_signal_rank")
 
 
 @query("daily_rank_split")
 def q_daily_rank_split(spark, sf):
     """daily_rank with every date split into 4 value ranges (exact ranks)."""
-    return out(bt.daily_rank(fx.pred(spark, sf), split_buckets=4),
+    return out(bt.daily_rank(fx.pred_all(spark, sf), split_buckets=4),
                "symbol", "trade_date", "prediction", "prediction_rank", "strategy_signal_rank")
 
 
@@ -400,9 +400,8 @@ def q_sink_dynamic_overwrite(spark, sf):
     path = scratch_path(spark, "silver_prices")
     b = fx.bars(spark, sf).withColumn("source_api", F.lit("twelvedata"))
     wr.write_partitions(b, path, ["trade_date"])
-    first = b.agg(F.min("symbol").alias("_first"))
-    batch2 = b.filter(F.year("trade_date") == 2001).join(F.broadcast(first), F.col("symbol") != F.col("_first")) \
-        .drop("_first").withColumn("source_api", F.lit("rerun"))
+    batch2 = b.filter((F.year("trade_date") == 2001) & (F.col("symbol") != b.select(F.min("symbol")).scalar())) \
+        .withColumn("source_api", F.lit("rerun"))
     wr.write_partitions(batch2, path, ["trade_date"])
     return out(rd.read_table(spark, path), "symbol", "trade_date", "close", "source_api")
 
@@ -589,7 +588,7 @@ def q_scd2_as_of(spark, sf):
 # ------------------------------------------------------------------ scoring / serving
 @query("recommendation")
 def q_recommendation(spark, sf):
-    return out(sc.recommendation(fx.pred(spark, sf)))
+    return out(sc.recommendation(fx.pred_all(spark, sf)))
 
 
 @query("latest_rows")
@@ -598,6 +597,16 @@ def q_latest_rows(spark, sf):
                "symbol", "trade_date", "close", "prediction")
 
 
+@query("latest_rows_stored")
+def q_latest_rows_stored(spark, sf):
+    """The latest date of a stored table from its files' footers."""
+    path = scratch_path(spark, "scored")
+    wr.write_partitions(fx.scored(spark, sf), path, ["symbol"])
+    stored = rd.read_table(spark, path, text=("symbol",))
+    return out(sc.latest_rows(stored, require=["prediction"], date=rd.stored_max(spark, path, "trade_date")),
+               "symbol", "trade_date", "close", "prediction")
+
+
 @query("top_buys")
 def q_top_buys(spark, sf):
     recs = sc.recommendation(sc.latest_rows(fx.scored(spark, sf), require=["prediction"]))
@@ -665,6 +674,18 @@ def q_time_split_counts(spark, sf):
                           F.count_if(~F.col("_train")).alias("test_rows")))
 
 
+@query("walk_forward_folds")
+def q_walk_forward_folds(spark, sf):
+    """Training and test rows of each fold in time order."""
+    f = md.walk_forward_folds(_ready(spark, sf).select("symbol", "trade_date"), folds=4, gap=2)
+    role = F.col("role")
+    return out(f.groupBy("fold").agg(
+        F.count_if(role == "train").alias("train_rows"), F.count_if(role == "test").alias("test_rows"),
+        F.max(F.when(role == "train", F.col("trade_date"))).alias("last_train"),
+        F.min(F.when(role == "test", F.col("trade_date"))).alias("first_test"),
+        F.max(F.when(role == "test", F.col("trade_date"))).alias("last_test")))
+
+
 @query("standardize")
 def q_standardize(spark, sf):
     z = md.standardize(_ready(spark, sf))
@@ -673,7 +694,7 @@ def q_standardize(spark, sf):
 
 @query("rmse")
 def q_rmse(spark, sf):
-    return out(fx.pred(spark, sf).agg(md.rmse_expr().alias("rmse")))
+    return out(fx.pred_all(spark, sf).agg(md.rmse_expr().alias("rmse")))
 
 
 @query("ml_cv_report")

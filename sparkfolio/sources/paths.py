@@ -21,6 +21,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder when the driver's JVM ends."""
+    p, fs = _path(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
 def folders(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, time of last change in ms) of the folders directly under ``path``."""
     p, fs = _path(spark, path)

@@ -101,6 +101,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.load(path)
 
 
+def stored_max(spark: SparkSession, path: str, column: str):
+    """Largest value of a column of a stored Parquet table (None if it has none), from the files' footers or the partition
+    values: the aggregate is pushed into the scan, which reads no row group. Dates, numbers and booleans
+    are pushed; for other types Spark reads the column. The settings that this needs hold in a session of its own."""
+    aside = spark.newSession()
+    aside.conf.set("spark.sql.sources.useV1SourceList", "")
+    aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return aside.read.parquet(path).agg(F.max(F.col(f"`{column}`"))).first()[0]
+
+
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """True when the path can be read. Only "path not found" means absent;
     any other error (permissions, corrupt files) is raised."""

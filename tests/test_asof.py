@@ -40,16 +40,22 @@ def test_asof_semantics(spark):
 def test_asof_forms_agree(spark):
     p, r = _prices(spark), _reports(spark)
     a = _as_dict(asof.asof_join(p, r))
-    assert a == _as_dict(asof.asof_join(p, r, broadcast_rows=0))
+    assert a == _as_dict(asof.asof_join(p, r, shuffle=True))
     assert a == _as_dict(asof.asof_join_union(p, r))
 
 
-def test_asof_plan_broadcast_only_when_small(spark):
+def test_asof_runs_no_job_and_leaves_the_join_to_measured_sizes(spark):
     p, r = _prices(spark), _reports(spark)
-    small = asof.asof_join(p, r)._jdf.queryExecution().executedPlan().toString()
-    big = asof.asof_join(p, r, broadcast_rows=0)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in big
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    small, big = asof.asof_join(p, r), asof.asof_join(p, r, shuffle=True)
+    union = asof.asof_join_union(p, r)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    for df in (small, big, union):
+        df.collect()
+    plans = [df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0] for df in (small, big)]
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1] and "SortMergeJoin" in plans[1]
+    assert "ResolvedHint" not in plans[0]
 
 
 def test_first_per_group_dedupes_copies(spark):

@@ -34,6 +34,6 @@ def test_asof_forms_match_brute_force(spark, prices, reports):
         "symbol string, report_date date, pe_ratio double, debt_to_equity double, "
         "effective_date date, is_current boolean")
     want = brute(prices, reports)
-    for df in (asof.asof_join(p, r), asof.asof_join(p, r, broadcast_rows=0), asof.asof_join_union(p, r)):
+    for df in (asof.asof_join(p, r), asof.asof_join(p, r, shuffle=True), asof.asof_join_union(p, r)):
         got = {(x.symbol, x.trade_date): (x.pe_ratio, x.debt_to_equity) for x in df.collect()}
         assert got == want

@@ -38,7 +38,12 @@ def test_jobs_end_to_end(spark, sf_small):
 
     out = scratch_path(spark, "ml")
     m = jobs.ml_job(spark, gold, out, fx.SPLIT_DATE, grid={"maxDepth": (2,), "maxIter": (2,)}, folds=2)
-    assert m["status"] == "ok" and len(m["top_buys"]) <= 5
+    assert m["status"] == "ok" and len(m["top_buys"]) <= 5 and m["train_rows"] and m["test_rows"]
+    assert rd.read_table(spark, f"{out}/summary_ranking").count() == rd.read_table(spark, f"{out}/backtest_metrics").count()
+    assert rd.read_table(spark, f"{out}/cv_report").count() == 1
+    w = jobs.ml_job(spark, gold, out, fx.SPLIT_DATE, grid={"maxDepth": (2,), "maxIter": (2,)}, folds=2, validation="walk_forward",
+                    chunk_rows=128, rank_buckets=3)
+    assert w["status"] == "ok" and w["train_rows"] == m["train_rows"]
     bt = rd.read_table(spark, f"{out}/backtest_results")
     assert {"prediction", "drawdown", "rsi_14"} <= set(bt.columns)
     assert rd.read_table(spark, f"{out}/backtest_metrics").count() == bt.select("symbol").distinct().count()

@@ -52,6 +52,6 @@ def test_chunked_backtest_shuffles_its_rows_once_for_the_series(spark, sf_small)
 
 def test_standardize_names_its_statistics_once(spark, sf_small):
     from sparkfolio.operators import model as md
-    df = md.standardize(md.train_ready(ft.gold_features(fx.bars(spark, sf_small), fx.fund(spark, sf_small))))
+    df = md.standardize(spark.range(9).selectExpr("id * 1.0D AS a", "id % 4 * 1.0D AS b"), ["a", "b"])
     optimised = df._jdf.queryExecution().optimizedPlan().toString()
     assert optimised.count("scalar-subquery") == 1

@@ -52,7 +52,44 @@ def test_a_cluster_must_name_shared_storage():
         session.ensure_checkpoint_dir(s)
 
 
-def test_scratch_paths_are_unique_under_checkpoint_dir():
-    s = _Spark("file:/shared/ckpt/abc", None)
-    a, b = session.scratch_path(s, "t"), session.scratch_path(s, "t")
-    assert a != b and a.startswith("file:/shared/ckpt/abc/sparkfolio-t-")
+def test_scratch_paths_are_unique_in_the_runs_folder(spark):
+    a, b = session.scratch_path(spark, "t"), session.scratch_path(spark, "t")
+    assert a != b and a.startswith(f"{session.run_folder(spark)}/t-") and spark.sparkContext.applicationId in a
+
+
+def test_a_scope_leaves_nothing(spark, sf_small):
+    from sparkfolio.plans.queries import QUERIES
+    from sparkfolio.sources.paths import folders, path_exists
+    base = session.run_folder(spark)
+    before = {n for n, _ in folders(spark, base)}
+    for name in ("daily_rank_split", "scan_json_drift", "sink_self_overwrite", "landing_new_only"):
+        with session.scratch_scope(spark) as made:
+            assert QUERIES[name](spark, sf_small).count() > 0
+            assert made
+            kept = session.hold(made[0])
+        assert path_exists(spark, kept) and {n for n, _ in folders(spark, base)} - before == {kept.rsplit("/", 1)[1]}
+        assert session.release(spark, kept) and {n for n, _ in folders(spark, base)} == before
+
+
+def test_scopes_nest_and_end_after_errors(spark):
+    from sparkfolio.sources.paths import path_exists
+    with session.scratch_scope(spark):
+        outer = session.stored(spark.range(3))
+        with pytest.raises(ValueError), session.scratch_scope(spark) as inner:
+            session.checkpoint(spark.range(3))
+            raise ValueError
+        assert not path_exists(spark, inner[0]) and outer.count() == 3
+
+
+def test_old_folders_of_dead_runs_go(spark):
+    import os
+    import time
+    from pathlib import Path
+    root = Path(session.ensure_checkpoint_dir(spark).removeprefix("file:"))
+    old, young, other = root / "sparkfolio-run-dead", root / "sparkfolio-run-young", root / "unrelated"
+    for p in (old, young, other):
+        (p / "x").mkdir(parents=True)
+    for p in (old, other):
+        os.utime(p, (time.time() - 80 * 3600,) * 2)
+    assert session.clean_scratch(spark) == ["sparkfolio-run-dead"]
+    assert not old.exists() and young.exists() and other.exists()
