@@ -355,3 +355,12 @@ _Z = ", ".join(R(f"CASE WHEN stddev_samp({f}) OVER () = 0 THEN 0.0 "
                  f"ELSE ({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER () END", f"{f}_z") for f in FEATURES)
 oracle("standardize", f"SELECT symbol, trade_date, {_Z} FROM ready", "ready")
 oracle("rmse", f"SELECT {R('sqrt(avg(power(prediction - target_return_next_day, 2)))', 'rmse')} FROM pred_all", "pred_all")
+
+oracle("ml_cv_report", """
+SELECT CAST(d AS BIGINT) AS max_depth, CAST(i AS BIGINT) AS max_iter, TRUE AS plausible, CAST(1 AS BIGINT) AS n_best
+FROM (VALUES (5), (8)) a(d), (VALUES (20), (40)) b(i)""")
+oracle("ml_scored", f"""
+SELECT symbol, trade_date, {R(LABEL, LABEL)}, TRUE AS is_scored FROM ready WHERE trade_date >= DATE '2000-01-01'""", "ready")
+oracle("future_scored", f"""
+SELECT symbol, trade_date, {R('"close"', '"close"')}, TRUE AS follows
+FROM gold WHERE trade_date = (SELECT max(trade_date) FROM gold)""", "gold")

@@ -642,23 +642,14 @@ def q_serving_registered(spark, sf):
 
 # ------------------------------------------------------------------ model
 
-# Registered ML queries use a smaller grid than the library default
-# (md.DEFAULT_GRID, the reference's maxDepth {5,8} x maxIter {20,40}, which
-# takes minutes even at sf0.01); folds, seed and pipeline are unchanged.
-QUERY_GRID = {"maxDepth": (3, 5), "maxIter": (5, 10)}
-_MODELS: dict[tuple[str, str], object] = {}
-
-
 def _ready(spark, sf) -> DataFrame:
     return md.train_ready(ft.gold_features(fx.bars(spark, sf), fx.fund(spark, sf)))
 
 
 def _cv_model(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MODELS:
-        train, _ = md.time_split(_ready(spark, sf), fx.SPLIT_DATE)
-        _MODELS[key] = md.tune(train, QUERY_GRID, md.DEFAULT_FOLDS, parallelism=4)
-    return _MODELS[key]
+    """The library's own grid and folds on the training period."""
+    train, _ = md.time_split(_ready(spark, sf), fx.SPLIT_DATE)
+    return md.tune(train, md.DEFAULT_GRID, md.DEFAULT_FOLDS, parallelism=8)
 
 
 @query("train_ready")
@@ -697,18 +688,32 @@ def q_rmse(spark, sf):
     return out(fx.pred_all(spark, sf).agg(md.rmse_expr().alias("rmse")))
 
 
+# What a model predicts has no SQL; the queries below return all that SQL can tell of its rows: keys, labels, grid points,
+# and whether what must hold of the predictions does.
 @query("ml_cv_report")
 def q_ml_cv_report(spark, sf):
-    return out(md.cv_report(spark, _cv_model(spark, sf)))
+    """Grid points, whether each error is below that of predicting nothing twice over, and how many points are best."""
+    report = md.cv_report(spark, _cv_model(spark, sf))
+    scale = _ready(spark, sf).agg(F.sqrt(F.avg(F.pow(F.col(LABEL), 2)))).first()[0]
+    best = report.filter("is_best").count()
+    return out(report.select("max_depth", "max_iter", ((F.col("avg_rmse") > 0) & (F.col("avg_rmse") < 2 * scale)).alias("plausible"),
+                             F.lit(best).alias("n_best")))
 
 
 @query("ml_scored")
 def q_ml_scored(spark, sf):
+    """Test rows after scoring: keys, label, and whether each has a finite prediction."""
     _, test = md.time_split(_ready(spark, sf), fx.SPLIT_DATE)
-    return out(md.score(_cv_model(spark, sf), test), "symbol", "trade_date", LABEL, "prediction")
+    scored = md.score(_cv_model(spark, sf), test)
+    finite = F.col("prediction").isNotNull() & (F.abs("prediction") < float("inf"))
+    return out(scored.withColumn("is_scored", finite), "symbol", "trade_date", LABEL, "is_scored")
 
 
 @query("future_scored")
 def q_future_scored(spark, sf):
+    """Recommendations of the latest date: keys, close, and whether the advice follows from the prediction."""
     latest = sc.latest_rows(ft.gold_features(fx.bars(spark, sf), fx.fund(spark, sf)))
-    return out(sc.recommendation(md.score(_cv_model(spark, sf), latest)))
+    recs = sc.recommendation(md.score(_cv_model(spark, sf), latest))
+    buy = F.when(F.col("prediction") > 0, "BUY").otherwise("HOLD")
+    follows = (F.col("recommendation") == buy) & (F.abs(F.col("prediction_pct") - 100 * F.col("prediction")) < 1e-9)
+    return out(recs.withColumn("follows", follows), "symbol", "trade_date", "close", "follows")

@@ -8,7 +8,7 @@ import pytest
 from tests.conftest import SF_SMALL
 from tools.check_oracle import TABLES, rows_of
 
-SKIP = {"ml_cv_report", "ml_scored", "future_scored"}   # rows-only, covered in test_model.py
+SLOW = {"ml_cv_report", "ml_scored", "future_scored"}   # a whole grid each: run together below
 
 
 def _llm():
@@ -20,7 +20,7 @@ def _llm():
 def _keys():
     from __spark_entry__ import oracle_sql, queries
     q, o = queries(), oracle_sql()
-    return [k for k in q if k in o and k not in SKIP | _llm()]
+    return [k for k in q if k in o and k not in SLOW | _llm()]
 
 
 @pytest.fixture(scope="module")
@@ -43,9 +43,18 @@ def test_query_matches_oracle(spark, con, key):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dcols, res.fetchall())
 
 
-def test_every_query_has_oracle_or_is_rows_only():
+def test_model_queries_match_their_oracles(spark, con, monkeypatch):
+    """With one fit for the three."""
+    from sparkfolio.plans import queries as q
+    fits = {}
+    monkeypatch.setattr(q, "_cv_model", lambda spark, sf, f=q._cv_model: fits.setdefault(sf, fits.get(sf) or f(spark, sf)))
+    for key in sorted(SLOW):
+        test_query_matches_oracle(spark, con, key)
+
+
+def test_every_query_has_an_oracle():
     from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) - set(oracle_sql()) - _llm() == SKIP
+    assert set(queries()) - set(oracle_sql()) - _llm() == set()
 
 
 def test_entry_smoke(spark):
