@@ -15,8 +15,9 @@ The table ``dictionary`` holds (hash, content) once. A short document is read by
 decompressed, nothing before it. The files are written as Parquet to the folder given, so any store that Spark
 can write serves.
 
-Ids come from the tokenizers library. Its tokenizer lower-cases, splits at white space and never joins what stands on both
-sides of it, so each distinct word is encoded once and a text is the words' ids in a row.
+Ids come from the tokenizers library. Its tokenizer lower-cases and never joins what stands on both sides of white space,
+nor letters with the signs and digits beside them (the apostrophe aside). So texts are cut into such pieces, each distinct piece
+is encoded once, and a text is its pieces' ids in a row.
 """
 
 from __future__ import annotations
@@ -25,9 +26,7 @@ import gc
 import hashlib
 import json
 import os
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,38 +37,62 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer, pre_tokenizers
 
-from sparkfolio.llm.spark_env import prepare
+from sparkfolio.llm import words as split_words
+from sparkfolio.llm.spark_env import prepare, trim
 
 END_ID = 2
 FILE_TEXTS = 1024
 #: Texts encoded at once.
 BATCH = 1024
 FILE_BYTES = 4 << 20
-#: The dictionary: its size, the most documents it is trained on and the most bytes of each. The documents are those
-#: of the smallest hash of the doc_id, over the whole table.
+#: The dictionary: its size, the documents it is trained on (those of the smallest hash, over the whole table, with what
+#: repeats them), and the windows of their id arrays, from any place in them.
 DICT_BYTES = 64 << 10
 DICT_TEXTS = 1000
-DICT_TEXT_BYTES = 8 << 10
+WINDOW_BYTES = 2 << 10
+DICT_WINDOWS = 4096
+#: Bytes of text whose equal words are looked up together.
+SLICE_BYTES = 2 << 20
 LEVEL = 1
-#: Words whose ids a worker keeps at hand from one task to the next, and the most that a running task adds up to.
-KEPT, CACHE = 400_000, 1_000_000
-
-_SPACES = "\t\n\x0b\x0c\r"
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: Signs that stand apart from the letters before them, whatever they are; the apostrophe does not.
-_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-
-
-def _words(text: str) -> list[str]:
-    """Words in lower case where that is certain to be what the tokenizer does."""
-    try:
-        text.encode("latin-1")
-        text = text.lower()
-    except UnicodeEncodeError:
-        pass
-    for c in _SPACES:
-        text = text.replace(c, " ")
-    return text.split(" ")
+#: Pieces whose ids a worker keeps at hand, some 30 bytes each.
+CACHE = 2_000_000
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(97, 123), *range(128, 256)]] = True
+
+
+def _lower(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the Latin-1 capitals (second bytes of 0xC3) in lower case."""
+    out = data.copy()
+    out[(out >= 65) & (out <= 90)] += 32
+    capital = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
+    out[1:][capital] += 32
+    return out
+
+
+def _pieces(words: split_words.Words) -> tuple[split_words.Words, np.ndarray]:
+    """Words cut where letters meet signs or digits, and whether each piece is letters alone. A word with an apostrophe
+    or with characters beyond ASCII and the Latin-1 letters stays whole."""
+    data, n = words.data, len(words.data)
+    high = data >= 0x80
+    second = np.zeros(n, bool)                               # of a Latin-1 letter
+    second[1:] = (data[:-1] == 0xC3) & high[1:] & (data[1:] < 0xC0) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    latin = second.copy()
+    latin[:-1] |= second[1:]
+    odd = np.append(0, np.cumsum((high & ~latin) | (data == 0x27)))
+    whole = odd[words.ends] > odd[words.starts]
+    letter = _LETTER[data]
+    cover = np.zeros(n + 1, np.int32)                        # 1 inside words that may be cut
+    cover[words.starts[~whole]] += 1
+    cover[words.ends[~whole]] -= 1
+    inside = np.cumsum(cover[:n]).astype(bool)
+    start, end = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    start[words.starts], end[words.ends] = True, True
+    border = np.flatnonzero((letter[1:] != letter[:-1]) & inside[1:] & inside[:-1]) + 1
+    start[border], end[border] = True, True
+    at = np.flatnonzero(start)
+    return (split_words.Words(data, words.bounds, at, np.flatnonzero(end), np.searchsorted(at, words.bounds)),
+            letter[at] & inside[at])
 
 
 class Words:
@@ -92,7 +115,7 @@ class Words:
         self.letters.normalizer = None
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.known: dict[str, bytes] = {}
+        self.forget()
 
     @classmethod
     def of(cls, path: str) -> Words:
@@ -103,52 +126,106 @@ class Words:
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Lower-case words of letters need no normalisation, and each ends at a piece that closes a word; they are
-        encoded in one text. Signs behind a word are split from it."""
-        plain, other = [], []
-        for w in words:
-            c = w.rstrip(_TAIL)
-            if c.isalpha() and (c.isascii() or _PLAIN.fullmatch(c)):
-                plain.append((w, c.lower(), w[len(c):]))
-            else:
-                other.append(w)
-        self.known.update(zip(other, self._each(other), strict=True))
-        if cores := list({c for _, c, _ in plain}.difference(self.known)):
-            ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u2")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(cores):
+    def forget(self) -> None:
+        """Known pieces: sorted hash, second hash, place and number of the ids in ``ids``."""
+        self.hash, self.again = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.place, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u2")
+
+    def _learn(self, pieces: split_words.Words, plain: np.ndarray, new: np.ndarray, hashes: np.ndarray, again: np.ndarray) -> None:
+        """Pieces of letters end at an id that closes a word: all are encoded in one text. The others one by one."""
+        letters, other = new[plain[new]], new[~plain[new]]
+        ids, sizes = [np.zeros(0, "<u2")], [np.zeros(0, np.int64)]
+        if len(letters):
+            length = pieces.ends[letters] - pieces.starts[letters]
+            upto = np.cumsum(length + 1)
+            text = np.full(int(upto[-1]), 0x20, np.uint8)
+            step = np.arange(int(length.sum()))
+            owner_start = np.cumsum(length) - length
+            text[np.repeat(upto - length - 1 - owner_start, length) + step] = pieces.data[np.repeat(pieces.starts[letters] - owner_start, length) + step]
+            got = np.array(self.letters.encode_batch_fast([text.tobytes().decode()], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(self.closes[got]) + 1
+            if len(ends) != len(letters):
                 raise ValueError("the tokenizer does not close each word")
-            raw, at = ids.tobytes(), np.append(0, ends * 2).tolist()
-            self.known.update([(c, raw[x:y]) for c, x, y in zip(cores, at, at[1:], strict=False)])
-        tails = list({t for _, _, t in plain})
-        tail = dict(zip(tails, self._each(tails), strict=True))
-        get = self.known.__getitem__
-        self.known.update([(w, get(c) + tail[t]) for w, c, t in plain])
+            ids.append(got)
+            sizes.append(np.diff(ends, prepend=0))
+        if len(other):
+            raw = pieces.data.tobytes()
+            each = self._each([raw[x:y].decode() for x, y in zip(pieces.starts[other].tolist(), pieces.ends[other].tolist(), strict=True)])
+            ids.append(np.frombuffer(b"".join(each), "<u2"))
+            sizes.append(np.fromiter(map(len, each), np.int64, len(each)) // 2)
+        order = np.concatenate([letters, other])
+        size = np.concatenate(sizes)
+        place = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, *ids])
+        by = np.argsort(hashes[order])
+        order, size, place = order[by], size[by], place[by]
+        at = np.searchsorted(self.hash, hashes[order])
+        self.hash, self.again = np.insert(self.hash, at, hashes[order]), np.insert(self.again, at, again[order])
+        self.place, self.size = np.insert(self.place, at, place), np.insert(self.size, at, size)
+
+    def _slice(self, words: split_words.Words) -> list[bytes] | None:
+        """The ids of the texts of one slice. Equal pieces are found by two 64-bit hashes; None where only one of them agrees."""
+        pieces, plain = _pieces(words)
+        n = len(pieces.first) - 1
+        if not len(pieces.starts):
+            return [b""] * n
+        hashes, again = pieces.hashes(), pieces.hashes(again=True)
+        distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if (again[index][inverse] != again).any():
+            return None
+        if len(self.hash) > CACHE:
+            self.forget()
+        at = np.minimum(np.searchsorted(self.hash, distinct), max(len(self.hash) - 1, 0))
+        new = index if not len(self.hash) else index[self.hash[at] != distinct]
+        if len(new):
+            self._learn(pieces, plain, new, hashes, again)
+            at = np.searchsorted(self.hash, distinct)
+        if (self.again[at] != again[index]).any():
+            return None
+        each = self.size[at][inverse].astype(np.int64)
+        upto = np.cumsum(each)
+        take = np.repeat(self.place[at][inverse] - upto + each, each) + np.arange(int(upto[-1]))
+        out = self.ids[take].tobytes()
+        ends = (2 * np.append(0, upto)[pieces.first]).tolist()
+        return [out[x:y] for x, y in zip(ends, ends[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 16-bit integers, without special tokens of its own."""
-        split = [_words(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        if new := set(chain.from_iterable(split)).difference(self.known):
-            self._learn(new)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
+        out = []
+        for a, b, words in split_words.slices(pa.array(texts, pa.large_string()), limit=SLICE_BYTES):
+            words.data = _lower(words.data)
+            got = self._slice(words)
+            out += self._each(texts[a:b]) if got is None else got
         for i, t in enumerate(texts):                        # special tokens are matched before words are split
             if any(s in t for s in self.special):
                 out[i] = self._each([t])[0]
         return out
 
 
+def _windows(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 16):
+                rows = batch.slice(at, 16)
+                ids = Words.of(path).encode(rows.column("text").to_pylist())
+                cut = [(r, x // WINDOW_BYTES, raw[x:x + WINDOW_BYTES]) for r, raw in zip(rows.column("rank").to_pylist(), ids, strict=True)
+                       for x in range(0, len(raw), WINDOW_BYTES)]
+                for x in range(0, len(cut), 4096):
+                    rank, number, window = zip(*cut[x:x + 4096], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(rank, pa.int64()), pa.array(number, pa.int64()), pa.array(window, pa.binary())],
+                                                     names=["rank", "number", "ids"])
+    return run
+
+
 def _dictionary(texts: DataFrame, path: str) -> bytes:
-    """A dictionary from the id arrays of a bounded sample; b"" if there is too little to train on."""
-    rank = F.xxhash64("doc_id", "text")
+    """A dictionary from the whole id arrays of a bounded sample of documents, those of the smallest hash, cut into windows
+    of which those of the smallest hash are taken; b"" if there is too little to train on."""
+    rank = F.xxhash64("doc_id", F.length("text"), "text")
     last = texts.select(rank.alias("rank")).orderBy("rank").limit(DICT_TEXTS).agg(F.max("rank")).first()[0]
     if last is None:
         return b""
-    sample = texts.filter(rank <= last).select(F.expr(f"substring(text, 1, {DICT_TEXT_BYTES})").alias("text")).limit(DICT_TEXTS).collect()
-    rows = [x for x in Words.of(path).encode([r.text for r in sample]) if x]
+    sample = texts.filter(rank <= last).select("text", rank.alias("rank")).mapInArrow(_windows(path), "rank long, number long, ids binary")
+    rows = [bytes(r.ids) for r in sample.orderBy(F.xxhash64("rank", "number"), "ids").limit(DICT_WINDOWS).select("ids").collect()]
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, sum(map(len, rows)) // 4), rows).as_bytes()
     except zstandard.ZstdError:
@@ -194,13 +271,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
                         ids, frames, sizes, seq, total = [], [], [], seq + 1, 0
         if ids:
             yield flush()
-        if len(words.known) > KEPT:
-            words.known.clear()
+        trim()
 
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("dictionary", pa.string()), ("doc_ids", pa.list_(pa.int64())),
                         ("offsets", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("frames", pa.binary())])
     spark.createDataFrame([(name, bytearray(content))], "hash string, content binary").write.parquet(f"{folder}/dictionary")
-    (texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # many rows of one id, or without one, are dealt by how their texts begin
+    (texts.repartitionByRange("doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
      .mapInArrow(run, "part int, seq int, dictionary string, doc_ids array<long>, offsets array<long>, starts array<long>, frames binary")
      .write.parquet(f"{folder}/files"))
 

@@ -25,6 +25,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_BYTE2 = np.random.default_rng(20250117).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 2**64)
 _POW: dict[int, np.ndarray] = {}
@@ -77,11 +78,11 @@ class Words:
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.n)
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hash of every word."""
+    def hashes(self, again: bool = False) -> np.ndarray:
+        """64-bit hash of every word; ``again`` gives another one, of other values of the bytes."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
-        return range_hash(_BYTE[self.data], self.starts, self.ends)
+        return range_hash((_BYTE2 if again else _BYTE)[self.data], self.starts, self.ends)
 
     def grams(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(positions, hashes) of the ``k``-word windows that lie inside one text."""

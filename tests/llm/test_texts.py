@@ -265,6 +265,31 @@ def test_token_files(spark, docs, none, table, monkeypatch):
         at += len(mine)
 
 
+def test_token_ids_of_odd_texts(monkeypatch):
+    """Pieces of words against the library on whole texts, with a small store of pieces and with one hash that clashes."""
+    rng = np.random.default_rng(5)
+    signs = [*"abcXYZ019 '’\"-–—.,!?%&\t\n éÉßÿÜ×÷İıſǅΣςσ日本🙂\u0301\xa0 \x1c\x85<|>_", "don't", "'s", "I'M", "<|endoftext|>", "O’Neil", "café–bar"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(3000)] + ["x" * 5000, "Word, " * 3000, ""]
+    model = token_files.Words(P.path("word_bpe_49k.json"))
+    want = [np.array(e.ids, "<u2").tobytes() for e in model.model.encode_batch(texts, add_special_tokens=False)]
+    assert model.encode(texts) == want and model.encode(texts[::-1]) == want[::-1]
+    monkeypatch.setattr(token_files, "CACHE", 100)
+    assert model.encode(texts) == want
+    monkeypatch.setattr(token_files.split_words.Words, "hashes", lambda self, again=False: (
+        np.arange(len(self.starts), dtype=np.uint64) if again else (self.ends - self.starts).astype(np.uint64)))
+    model.forget()
+    assert model.encode(texts) == want
+
+
+def test_dictionary_of_any_part_of_a_text(spark):
+    """Windows come from whole id arrays: what only long texts hold, far from their beginning, is compressed by the dictionary."""
+    rare = "zyx wvu tsr qpo nml kji " * 8
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(3000)) + " " + rare * 40) for i in range(20)]
+    content = token_files._dictionary(spark.createDataFrame(rows, "doc_id long, text string"), P.path("word_bpe_49k.json"))
+    raw = token_files.Words.of(P.path("word_bpe_49k.json")).encode([rare])[0]
+    assert len(token_files._compressor(content).compress(raw)) < len(token_files._compressor(b"").compress(raw))
+
+
 def fill(sizes, weights):
     target, open_ = dict.fromkeys(sizes, 0.0), set(sizes)
     total = sum(sizes.values())
