@@ -2,19 +2,21 @@
 
 The words of each source form one stream, its documents one after the other, cut into blocks of ``BLOCK_WORDS`` words, the
 last one shorter. A source needs as many slots as its blocks, taken in order, hold its target in words; the last slot takes
-the beginning of its block only, so that each source meets its target to the word, however small it is. Each output shard of
-``SHARD_SLOTS`` slots draws how many slots each source gets: the whole part of its expected number, and multinomially what is
-left over. Slots drawn beyond a source's need are not used, and closing shards hold those that were not drawn. The slots of a
-source are numbered through all shards; slot ``j`` takes block ``permutation[j // blocks](j % blocks)``, where the
-permutations are keyed Feistel networks on the block numbers, so each pass over a source takes every block once. Blocks are
-joined to slots by their number.
+the beginning of its block only, so that each source meets its target to the word, however small it is.
+
+Output shards hold ``SHARD_SLOTS`` slots each. How many slots of each source a shard holds is a multinomial draw, given that all
+shards together hold what each source needs: the slots of a range of shards are split between its two halves by a
+multivariate hypergeometric draw, from all shards down to one, with a generator of its own for each range. So any task draws
+its shards without the others', and knows the numbers of their slots. Slot ``j`` of a source takes block
+``permutation[j // blocks](j % blocks)``, where the permutations are keyed Feistel networks on the block numbers, so each
+pass over a source takes every block once. Blocks are joined to slots by their number.
 
 The recipe (a row for each source) is the one thing sent to every task; its size is checked against ``MAX_SOURCES``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,8 +35,13 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = 20240311
 MAX_SOURCES = 100_000
-#: Documents, or shards, that one window partition of a running sum holds on average.
+#: Documents that one window partition of a running sum holds on average.
 RUN_ROWS = 50_000
+#: Words of equal rows that are placed in the stream as one piece.
+COPY_WORDS = 1_000_000
+#: Shards that one row of the draw covers, and slots beyond which a range is split in proportion, without a draw.
+DRAW_SHARDS = 64
+MOST_DRAWN = 10**9
 
 
 def _running(df: DataFrame, by: str, bucket: Column, order: list[str], value: str, out: str) -> DataFrame:
@@ -117,116 +124,141 @@ def quotas(size: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return turn * blocks + n, np.where(rest > 0, end, 0)
 
 
-def draw(shard: int, slots: int, share: np.ndarray) -> np.ndarray:
-    """Slots of one shard for each source: whole parts, then a multinomial draw of what is left over."""
-    expected = share * slots
-    whole = np.floor(expected + 1e-9).astype(np.int64)
-    left = slots - int(whole.sum())
-    if left > 0:
-        part = np.maximum(expected - whole, 0)
-        whole += np.random.default_rng((SEED, shard)).multinomial(left, part / part.sum() if part.sum() > 0 else share)
-    return whole
+def split(number: np.ndarray, counts: np.ndarray, left: int, seed: tuple[int, ...]) -> np.ndarray:
+    """How many of each source's slots the first ``left`` of a range's slots are."""
+    total = int(counts.sum())
+    if total > MOST_DRAWN:                                   # numpy draws no further; there the draw would hardly show
+        part = counts * (left / total)
+        out = np.minimum(np.floor(part).astype(np.int64), counts)
+        short = left - int(out.sum())
+        out[np.argsort(out - part, kind="stable")[:short]] += 1
+        return out
+    return np.random.default_rng((SEED, *seed)).multivariate_hypergeometric(counts, left, method="marginals")
 
 
-def slots(sizes: DataFrame, table: DataFrame) -> DataFrame:
+def draw(need: np.ndarray, first_shard: int, last_shard: int, size: int, how: Callable = split) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(shard, numbers of its sources, number of its first slot of each, its slots of each) for first_shard <= shard < last_shard, shards of ``size`` slots."""
+    n = int(need.sum())
+    number = np.flatnonzero(need)
+    todo = [(0, -(-n // size), number, np.zeros(len(number), np.int64), need[number])]
+    while todo:
+        low, high, number, first, counts = todo.pop()
+        if high <= first_shard or low >= last_shard:
+            continue
+        if high - low == 1:
+            yield low, number, first, counts
+            continue
+        middle = (low + high) // 2
+        left = how(number, counts, min(n, middle * size) - low * size, (low, high))
+        right = counts - left
+        for a, b, start, part in ((middle, high, first + left, right), (low, middle, first, left)):
+            some = part > 0
+            todo.append((a, b, number[some], start[some], part[some]))
+
+
+def slots(table: DataFrame) -> DataFrame:
     """The mix: number (of the source), block, shard, slot (within the source) of every slot, and cut: the words that the
     source's last slot takes from the beginning of its block (0: the slot takes the whole block)."""
-    spark = sizes.sparkSession
+    spark = table.sparkSession
     rows = table.orderBy("number").limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"over {MAX_SOURCES} sources")
     size = np.array([r.source_size for r in rows], np.int64)
     blocks = -(-size // BLOCK_WORDS)
     need, end = quotas(size, np.array([r.target for r in rows], float))
-    n = int(need.sum())
-    share = need / max(n, 1)
-    shards = -(-n // SHARD_SLOTS)
+    shard_slots, each, how = SHARD_SLOTS, DRAW_SHARDS, split
+    shards = -(-int(need.sum()) // shard_slots)
 
-    def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard in batch["id"]:
-                got = draw(int(shard), int(min(SHARD_SLOTS, n - shard * SHARD_SLOTS)), share)
-                number = np.flatnonzero(got)
-                yield pd.DataFrame({"shard": shard, "number": number, "n": got[number]})
+            for at in batch["id"]:
+                for shard, number, first, n in draw(need, int(at) * each, int(at + 1) * each, shard_slots, how):
+                    slot = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                    number = np.repeat(number, n)
+                    block = permute(slot % blocks[number], blocks[number], _key(number, slot // blocks[number]))
+                    yield pd.DataFrame({"number": number, "block": block, "shard": shard, "slot": slot,
+                                        "cut": np.where(slot == need[number] - 1, end[number], 0)})
 
-    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """What the shards drew too few of, in closing shards: runs of at most ``SHARD_SLOTS`` slots of a source."""
-        for batch in batches:
-            for number, got in zip(batch["number"], batch["got"], strict=True):
-                first = np.arange(got, need[number], SHARD_SLOTS)
-                yield pd.DataFrame({"number": number, "shard": shards + number % max(shards, 1), "first": first,
-                                    "n": np.minimum(need[number] - first, SHARD_SLOTS)})
+    return spark.range(-(-shards // each)).mapInPandas(fill, "number int, block long, shard long, slot long, cut int")
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.iloc[at:at + 64]
-                each = part["n"].to_numpy()
-                number = np.repeat(part["number"].to_numpy(), each)
-                slot = np.repeat(part["first"].to_numpy() - np.cumsum(each) + each, each) + np.arange(int(each.sum()))
-                use = slot < need[number]                    # a source that is drawn to its target takes no more
-                number, slot, shard = number[use], slot[use], np.repeat(part["shard"].to_numpy(), each)[use]
-                block = permute(slot % blocks[number], blocks[number], _key(number, slot // blocks[number]))
-                yield pd.DataFrame({"number": number, "block": block, "shard": shard, "slot": slot,
-                                    "cut": np.where(slot == need[number] - 1, end[number], 0)})
-
-    drawn = spark.range(shards).mapInPandas(counts, "shard long, number int, n long")
-    drawn = stored(drawn, "drawn")
-    first = _running(drawn, "number", F.expr(f"shard div {RUN_ROWS}"), ["shard"], "n", "first")
-    got = spark.range(len(rows)).select(F.col("id").cast("int").alias("number")).join(
-        drawn.groupBy("number").agg(F.sum("n").alias("got")), "number", "left").select("number", F.coalesce("got", F.lit(0)).alias("got"))
-    all_slots = first.select("number", "shard", "first", "n").union(got.mapInPandas(rest, "number int, shard long, first long, n long"))
-    return all_slots.mapInPandas(fill, "number int, block long, shard long, slot long, cut int")
-
-
-#: Names a document by id, source and text in every run of a task.
+
+#: What names a document, with its type.
 _KEY = ("doc_id long", "source string", "text string")
 
 
-def keyed(docs: DataFrame, name: str = "row") -> DataFrame:
-    """``docs`` with the column ``name``, a hash that names a document in every run of a task."""
-    return docs.withColumn(name, F.xxhash64(*(F.col(c).cast(t) for c, t in map(str.split, _KEY))))
+def keyed(docs: DataFrame, name: str = "row", every: bool = False) -> DataFrame:
+    """``docs`` with the column ``name``: hashes that name equal rows alike in every run of a task. Rows are equal in id,
+    source and text, or (``every``) in all columns. A null is a value of its own. Rows come in the same order either way."""
+    known = [F.col(c).cast(t) for c, t in map(str.split, _KEY)]
+    rest = [F.to_json(F.struct(F.col(f"`{f.name}`").alias("c"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema.fields]
+
+    def both(columns: list[Column]) -> list[Column]:
+        return [x for c in columns for x in (c.isNull(), c)]
+    return docs.withColumn(name, F.struct(F.xxhash64(*both(known)).alias("a"), F.xxhash64(F.lit(SEED), *both(known)).alias("b"),
+                                          (F.xxhash64(*both(rest)) if every else F.lit(0).cast("long")).alias("c")))
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
-    """(documents, pieces): row, doc_id, size, source_size, target, first (its place in the source's stream) of each
-    document, and row, block, at, words, times of each piece of a document that lies in one block."""
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(documents, pieces). Documents: row, doc_id, size, number, source_size, target, first (the place in the source's
+    stream), copy and copies: a row stands for ``copies`` equal documents, numbered from ``copy`` on, one after the other
+    in the stream. Pieces: row, copy, block, at, words, times, shards: words of one document that lie in one block, and
+    the shards that take them."""
     prepare(docs.sparkSession)
-    sizes = keyed(docs).select("row", F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")) \
-        .mapInArrow(_sizes, "row long, doc_id long, source string, size long")
-    sizes = stored(sizes.dropDuplicates(["row"]), "sizes")
-    table = stored(recipe(sizes, weights), "recipe")
-    known = sizes.join(table, sizes["source"].eqNullSafe(table["source"])).select("row", "doc_id", "size", "number", "source_size", "target")
+    sizes = keyed(docs, every=every).select("row", F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")) \
+        .mapInArrow(_sizes, "row struct<a:bigint,b:bigint,c:bigint>, doc_id long, source string, size long")
+    per = F.greatest(F.lit(1), F.lit(COPY_WORDS).cast("long") / F.greatest("size", F.lit(1))).cast("long")
+    sizes = sizes.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("source").alias("source"), F.first("size").alias("size"),
+                                     F.count(F.lit(1)).alias("rows")).withColumn("per", per)
+    sizes = sizes.select("row", "doc_id", "source", "size", "rows", "per", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(rows - 1) div per"))).alias("chunk")) \
+        .select("row", "doc_id", "source", "size", (F.col("chunk") * F.col("per")).alias("copy"),
+                F.least("per", F.col("rows") - F.col("chunk") * F.col("per")).alias("copies")).withColumn("run", F.col("size") * F.col("copies"))
+    sizes = stored(sizes, "sizes")
+    table = stored(recipe(sizes.select("source", F.col("run").alias("size")), weights), "recipe")
+    known = sizes.join(table, sizes["source"].eqNullSafe(table["source"])) \
+        .select("row", "doc_id", "size", "copy", "copies", "run", "number", "source_size", "target")
     n = sizes.count()
-    placed = _running(known, "number", F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(max(1, n // RUN_ROWS) * 4)), ["row"], "size", "first")
+    placed = _running(known, "number", F.pmod(F.xxhash64("row.a", "copy", F.lit(SEED)), F.lit(max(1, n // RUN_ROWS) * 4)), ["row", "copy"], "run", "first")
     placed = stored(placed, "placed")
-    used = slots(sizes, table).groupBy("number", "block").agg(F.count(F.when(F.col("cut") == 0, 1)).alias("times"), F.max("cut").alias("cut"))
-    low, high = F.expr(f"first div {BLOCK_WORDS}"), F.expr(f"(first + size - 1) div {BLOCK_WORDS}")
+    whole = F.col("cut") == 0
+    used = slots(table).groupBy("number", "block").agg(                       # a block has MAX_REPEATS slots at most
+        F.sort_array(F.collect_list(F.when(whole, F.col("shard")))).alias("shards"), F.max(F.when(~whole, F.col("shard"))).alias("cut_shard"), F.max("cut").alias("cut"))
+    low, high = F.expr(f"first div {BLOCK_WORDS}"), F.expr(f"(first + run - 1) div {BLOCK_WORDS}")
     start = F.greatest(F.col("first"), F.col("block") * BLOCK_WORDS)
-    pieces = (placed.filter("size > 0").select("row", "number", "first", "size", F.explode(F.sequence(low, high)).alias("block"))
-              .withColumn("at", start - F.col("first"))
-              .withColumn("words", F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * BLOCK_WORDS) - start)
-              .join(used.hint("merge"), ["number", "block"], "left")   # as many rows as blocks: not one to broadcast
-              .withColumn("times", F.coalesce("times", F.lit(0)))
-              .withColumn("more", F.least("words", F.greatest(F.coalesce("cut", F.lit(0)) - (start - F.col("block") * BLOCK_WORDS), F.lit(0)))))
-    piece = lambda at, words, times: F.struct(at.alias("at"), words.alias("words"), times.alias("times"))
-    parts = F.array(piece(F.col("at"), F.col("more"), F.col("times") + 1),     # words in the part of the block that the last slot takes
-                    piece(F.col("at") + F.col("more"), F.col("words") - F.col("more"), F.col("times")))
-    pieces = pieces.select("row", "block", F.inline(F.filter(parts, lambda p: p["words"] > 0)))
+    runs = (placed.filter("run > 0").select("row", "number", "first", "size", "run", "copy", F.explode(F.sequence(low, high)).alias("block"))
+            .withColumn("lo", start - F.col("first"))
+            .withColumn("hi", F.least(F.col("first") + F.col("run"), (F.col("block") + 1) * BLOCK_WORDS) - F.col("first"))
+            .join(used.hint("merge"), ["number", "block"], "left"))           # as many rows as blocks: not one to broadcast
+    # the copies that lie in a block, and of each the words in the part that the last slot takes, then the others
+    runs = runs.withColumn("k", F.explode(F.sequence(F.expr("lo div size"), F.expr("(hi - 1) div size"))))
+    begin, stop = F.greatest("lo", F.col("k") * F.col("size")), F.least("hi", (F.col("k") + 1) * F.col("size"))
+    border = F.least(stop, F.greatest(begin, F.col("block") * BLOCK_WORDS + F.coalesce("cut", F.lit(0)) - F.col("first")))
+    shards = F.coalesce("shards", F.array().cast("array<bigint>"))
+    both = F.when(F.col("cut_shard").isNotNull(), F.array_append(shards, F.col("cut_shard"))).otherwise(shards)
+    piece = lambda a, b, by: F.struct((a - F.col("k") * F.col("size")).alias("at"), (b - a).alias("words"), F.size(by).cast("long").alias("times"), by.alias("shards"))
+    parts = F.array(piece(begin, border, both), piece(border, stop, shards))
+    pieces = runs.select("row", (F.col("copy") + F.col("k")).alias("copy"), "block", F.inline(F.filter(parts, lambda p: p["words"] > 0)))
     return placed, pieces
 
 
+def _each(placed: DataFrame, *columns: str) -> DataFrame:
+    """One row for each document."""
+    return placed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))) \
+        .select("row", *columns, (F.col("copy") + F.col("_k")).alias("copy"))
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """One row per document (doc_id long, text string, source string; other columns are ignored): doc_id, size, source_size,
-    target, taken (words of it that the mix takes, repeats counted).
+    """One row for each row of ``docs`` (doc_id long, text string, source string; other columns are ignored): doc_id, size,
+    source_size, target, taken (words of it that the mix takes, repeats counted), shards (those that hold any of them).
 
-    Null and empty texts have no words and are not taken; a null source is a source of its own, the last one; rows that are
-    equal in id, source and text are one document; an empty table gives no rows. The same input gives the same mix.
+    Null and empty texts have no words and are not taken; a null source is a source of its own, the last one; rows that repeat
+    are documents of their own, as are rows without an id; an empty table gives no rows. The same input gives the same mix.
     """
     placed, pieces = plan(docs, weights)
-    taken = pieces.groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    return placed.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    taken = pieces.filter("times > 0").groupBy("row", "copy").agg(
+        F.sum(F.col("words") * F.col("times")).alias("taken"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("shards")))).alias("shards"))
+    return _each(placed, "doc_id", "size", "source_size", "target").join(taken, ["row", "copy"], "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("shards", F.array().cast("array<bigint>")).alias("shards"))
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,10 +284,14 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """``docs`` as the mix takes them: a document's text holds what each pass over its source takes of it, passes on lines of
-    their own; documents of which nothing is taken go. ``n_chars``, if there is one, follows the new text."""
-    _, pieces = plan(docs, weights)
-    uses = pieces.filter("times > 0").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "words", "times"))).alias("uses"))
+    their own; documents of which nothing is taken go. ``n_chars``, if there is one, follows the new text. Each row that
+    repeats is taken for itself; null and empty texts go; an empty table stays empty."""
+    _, pieces = plan(docs, weights, every=True)
+    uses = pieces.filter("times > 0").groupBy("row", "copy").agg(F.sort_array(F.collect_list(F.struct("at", "words", "times"))).alias("uses"))
+    names = [f.name for f in docs.schema.fields]
     texts = docs.withColumn("text", F.col("text").cast("string"))
-    out = keyed(texts, "__row").join(uses.toDF("__row", "__uses"), "__row").select(*docs.columns, "__uses")
+    # equal rows are equal in all columns: one of them stands for each copy
+    one = keyed(texts, "__row", every=True).dropDuplicates(["__row"])
+    out = one.join(uses.select(F.col("row").alias("__row"), F.col("uses").alias("__uses")), "__row").select(*[F.col(f"`{c}`") for c in names], "__uses")
     out = out.mapInArrow(_rebuild, texts.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

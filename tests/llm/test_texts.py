@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -322,7 +323,7 @@ def test_mixing(spark, docs, none, table):
     assert all(abs(taken[s] - target[s]) < 0.03 * target[s] for s in sizes)
     assert got == by_id(queries.op3_mix_sources(spark, "/root/testdata/sf0.01"))
     odd = mixing.mix_sources(docs).collect()
-    assert len(odd) == len(RAW) - 1                          # the row that repeats is one document
+    assert len(odd) == len(RAW)                              # each row that repeats is a document
     assert all(r.taken <= 3 * r.size for r in odd) and mixing.mix_sources(none).collect() == []
 
 
@@ -356,10 +357,90 @@ def test_inverse_permutations():
 
 
 def test_mixed_texts_hold_what_was_taken(docs):
-    taken = {(r.doc_id, r.size): r.taken for r in mixing.mix_sources(docs).collect()}
-    out = mixing.mixed(docs).collect()
-    assert out and all(len(words(r.text)) == taken[r.doc_id, len(words(t))] for r in out
-                       for t in [next(x for i, x, s in RAW if i == r.doc_id and s == r.source)])
+    taken = collections.Counter((r.doc_id, r.size, r.taken) for r in mixing.mix_sources(docs).collect() if r.taken)
+    out = collections.Counter()
+    for r in mixing.mixed(docs).collect():
+        t = next(x for i, x, s in RAW if i == r.doc_id and s == r.source)
+        out[r.doc_id, len(words(t)), len(words(r.text))] += 1
+    assert out and out == taken
+
+
+def test_no_row_is_lost(spark):
+    rows = [(1, None, "alpha"), (1, "alpha", None), (None, None, "beta"), (None, "beta", None), (2, "s", "x y z"), (2, "s", "x y z"), (3, "s", "x y z")]
+    df = spark.createDataFrame([(i, t, s, {"a": 1}) for i, s, t in rows], "doc_id long, text string, source string, more map<string,int>")
+    got = mixing.mix_sources(df).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.size) for r in got) == sorted((i is None, i or 0, len(words(t))) for i, _, t in rows)
+    texts = mixing.mixed(df).collect()
+    assert sum(len(words(r.text)) for r in texts) == sum(r.taken for r in got)
+    assert all(r.more == {"a": 1} for r in texts)
+
+
+def plain_mix(placed, weights=mixing.WEIGHTS):
+    """taken and shards of each (row, copy), slot by slot and word by word."""
+    number = {r.number: (r.source_size, r.target) for r in placed}
+    one = lambda i, n, s, turn: int(mixing.permute(np.array([i]), np.array([n]), mixing._key(np.array([s]), np.array([turn])))[0])
+    where, upto, before = {}, 0.0, 0
+    for r in placed:
+        for k in range(r.copies):
+            for j in range(r.size):
+                where[r.number, r.first + k * r.size + j] = (r.row, r.copy + k)
+    need, ends = [], []
+    for s in range(max(number, default=-1) + 1):
+        size, target = number.get(s, (0, 0.0))
+        upto += target
+        words_due = min(max(math.floor(upto + 0.5) - before, math.floor(target + 1e-6)), math.ceil(target - 1e-6))
+        before = math.floor(upto + 0.5)
+        n, got, slot, last = -(-size // mixing.BLOCK_WORDS), 0, 0, 0
+        while got < words_due:
+            block = one(slot % n, n, s, slot // n)
+            length = min(size, (block + 1) * mixing.BLOCK_WORDS) - block * mixing.BLOCK_WORDS
+            last = min(length, words_due - got)
+            got, slot = got + last, slot + 1
+        need.append(slot)
+        ends.append(last)
+    taken, shards = collections.Counter(), collections.defaultdict(set)
+    total = sum(need)
+    for shard, numbers, first, counts in mixing.draw(np.array(need, np.int64), 0, -(-total // mixing.SHARD_SLOTS), mixing.SHARD_SLOTS, mixing.split):
+        for s, f, c in zip(numbers.tolist(), first.tolist(), counts.tolist()):
+            size, _ = number[s]
+            n = -(-size // mixing.BLOCK_WORDS)
+            for slot in range(f, f + c):
+                block = one(slot % n, n, s, slot // n)
+                stop = min(size, (block + 1) * mixing.BLOCK_WORDS)
+                if slot == need[s] - 1:
+                    stop = block * mixing.BLOCK_WORDS + ends[s]
+                for at in range(block * mixing.BLOCK_WORDS, stop):
+                    taken[where[s, at]] += 1
+                    shards[where[s, at]].add(shard)
+    return taken, shards
+
+
+def test_mix_against_a_plain_version(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{j}" for j in range(int(n))), f"s{i % 7}" if i % 11 else None) for i, n in enumerate(rng.integers(0, 400, 120))]
+    rows += [(500, "a b c d e", "s1")] * 90 + [(None, "x y", "tiny")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 24)
+    monkeypatch.setattr(mixing, "DRAW_SHARDS", 3)
+    monkeypatch.setattr(mixing, "COPY_WORDS", 100)
+
+    def mixture():
+        placed, pieces = mixing.plan(df)
+        placed = placed.collect()
+        taken, shards = plain_mix(placed)
+        got, held = collections.Counter(), collections.defaultdict(set)
+        for p in pieces.collect():
+            got[p.row, p.copy] += p.words * p.times
+            held[p.row, p.copy] |= set(p.shards) if p.times else set()
+        assert +got == taken and {k: v for k, v in held.items() if v} == dict(shards)
+        return sorted((r.doc_id or -1, r.size, r.taken, r.shards) for r in mixing.mix_sources(df).collect())
+
+    once = mixture()
+    assert len(once) == len(rows) and sum(t for _, _, t, _ in once) == sum(taken for taken in (len(words(t)) for _, t, _ in rows))
+    assert max(max(s, default=0) for *_, s in once) > 3
+    # all slots of the first sources before those of the others: the shards hold other words
+    monkeypatch.setattr(mixing, "split", lambda number, counts, left, seed: np.diff(np.minimum(np.cumsum(counts), left), prepend=0))
+    assert mixture() != once
 
 
 def test_permutations_and_draws():
@@ -367,5 +448,19 @@ def test_permutations_and_draws():
         n = np.arange(blocks)
         got = mixing.permute(n, np.full(blocks, blocks), np.full(blocks, 99, np.uint64))
         assert sorted(got.tolist()) == n.tolist()
-    share = np.array([0.5, 0.3, 0.2])
-    assert all(mixing.draw(s, 101, share).sum() == 101 and (mixing.draw(s, 101, share) >= [50, 30, 20]).all() for s in range(20))
+    need = np.array([5000, 0, 3000, 20, 12001])
+    n = int(need.sum())
+    shards = list(mixing.draw(need, 0, -(-n // mixing.SHARD_SLOTS), mixing.SHARD_SLOTS))
+    assert [s for s, *_ in shards] == list(range(5)) and [int(c.sum()) for *_, c in shards] == [4096] * 4 + [n - 4 * 4096]
+    total = np.zeros(5, np.int64)
+    for _, number, first, counts in shards:
+        assert (first == total[number]).all() and (counts > 0).all()
+        total[number] += counts
+        if counts.sum() == 4096:                             # as a multinomial draw: near the share, not at it
+            assert abs(int(counts[0]) - 4096 * 5000 / n) < 6 * 32
+    assert (total == need).all() and len({int(c[0]) for _, _, _, c in shards[:4]}) > 1
+    part = list(mixing.draw(need, 2, 4, mixing.SHARD_SLOTS))                     # any task draws its shards without the others
+    assert [(s, a.tolist(), b.tolist(), c.tolist()) for s, a, b, c in part] == [(s, a.tolist(), b.tolist(), c.tolist()) for s, a, b, c in shards[2:4]]
+    huge = np.array([4 * 10**9, 10**9, 3])
+    left = mixing.split(np.arange(3), huge, 2 * 10**9, (0, 2))
+    assert left.sum() == 2 * 10**9 and (left <= huge).all() and abs(left[0] - 1.6 * 10**9) < 2
