@@ -23,26 +23,34 @@ STOP_WORDS = (
 GRAM = 5
 
 
+#: Letters beyond ASCII of the languages that the stop words cover.
+LETTERS = "ÀÂÄÆÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜàâäæçèéêëìíîïñòóôöùúûüßÿœŒ¿¡"
+#: A text is in a script (or a language) that the rules know if it has at most so many bytes of other characters a character.
+FOREIGN = 0.02
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Keep a document if low <= metric <= high; it applies from ``from_words`` words on."""
+    """Keep a document if low <= metric <= high; it applies from ``from_words`` words on. ``known``: it applies to
+    texts in the scripts that the word list covers only; elsewhere words are longer or shorter, and stop words others."""
 
     name: str
     low: float | None
     high: float | None
     from_words: int = 10
+    known: bool = False
 
 
 #: metric, least, most, words from which the rule holds
 RULES = (
     Rule("n_words", 10, None, 0),
-    Rule("word_length", 2.0, 12.0),
+    Rule("word_length", 2.0, 12.0, known=True),
     Rule("symbol_ratio", None, 0.10),
-    Rule("upper_ratio", None, 0.50),
+    Rule("upper_ratio", None, 0.50, known=True),
     Rule("exclamation_ratio", None, 0.50),
     Rule("line_ratio", None, 0.50),
     Rule("echo_ratio", None, 0.30),
-    Rule("stop_word_ratio", 0.01, None, 100),
+    Rule("stop_word_ratio", 0.01, None, 100, known=True),
 )
 
 
@@ -62,7 +70,7 @@ def counts(docs: DataFrame) -> DataFrame:
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     step = lambda a, p: F.struct((a["n"] + F.lit(GRAM) - F.greatest(F.lit(0), a["end"] - p)).alias("n"),
                                  (p + F.lit(GRAM)).alias("end"))
-    return (docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").cast("long"), text.alias("body"))
+    return (docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), F.col("doc_id").cast("long"), text.alias("body"))
             .withColumn("words", words)
             .withColumn("n_words", F.size("words"))
             .withColumn("grams", F.when(F.col("n_words") > GRAM, gram).otherwise(F.array().cast("array<bigint>")))
@@ -77,6 +85,8 @@ def counts(docs: DataFrame) -> DataFrame:
                 (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
                 F.coalesce(F.aggregate("places", start, step, lambda a: a["n"]), F.lit(0)).alias("n_repeat_words"),
                 F.size("lines").alias("n_lines"),
+                # bytes beyond one a character, but for those of the known letters (two bytes each)
+                (F.octet_length("body") - F.length("body") - (F.length("body") - _without(F.col("body"), LETTERS))).alias("n_foreign"),
                 (F.length("body") - _without(F.col("body"), "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÇÈÉÊÍÑÓÔÖÚÜ")).alias("n_upper"),
                 (F.length("body") - _without(F.col("body"), "!")).alias("n_exclamations"),
                 F.size(F.filter("words", lambda x: F.lower(x).isin(*STOP_WORDS))).alias("n_stop_words"),
@@ -105,7 +115,10 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
             ok = ok & (value >= r.low)
         if r.high is not None:
             ok = ok & (value <= r.high)
-        out = out & (ok | (F.col("n_words") < r.from_words))
+        spared = F.col("n_words") < r.from_words
+        if r.known:
+            spared = spared | (F.col("n_foreign") > FOREIGN * F.col("word_chars"))
+        out = out & (ok | spared)
     return F.coalesce(out, F.lit(False))
 
 
@@ -118,7 +131,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     n_symbols, n_dup_lines, n_repeat_words (long), base_failed, kept (boolean).
 
     base_failed: fewer than 10 words, or over 20 % of the words lie in 5-word windows that occur twice or more in the
-    text. kept: not base_failed and within all thresholds. Null and empty texts have no words and fail; rows
+    text. kept: not base_failed and within all thresholds that apply to its length and script. Null and empty texts have no words and fail; rows
     that repeat are judged alike; an empty table gives no rows.
     """
     out = counts(docs)

@@ -185,6 +185,22 @@ def test_rules_keep_clean_documents(spark):
     assert all(r["kept"] for r in got if labels.get(r["doc_id"]) == 1 and not r["base_failed"])
 
 
+def test_rules_leave_other_scripts_and_languages_alone(spark):
+    """Prose of 100 words and more in scripts and languages without a word list; junk in them goes by the other rules."""
+    rng = np.random.default_rng(8)
+    some = lambda letters, n, low, high: " ".join("".join(rng.choice([*letters], rng.integers(low, high))) for _ in range(n))
+    texts = {"russian": some("абвгдежзиклмнопрстуфхцчшыьэюя", 160, 2, 11), "greek": some("αβγδεζηθικλμνξοπρστυφχψω", 160, 2, 11),
+             "polish": some("aeioyąęółśżćńrwkmtzpdnls", 180, 2, 11), "chinese": some("的一是不了人我在有他这中大来上国", 12, 14, 40)}
+    clean = "the cat is on the mat and it was with us for a day in the house of my friend " * 1
+    junk = {"symbols": " ".join(w + "%%%" for w in texts["russian"].split()), "loud": " ".join(f"{w}!" for w in texts["greek"].split()),
+            "long": some("abcdefgh", 120, 20, 30), "no stop words": some("abcdefgh", 120, 4, 9), "upper": clean.upper()}
+    rows = [(n, i, t) for i, (n, t) in enumerate([*texts.items(), ("clean", clean), *junk.items()])]
+    df = spark.createDataFrame([(i, t, n) for n, i, t in rows], "doc_id long, text string, `a.b c` string")
+    kept = {rows[r.doc_id][0] for r in rules.quality_rules(df).collect() if r.kept}
+    assert kept == {*texts, "clean"}
+    assert {r["a.b c"] for r in rules.passing(df).collect()} == kept
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
         "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
