@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by vantage-point trees.
 
-Vectors are dealt to cells, each around the nearest of at most ``CENTERS`` centers (vectors drawn by hash; this is the only
-sample), and a cell to shards of about ``SHARD_ROWS`` vectors. Every row is in a shard. A shard builds its vantage-point tree and
+Vectors are dealt to cells, each around the nearest of the centers (vectors drawn by hash; this is the only sample; their
+number grows with the root of the rows, so that cells and centers stay in balance), and a cell to shards of about ``SHARD_ROWS`` vectors. Every row is in a shard. A shard builds its vantage-point tree and
 searches it for the queries sent to it. A query first visits the cell it lies in; the distance of its k-th neighbour
 there prunes cells by the triangle inequality, and the rest is visited in a second pass.
 
@@ -13,6 +13,7 @@ Equal vectors are one entry with its ``k + 1`` smallest ids, since no other copy
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,9 @@ from pyspark.sql.window import Window
 
 from sparkfolio.llm.spark_env import prepare, stored
 
-CENTERS = 128
+#: Fewest rows of a cell on average, and centers for each root of the number of vectors.
 CELL_ROWS = 1000
+CENTERS = 0.5
 SHARD_ROWS = 8192
 LEAF = 32
 FACTOR = 1.5
@@ -33,11 +35,17 @@ FACTOR = 1.5
 def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Euclidean distances in double precision, from differences."""
     out = np.empty((len(queries), len(points)))
-    for at in range(0, len(queries), 64):
-        out[at:at + 64] = np.sqrt(((queries[at:at + 64, None] - points[None]) ** 2).sum(-1))
+    step = min(64, max(1, (1 << 22) // max(1, points.size)))
+    for at in range(0, len(queries), step):
+        out[at:at + step] = np.sqrt(((queries[at:at + step, None] - points[None]) ** 2).sum(-1))
     return out
 
 
+def n_centers(n: int) -> int:
+    """Centers for ``n`` vectors."""
+    return max(1, min(n // CELL_ROWS, math.ceil(CENTERS * math.sqrt(n))))
+
+
 class VPTree:
     """Vantage-point tree over ``points``; equal distances are ordered by ``ids``."""
 
@@ -144,8 +152,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float =
     classes = stored(all_rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1).groupBy("embedding").agg(
         F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("least", F.element_at("ids", 1)), "vectors")
     n = classes.count()
-    few = max(1, min(CENTERS, n // CELL_ROWS))
-    centers = [np.array(r.embedding) for r in classes.orderBy(F.xxhash64("least"), "least").limit(few).collect()]
+    centers = [np.array(r.embedding) for r in classes.orderBy(F.xxhash64("least"), "least").limit(n_centers(n)).collect()]
 
     def to_centers(column: pd.Series) -> np.ndarray:
         """Distances to the centers of the same length (infinite to others; the first center if there is none)."""
@@ -172,7 +179,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float =
         "part", F.pmod(F.xxhash64("least"), F.col("parts")).cast("int")).select("dim", "cell", "part", "embedding", "ids", "least")
     shards = stored(shards, "shards")
     asked = stored(usable(queries).select(F.col("vec_id").alias("query_id"), "embedding").distinct(), "queries")
-    small = cells.groupBy("cell").agg(F.max("radius").alias("radius")).collect()          # at most CENTERS rows
+    small = cells.groupBy("cell").agg(F.max("radius").alias("radius")).collect()          # a row for each center
     radius = np.full(max(1, len(centers)), -np.inf)
     for r in small:
         radius[r.cell] = r.radius

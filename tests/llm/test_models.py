@@ -49,6 +49,20 @@ def test_tree_with_ties_and_copies(spark, factor):
     assert vptree.nearest(df.limit(0), df.limit(0)).collect() == []
 
 
+def test_recall_with_many_centers(spark, monkeypatch):
+    """Centers by the root of the rows, the bound on small cells lifted: recall on clustered and on spread vectors."""
+    assert [vptree.n_centers(n) for n in (0, 500, 50_000, 10**6, 10**8)] == [1, 1, 50, 500, 5000]
+    monkeypatch.setattr(vptree, "CELL_ROWS", 1)
+    rng = np.random.default_rng(6)
+    for x in (rng.normal(size=(4000, 16)), rng.normal(size=(40, 16))[rng.integers(0, 40, 4000)] + 0.2 * rng.normal(size=(4000, 16))):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        ids, found = np.arange(len(x)), {}
+        for r in vptree.nearest(df, df.filter("vec_id % 100 = 0")).collect():
+            found.setdefault(r.query_id, set()).add(r.vec_id)
+        hits = sum(len(found[q] & {a for a, _ in brute(ids, x, q, 10)}) for q in range(0, len(x), 100))
+        assert hits >= 0.95 * 10 * (len(x) // 100)
+
+
 def test_large_factor_prunes():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(2000, 8))
@@ -130,3 +144,38 @@ def test_class_prior_of_a_mixture():
     rng = np.random.default_rng(4)
     good, bad = rng.normal(2, 1, 20000), rng.normal(-2, 1, 6000)
     assert pu_quality.class_prior(good, np.concatenate((rng.normal(2, 1, 14000), bad))) == pytest.approx(0.7, abs=0.05)
+
+
+def test_sums_of_the_risk_and_its_slopes(spark):
+    rng = np.random.default_rng(9)
+    x, kind = rng.random((300, len(pu_quality.NAMES))) * 0.8, rng.random(300) < 0.3
+    sums = pu_quality.Sums(spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, kind)], "x array<double>, kind int").repartition(4))
+    s, w = pu_quality.steps(x), rng.normal(size=1 + len(pu_quality.NAMES) * len(pu_quality.KNOTS))
+    assert sums.counts().tolist() == [(~kind).sum(), kind.sum()]
+    for k in (0, 1):
+        z, rows = s[kind == k] @ w, s[kind == k]
+        q = 1 / (1 + np.exp(-z))
+        loss, slope, bend = (part[k] for part in sums.slopes(w))
+        assert np.allclose(loss, [np.log1p(np.exp(z)).sum(), np.log1p(np.exp(-z)).sum()])
+        assert np.allclose(slope, [q @ rows, (1 - q) @ rows]) and np.allclose(bend, (rows.T * (q * (1 - q))) @ rows)
+        assert np.allclose(sums.losses([w, 0 * w])[k], [loss[0], len(z) * np.log(2), loss[1], len(z) * np.log(2)])
+        assert (sums.tails(w)[k] == pu_quality._bins(z)).all()
+
+
+def test_newton_ends_where_the_risk_is_flat(spark):
+    """The risk that is minimised, plainly: nothing near the result is lower."""
+    rng = np.random.default_rng(10)
+    x = np.vstack([rng.random((400, len(pu_quality.NAMES))) * 0.3, rng.random((200, len(pu_quality.NAMES)))])
+    kind = np.append(np.ones(150, int), np.zeros(450, int))
+    sums = pu_quality.Sums(spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, kind)], "x array<double>, kind int"))
+    s, n = pu_quality.steps(x), sums.counts()
+    for prior in (None, 0.3, 0.6):
+        w = pu_quality._newton(sums, n, prior)
+
+        def risk(v):
+            p, u = s[kind == 1] @ v, s[kind == 0] @ v
+            soft = lambda z: np.logaddexp(0, z).mean()
+            base = soft(-p) + soft(u) if prior is None else prior * soft(-p) + max(0.0, soft(u) - prior * soft(p))
+            return base + pu_quality.DECAY / 2 * (v @ v)
+        best = risk(w)
+        assert all(best <= risk(w + 0.05 * rng.normal(size=len(w))) + 2 / pu_quality.SHARP for _ in range(200))
