@@ -30,13 +30,14 @@ SEPARATORS = ".-_*~'"
 SIGN_COST = 1.0
 PREFIXES = (4, 5, 6)
 PRIOR_DOCS = 2.0
-#: Most features kept (the strongest), so that the lexicon sent to all tasks is bounded.
-MAX_FEATURES = 20_000
 ERROR = 0.05
-#: Most labelled documents learnt from: those of the smallest hash of doc_id. Their ids are what is broadcast.
+#: Most labelled documents learnt from: those of the smallest hash of doc_id. Their ids are what is broadcast; the lexicon is of
+#: their words, those that the labels rule out as chance.
 MAX_LABELS = 20_000
 
-_N = 28                                                      # 0: outside a word, 1-26: a-z, 27: other letters
+#: Codes of characters. 0: outside a word, 1-26: a-z, 27: characters beyond, 28 on: the Latin-1 letters from ß to ÿ.
+_N = 61
+_CODES = {" ": 0, **{chr(97 + i): 1 + i for i in range(26)}, **{chr(0xDF + i): 28 + i for i in range(33)}}
 _CODE = np.full(256, 0, np.uint8)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[65:91] = np.arange(1, 27)
@@ -57,14 +58,20 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(_N ** 3, np.int64)
     for batch in batches:
         for _, _, words in slices(batch.column("text")):
-            code = np.insert(_CODE[words.data].astype(np.int64), words.bounds[:-1], 0)
+            data, code = words.data, _CODE[words.data].astype(np.int64)
+            if len(data) > 1:                                # a letter of two bytes is one character
+                letter = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0)
+                low = data[1:][letter] & 0x3F
+                code[:-1][letter] = 28 + np.where(low < 0x1F, low + 0x20, low) - 0x1F
+            bounds = np.append(0, np.cumsum((data & 0xC0) != 0x80))[words.bounds]
+            code = np.insert(code[(data & 0xC0) != 0x80], bounds[:-1], 0)
             total += np.bincount(code[:-2] * _N * _N + code[1:-1] * _N + code[2:], minlength=_N ** 3) if len(code) > 2 else 0
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
 
 def language_model(docs: DataFrame) -> np.ndarray:
-    """log P(third | first two), add-one smoothed; ``_N ** 3`` numbers at any size of the corpus."""
+    """log P(third | first two) from all texts, add-one smoothed: ``_N ** 3`` numbers, whatever the size of the corpus."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("text").cast("string")).mapInArrow(_trigrams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     count = np.ones(_N ** 3)
@@ -76,13 +83,17 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each place of a lower-cased token: the strings it may stand for, with their cost. A blank ends a word."""
-    out, at = [], 0
-    separates = lambda c: c in SEPARATORS or c.isspace()
-    while at < len(token):
-        c, run = token[at], 1
-        while at + run < len(token) and (token[at + run] == c or (separates(c) and separates(token[at + run]))):
-            run += 1
-        letters = SIGNS.get(c)
+    out, at, n = [], 0, len(token)
+    while at < n:
+        c, end = token[at], at + 1
+        apart = not c.isalnum() and (c in SEPARATORS or c.isspace())
+        if apart:
+            while end < n and (token[end] in SEPARATORS or token[end].isspace()):
+                end += 1
+        else:
+            while end < n and token[end] == c:
+                end += 1
+        run, letters = end - at, SIGNS.get(c)
         if letters:
             choice = [(x, SIGN_COST) for x in letters]
             if run == 2:
@@ -90,22 +101,32 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             elif run > 2:
                 choice += [(x * 2, SIGN_COST) for x in letters]
             out.append(choice)
-        elif separates(c):
+        elif apart:
             out.append([("", 0.0), (" ", 0.0)])
         elif run >= 2:
             out.append([(c, 0.0), (c * 2, 0.0)])
         else:
             out.append([(c, 0.0)])
-        at += run
+        at = end
     return out
 
 
 def restore(token: str, model: np.ndarray | list) -> str:
     """The Viterbi path through the lattice of a token: a word, or words with blanks between them."""
-    code = lambda c: ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27
+    code = _CODES.get
     states = {(0, 0): (0.0, None)}
     for pieces in lattice(token):
-        choice = [(piece, extra, [code(c) for c in piece]) for piece, extra in pieces]
+        if len(pieces) == 1 and len(pieces[0][0]) == 1:      # one character, one way
+            piece, extra = pieces[0]
+            z = code(piece, 27)
+            new = {}
+            for (a, b), (cost, path) in states.items():
+                total, have = cost + extra - model[a][b][z], new.get((b, z))
+                if have is None or total < have[0]:
+                    new[b, z] = (total, (path, piece))
+            states = new
+            continue
+        choice = [(piece, extra, [code(c, 27) for c in piece]) for piece, extra in pieces]
         new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, path) in states.items():
             for piece, extra, codes in choice:
@@ -154,6 +175,34 @@ def features(text: str, model: np.ndarray | list, known: dict[str, set[str] | fr
     return words | {f"{w[:n]}*" for n in PREFIXES for w in words if len(w) > n}
 
 
+def strongest(text: str, model: np.ndarray | list, lexicon: dict[str, float], base: float, known: dict[str, float]) -> float:
+    """The score of the strongest feature of a text, ``base`` without any; ``known`` remembers scores by token. Words lie
+    within tokens, so the tokens' features are the text's, but for words that are spelt apart."""
+    text, get = text.lower(), lexicon.get
+    tokens = set(_TOKEN.findall(text))
+    if not tokens:
+        return base
+
+    def score(words: set[str]) -> float:
+        return max((get(f, base) for w in words for f in (w, *(f"{w[:n]}*" for n in PREFIXES if len(w) > n))), default=-1.0)
+
+    out = -1.0
+    for token in tokens:
+        have = known.get(token)
+        if have is None:
+            words = set(_WORD.findall(token))
+            have = score(words | _meant(token, model) if _NOISY.search(token) else words)
+            if len(known) >= KNOWN:
+                known.clear()
+            if len(token) <= 64:
+                known[token] = have
+        if have > out:
+            out = have
+    for m in _APART.finditer(text):
+        out = max(out, score(set(_WORD.findall(restore(m.group(), model)))))
+    return out if out >= 0 else base
+
+
 def learn(texts: DataFrame, model: np.ndarray | list) -> tuple[dict[str, float], float]:
     """(feature -> share of toxic documents, score of a text without evidence) from rows (text, toxic 0/1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +228,7 @@ def learn(texts: DataFrame, model: np.ndarray | list) -> tuple[dict[str, float],
     gain = F.col("n") * (part(rate, share) + part(1 - rate, 1 - share))
     counts = stored(counts.withColumn("gain", gain), "features")
     number = counts.agg(F.count(F.lit(1))).first()[0]
-    strong = counts.filter((rate > share) & (F.col("gain") >= math.log(number / ERROR))).orderBy(F.desc("gain"), "feature").limit(MAX_FEATURES)
+    strong = counts.filter((rate > share) & (F.col("gain") >= math.log(number / ERROR)))
     return {r.feature: (r.t + PRIOR_DOCS * share) / (r.n + PRIOR_DOCS) for r in strong.collect()}, share / 4
 
 
@@ -199,9 +248,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     lexicon, base = learn(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, known = lexicon.get, {}
+        known: dict[str, float] = {}
         for batch in batches:
-            score = [max((get(f, base) for f in features(t.as_py(), model, known)), default=base) for t in batch.column("text")]
+            score = [strongest(t.as_py(), model, lexicon, base, known) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
 
     return texts.mapInArrow(run, "doc_id long, score double").select(

@@ -179,3 +179,45 @@ def test_newton_ends_where_the_risk_is_flat(spark):
             return base + pu_quality.DECAY / 2 * (v @ v)
         best = risk(w)
         assert all(best <= risk(w + 0.05 * rng.normal(size=len(w))) + 2 / pu_quality.SHARP for _ in range(200))
+
+
+def test_score_by_tokens_is_the_score_by_features(spark):
+    """Against all features of the text, and the Viterbi path against every path of the lattice."""
+    text = " ".join(["he is a stupid idiot and you are a moron but the clown is a loser, a pédant in a café, groß"] * 50)
+    model = toxicity.language_model(spark.createDataFrame([(text,)], "text string"))
+    lists = model.tolist()
+    lexicon = {"idiot": 0.9, "stup*": 0.8, "pédant": 0.7, "los*": 0.02, "clown": 0.3}
+    texts = ["", "  ", "!!!", "nothing here", "1d!0t", "a loser", "loser", "i d i o t", "p é d 4 n t s", "Stuupidity", "c-l-o-w-n 123", "los", "x" * 100 + " idiot"]
+    for known in ({}, None):
+        for t in texts:
+            want = max((lexicon.get(f, 0.1) for f in toxicity.features(t, lists)), default=0.1)
+            assert toxicity.strongest(t, lists, lexicon, 0.1, {} if known is None else known) == want, t
+
+    def cost(word):
+        out, (a, b) = 0.0, (0, 0)
+        for c in [toxicity._CODES.get(x, 27) for x in word] + [0] * bool(word):
+            out -= lists[a][b][c]
+            a, b = b, c
+        return out
+    for token in ("1d10t", "stuupid", "c.l.o.w.n", "lo$$er", "grröß", "m0r0n", "aabb"):
+        paths = [("", 0.0)]
+        for pieces in toxicity.lattice(token):
+            paths = [(w + x, c + extra) for w, c in paths for x, extra in pieces]
+        best = min(c + cost(w) for w, c in paths)
+        got = toxicity.restore(token, lists)
+        assert any(w.strip() == got and abs(c + cost(w) - best) < 1e-9 for w, c in paths), token
+
+
+def test_trigrams_count_characters(spark):
+    rows = spark.createDataFrame([("É é\ngroß",), (None,), ("日本x",)], "text string")
+    counts = np.zeros(toxicity._N ** 3, np.int64)
+    for r in rows.select("text").mapInArrow(toxicity._trigrams, "gram long, n long").collect():
+        counts[r.gram] += r.n
+    code = lambda c: toxicity._CODES.get(c, 0 if c.isascii() else 27)
+    want = np.zeros_like(counts)
+    for text in ("é é\ngroß", "日本x"):
+        x = [0, *map(code, text)]
+        for a, b, c in zip(x, x[1:], x[2:], strict=False):
+            want[(a * toxicity._N + b) * toxicity._N + c] += 1
+    inside = want > 0
+    assert (counts[inside] >= want[inside]).all() and counts.sum() - want.sum() <= 4      # texts of a batch stand one after the other
