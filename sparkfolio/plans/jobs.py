@@ -219,6 +219,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     s.add_argument("--fundamentals-table", required=True)
     s.add_argument("--fundamentals-root", required=True)
     s.add_argument("--run-date", required=True)
+    s.add_argument("--dt", help="run date of the landed documents; * for all")
+    s.add_argument("--keep-versions", type=int)
+    s.add_argument("--quarantine", help="table for broken documents and undeclared fields")
     g = sub.add_parser("gold")
     g.add_argument("--prices", required=True)
     g.add_argument("--fundamentals-table", required=True)
@@ -245,8 +248,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "serving":
         print(serving_job(spark, a.out, a.database))
     elif a.job == "silver":
-        print(silver_prices_job(spark, a.bronze, a.prices, a.run_date))
-        print(silver_fundamentals_job(spark, a.bronze, a.fundamentals_table, a.fundamentals_root, a.run_date))
+        print(silver_prices_job(spark, a.bronze, a.prices, a.run_date, a.dt, quarantine_path=a.quarantine))
+        print(silver_fundamentals_job(spark, a.bronze, a.fundamentals_table, a.fundamentals_root, a.run_date, a.dt,
+                                      keep_versions=a.keep_versions, quarantine_path=a.quarantine))
     elif a.job == "gold":
         print(gold_job(spark, a.prices, a.fundamentals_table, a.gold, a.chunk_rows))
     else:

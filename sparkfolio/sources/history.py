@@ -81,7 +81,7 @@ def _write(spark: SparkSession, rows: DataFrame, root: str) -> list[Part]:
     place = f"{root.rstrip('/')}/parts/{run}"
     tagged = rows.select(*scd2.HISTORY_COLUMNS).withColumns({"_current": F.coalesce("is_current", F.lit(False)), "_period": _period()})
     tagged.hint("rebalance", "_current", "_period").write.partitionBy("_current", "_period").parquet(place)
-    written = spark.read.schema(f"{spark.createDataFrame([], SILVER_FUNDAMENTALS)._jdf.schema().toDDL()}, _current boolean, _period int").parquet(place)
+    written = spark.read.schema("_current boolean, _period int").parquet(place)          # footers and folder names alone
     counts = written.groupBy("_current", "_period").agg(F.count(F.lit(1)).alias("n")).collect()      # two for each year
 
     def folder(current: bool, period: int | None) -> str:
