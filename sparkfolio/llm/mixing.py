@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkfolio.llm.spark_env import prepare, stored
+from sparkfolio.llm.spark_env import map_texts, prepare, stored, values
 from sparkfolio.llm.words import mix, slices
 
 BLOCK_WORDS = 64
@@ -190,12 +190,9 @@ def keyed(docs: DataFrame, name: str = "row", every: bool = False) -> DataFrame:
     """``docs`` with the column ``name``: hashes that name equal rows alike in every run of a task. Rows are equal in id,
     source and text, or (``every``) in all columns. A null is a value of its own. Rows come in the same order either way."""
     known = [F.col(c).cast(t) for c, t in map(str.split, _KEY)]
-    rest = [F.to_json(F.struct(F.col(f"`{f.name}`").alias("c"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema.fields]
-
-    def both(columns: list[Column]) -> list[Column]:
-        return [x for c in columns for x in (c.isNull(), c)]
-    return docs.withColumn(name, F.struct(F.xxhash64(*both(known)).alias("a"), F.xxhash64(F.lit(SEED), *both(known)).alias("b"),
-                                          (F.xxhash64(*both(rest)) if every else F.lit(0).cast("long")).alias("c")))
+    known = [x for c in known for x in (c.isNull(), c)]
+    return docs.withColumn(name, F.struct(F.xxhash64(*known).alias("a"), F.xxhash64(F.lit(SEED), *known).alias("b"),
+                                          (F.xxhash64(*values(docs)) if every else F.lit(0).cast("long")).alias("c")))
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, every: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -293,5 +290,5 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     # equal rows are equal in all columns: one of them stands for each copy
     one = keyed(texts, "__row", every=True).dropDuplicates(["__row"])
     out = one.join(uses.select(F.col("row").alias("__row"), F.col("uses").alias("__uses")), "__row").select(*[F.col(f"`{c}`") for c in names], "__uses")
-    out = out.mapInArrow(_rebuild, texts.schema)
+    out = map_texts(out, _rebuild, keep=1)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

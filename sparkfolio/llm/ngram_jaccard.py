@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from sparkfolio.llm import postings as ps
 from sparkfolio.llm.graph import components
-from sparkfolio.llm.spark_env import prepare, stored, trim
+from sparkfolio.llm.spark_env import prepare, stored, trim, values
 from sparkfolio.llm.words import Words, mix, slices
 
 SHINGLE_WORDS = 5
@@ -245,7 +245,7 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT,
     ``apart`` treats the rows of a component that have no doc_id as a component of their own, so that one of them stays too.
     Rows without words are copies only of rows with the same id; those that have no id either all stay.
     """
-    by = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))       # the hash passes over nulls
+    by = F.xxhash64(*values(docs))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), by.alias("digest"))
     rows = _grouped(texts, k, percent)
     # rows that are equal in all columns are counted first, in partial sums: a document that repeats is not gathered
@@ -259,4 +259,4 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT,
     match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
     single = marked.join(chosen.filter("__n = 1"), match, "left_semi")
     repeated = marked.join(chosen.filter("__n > 1"), match, "left_semi").dropDuplicates(["doc_id", "__own"])
-    return single.unionByName(repeated).select(*docs.columns)
+    return single.unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))

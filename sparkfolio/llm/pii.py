@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfolio.llm.spark_env import prepare
+from sparkfolio.llm.spark_env import map_texts, prepare
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
@@ -205,6 +205,5 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced by the kind in brackets; null texts stay null, all rows stay,
     and ``n_chars``, if there is one, follows the new text."""
     prepare(docs.sparkSession)
-    out = docs.withColumn("text", F.col("text").cast("string"))
-    out = out.mapInArrow(_redact, out.schema)
+    out = map_texts(docs.withColumn("text", F.col("text").cast("string")), _redact)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -7,7 +7,9 @@ import gc
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfolio.session import scratch_path
 
@@ -26,6 +28,23 @@ def trim() -> None:
         back(0)
 
 
+def values(docs: DataFrame) -> list[Column]:
+    """All columns, of any name, as values that can be hashed, each with whether it is null (hashes pass over nulls)."""
+    out = []
+    for f in docs.schema.fields:
+        c = F.col(f"`{f.name}`")
+        out += [c.isNull(), F.to_json(F.struct(c.alias("c"))) if "map<" in f.dataType.simpleString() else c]
+    return out
+
+
+def map_texts(docs: DataFrame, run, keep: int = 0) -> DataFrame:
+    """``docs.mapInArrow(run)`` of a function that gives all columns back but the last ``keep``; columns may have any name.
+    The function sees ``text`` and the last ``keep`` columns by name, the others by number."""
+    n = len(docs.columns) - keep
+    plain = docs.toDF(*(c if c == "text" or i >= n else f"c{i}" for i, c in enumerate(docs.columns)))
+    return plain.mapInArrow(run, T.StructType(plain.schema.fields[:n])).toDF(*docs.columns[:n])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: lineage ends
     at files that outlive any executor."""
