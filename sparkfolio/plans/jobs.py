@@ -47,10 +47,8 @@ def _one_dt(run_date: str | None, dt: str | None) -> str | None:
 def landing_job(spark: SparkSession, payloads: DataFrame, bronze_root: str) -> dict:
     """Fetched payloads (source, dt, symbol, body) -> landing folder; keys that
     are landed already are skipped, errors and empty answers dropped."""
-    dts = ld.batch_dts(payloads)
-    report = ld.landing_summary(payloads, ld.landed_keys(spark, bronze_root, dts=dts)).collect()   # 3 rows a source
-    ld.land_new(spark, payloads, bronze_root)
-    return {"status": "ok", "sources": {f"{r.source}/{r.outcome}": r.n for r in report}}
+    _, report = ld.land(spark, payloads, bronze_root)
+    return {"status": "ok", "sources": report}
 
 
 def _documents(spark: SparkSession, bronze_root: str, source: str, schema: T.StructType, dt: str | None) -> tuple[DataFrame | None, Observation]:

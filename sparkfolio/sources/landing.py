@@ -40,6 +40,8 @@ KEYS = ("source", "dt", "symbol")
 PAYLOADS = "symbol string, body string, content_hash string, dt string, source string, run string"
 LEDGER = "source string, symbol string, content_hash string, run string, dt string"
 MAX_PRUNED_DTS = 1000
+SOURCES = ("prices", "ratios")
+STATUSES = ("fetched", "skipped", "failed")
 
 
 def reason_expr(body: str = "body", source: str = "source") -> Column:
@@ -113,42 +115,49 @@ def read_documents(spark: SparkSession, root: str, source: str, schema: T.Struct
     return parse_documents(landed.filter(F.col("source") == source), schema, "value", {"dt": "dt", "key_symbol": "symbol"})
 
 
-def new_payloads(incoming: DataFrame, landed: DataFrame | None, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Good incoming payloads whose key is not landed yet, one for each key."""
-    good, _ = split_payloads(incoming)
-    good = first_per_group(good, list(keys), [F.col("body").asc()])
-    return good if landed is None else good.join(landed, list(keys), "left_anti")
+def _status() -> Column:
+    return F.when(F.col("_landed"), F.lit("skipped")) \
+        .when(F.col("outcome") != "ok", F.lit("failed")).otherwise(F.lit("fetched"))
 
 
-def land_new(spark: SparkSession, incoming: DataFrame, root: str, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Write the new good payloads, then their keys to the ledger; returns the keys landed by this run.
-    A run without new payloads writes no file."""
+def _judged(incoming: DataFrame, landed: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Payloads with their outcome and status: skipped, failed or fetched."""
+    c = classify_payloads(incoming)
+    known = F.lit(None).cast("boolean")
+    c = c.withColumn("_landed", known) if landed is None else c.join(landed.withColumn("_landed", F.lit(True)), list(keys), "left")
+    return c.withColumn("status", _status()).drop("_landed")
+
+
+def land(spark: SparkSession, incoming: DataFrame, root: str, keys: Sequence[str] = KEYS,
+         sources: Sequence[str] = SOURCES) -> tuple[DataFrame, dict[str, int]]:
+    """Write the new good payloads, then their keys to the ledger. Returns the keys landed by this run, and the payloads of
+    each source and status ("prices/fetched"), counted while they are written. A run without new payloads writes no file."""
     root, run, dts = root.rstrip("/"), uuid.uuid4().hex, batch_dts(incoming)
-    fresh = new_payloads(incoming, landed_keys(spark, root, keys, dts), keys)
+    judged, counts = _judged(incoming, landed_keys(spark, root, keys, dts), keys), Observation()
+    judged = judged.observe(counts, *[F.count_if((F.col("source") == s) & (F.col("status") == o)).alias(f"{s}/{o}") for s in sources for o in STATUSES])
+    fresh = first_per_group(judged.filter(F.col("status") == "fetched").select(*keys, "body"), list(keys), [F.col("body").asc()])
     seen = Observation()
     written = [F.count(F.lit(1)).alias("n")] + ([] if dts is None else [F.collect_set("dt").alias("dts")])   # MAX_PRUNED_DTS at most
     (fresh.select("symbol", "body", F.sha2("body", 256).alias("content_hash"), "dt", "source", F.lit(run).alias("run"))
           .hint("rebalance", "dt", "source").observe(seen, *written)
           .write.mode("append").partitionBy("dt", "source", "run")
           .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/payloads"))
-    none = spark.createDataFrame([], ", ".join(f"{k} string" for k in keys))
+    report = {k: n for k, n in counts.get.items() if n}
     if not seen.get["n"]:
-        return none
+        return spark.createDataFrame([], ", ".join(f"{k} string" for k in keys)), report
     mine = _read(spark, root, "payloads", PAYLOADS, None if dts is None else sorted(seen.get["dts"]), "" if dts is None else f"/source=*/run={run}")
     mine = mine.filter(F.col("run") == run).select("source", "symbol", "content_hash", "run", "dt")
     (mine.hint("rebalance", "dt").write.mode("append").partitionBy("dt")
          .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/ledger"))
-    return mine.select(*keys)
+    return mine.select(*keys), report
+
+
+def land_new(spark: SparkSession, incoming: DataFrame, root: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The keys that :func:`land` landed."""
+    return land(spark, incoming, root, keys)[0]
 
 
 def landing_summary(incoming: DataFrame, landed: DataFrame | None, keys: Sequence[str] = KEYS) -> DataFrame:
     """(source, outcome, n): skipped = key already landed; failed = error or
     empty payload; fetched = landed by this run."""
-    c = classify_payloads(incoming)
-    if landed is not None:
-        c = c.join(landed.withColumn("_landed", F.lit(True)), list(keys), "left")
-    else:
-        c = c.withColumn("_landed", F.lit(None).cast("boolean"))
-    out = F.when(F.col("_landed"), F.lit("skipped")) \
-        .when(F.col("outcome") != "ok", F.lit("failed")).otherwise(F.lit("fetched"))
-    return c.groupBy("source", out.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    return _judged(incoming, landed, keys).groupBy("source", F.col("status").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
